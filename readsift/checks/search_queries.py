@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from readsift import params
 from readsift.checks.registry import query
-from readsift.checks.views import view
+from readsift.checks.views import stored, view
 from readsift.functions.sequence import translate_frame
 from readsift.operators import cluster, host, index, search, taxonomy
 from readsift.plans import pipeline
@@ -209,7 +209,8 @@ def search_nt(spark, sf_dir):
 
 def proteins(spark, sf_dir):
     """Protein subjects: the first forward frame of every subject."""
-    return subjects(spark, sf_dir).withColumn("seq", translate_frame(F.col("seq"), 0))
+    build = lambda: subjects(spark, sf_dir).withColumn("seq", translate_frame(F.col("seq"), 0))
+    return stored(spark, sf_dir, "fx_protein", build)
 
 
 GROUPS = params.AMINO_GROUPS
@@ -286,15 +287,15 @@ UNIQUE = """
   from (select min(read_id) as read_id, upper(seq) as seq from fx_reads where length(seq) >= 32 group by upper(seq)))"""
 
 SIMILAR = """
-overlaps as (
+facing as (
   select p.*, ua.seq as sa, ub.seq as sb,
          least(length(ua.seq) - greatest(-diag, 0), length(ub.seq) - greatest(diag, 0)) as overlap
   from pairs p join uniq ua on ua.ord = p.a join uniq ub on ub.ord = p.b),
 compared as materialized (
   select a, b, diag, overlap, overlap - hamming(substring(sa, cast(greatest(-diag, 0) + 1 as int), cast(overlap as int)),
                                                 substring(sb, cast(greatest(diag, 0) + 1 as int), cast(overlap as int))) as equal
-  from overlaps where overlap * 100 >= least(length(sa), length(sb)) * 80),
-similar as materialized (select * from compared where equal * 1000 >= overlap * 900)"""
+  from facing where overlap * 100 >= least(length(sa), length(sb)) * 80),
+alike as materialized (select * from compared where equal * 1000 >= overlap * 900)"""
 
 
 @query("cluster_unique", ["fx_reads"], f"{UNIQUE} select read_id, seq from uniq")
@@ -304,13 +305,14 @@ def cluster_unique(spark, sf_dir):
 
 @query("cluster_edges", ["fx_reads"], f"""{UNIQUE},
 words as materialized ({_words('uniq', 'ord', 16)}),
-led as materialized (select *, min(ord) over (partition by word) as lead_ord from words),
+firsts as materialized (select word, ord, min(pos) as pos from words group by word, ord),
+leads as materialized (select word, min(ord) as ord from firsts group by word),
 pairs as materialized (
-  select distinct m.ord as a, m.lead_ord as b, l.pos - m.pos as diag
-  from led m join led l on l.word = m.word and l.ord = m.lead_ord where m.ord <> m.lead_ord), {SIMILAR}
-select x.read_id, y.read_id as lead_id, diag, overlap, equal from similar join uniq x on x.ord = a join uniq y on y.ord = b""")
+  select distinct m.ord as a, d.ord as b, l.pos - m.pos as diag
+  from words m join leads d on d.word = m.word join firsts l on l.word = d.word and l.ord = d.ord where m.ord <> d.ord), {SIMILAR}
+select x.read_id, y.read_id as lead_id, diag, overlap, equal from alike join uniq x on x.ord = a join uniq y on y.ord = b""")
 def cluster_edges(spark, sf_dir):
-    ordered = cluster.cut_lineage(cluster.greedy_order(cluster.unique_sequences(reads(spark, sf_dir))))
+    ordered = cluster.greedy_order(cluster.unique_sequences(reads(spark, sf_dir)))
     edges = cluster.leader_edges(cluster.leader_diagonals(ordered), ordered, ordered)
     lead = ordered.select(F.col("ord").alias("lead"), F.col("read_id").alias("lead_id"))
     return edges.join(ordered.select("ord", "read_id"), "ord").join(lead, "lead").select(
@@ -337,8 +339,9 @@ def _greedy_sql() -> str:
     chosen = " union all ".join(f"select ord from c{r}" for r in range(GREEDY_ROUNDS))
     return f"""{UNIQUE},
 words as materialized ({_words('uniq', 'ord', 16)}),
-pairs as materialized (select distinct x.ord as a, y.ord as b, y.pos - x.pos as diag from words x join words y on x.word = y.word and y.ord < x.ord), {SIMILAR},
-edges as materialized (select distinct a as later, b as earlier from similar),
+firsts as materialized (select word, ord, min(pos) as pos from words group by word, ord),
+pairs as materialized (select distinct x.ord as a, y.ord as b, y.pos - x.pos as diag from words x join firsts y on x.word = y.word and y.ord < x.ord), {SIMILAR},
+edges as materialized (select distinct a as later, b as earlier from alike),
 {", ".join(rounds)}
 select read_id, seq from uniq where ord in ({chosen})"""
 

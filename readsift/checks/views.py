@@ -148,23 +148,30 @@ def _scan(spark: SparkSession, sf_dir: str, table: str, spread: bool) -> str:
 _stored = {}
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A view as a DataFrame; sequence views come from their Parquet copy in the shared folder."""
+def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A Parquet copy of build(), made on first use in the session."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key in _stored:
-        return spark.read.parquet(_stored[key])
+    if key not in _stored:
+        path = scratch_path(spark, name)
+        build().write.parquet(path)
+        _stored[key] = path
+    return spark.read.parquet(_stored[key])
+
+
+def _from_sql(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     sql = VIEWS[name]
     for other in NEEDS.get(name, []):
         view(spark, sf_dir, other)
-        stored = _stored[key[0], sf_dir, other]
-        sql = re.sub(rf"\b(from|join) {other}\b", lambda m: f"{m[1]} parquet.`{stored}`", sql)
+        path = _stored[spark.sparkContext.applicationId, sf_dir, other]
+        sql = re.sub(rf"\b(from|join) {other}\b", lambda m: f"{m[1]} parquet.`{path}`", sql)
     for table in TABLES:
         sql = re.sub(
             rf"\bfrom {table}\b", lambda m: f"from {_scan(spark, sf_dir, table, name in STORED)}", sql
         )
-    df = spark.sql(sql)
-    if name not in STORED:
-        return df
-    _stored[key] = scratch_path(spark, name)
-    df.write.parquet(_stored[key])
-    return spark.read.parquet(_stored[key])
+    return spark.sql(sql)
+
+
+def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A view as a DataFrame; sequence views come from their Parquet copy in the shared folder."""
+    build = lambda: _from_sql(spark, sf_dir, name)
+    return stored(spark, sf_dir, name, build) if name in STORED else build()

@@ -1,8 +1,9 @@
 """Greedy clustering: one centroid per group of near-identical sequences.
 
 Sequences are taken longest first. Each joins an earlier centroid it is similar to, or becomes one.
-Two sequences are similar when they share a word, and on a diagonal of a shared word the overlap
-covers most of the shorter one and is nearly identical there.
+Two sequences are similar when they share a word, and on a diagonal of a shared word (its first place
+in the earlier sequence against any place in the later) the overlap covers most of the shorter one and
+is nearly identical there.
 
 The greedy result is found in rounds. In a round each word names the first undecided sequence that
 holds it, its leader. A sequence that leads all its words has no earlier rival left: it becomes a
@@ -10,7 +11,7 @@ centroid. The others are compared with their leaders only, never with each other
 a third of all sequences costs one row per holder, not one per pair.
 """
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from readsift.functions.alignment import equal_positions
 from readsift.functions.binding import only
@@ -28,30 +29,57 @@ def unique_sequences(sequences: DataFrame, p: Cluster = Cluster()) -> DataFrame:
     )
 
 
+POS_BITS = 20  # positions below 2^20 share a long with the rank of their sequence
+
+
 def greedy_order(unique: DataFrame) -> DataFrame:
-    """Add `ord`, a number that grows in the order longest first, then by id.
+    """Add `ord`, the rank in the order longest first, then by id. Written to reliable storage.
 
-    A range-partitioned sort and a per-partition counter; no task sees all rows.
+    A range-partitioned sort, a counter inside each partition, and one row per partition to turn the
+    counters into ranks; no task sees all rows.
     """
-    ranked = unique.orderBy(F.desc(F.length("seq")), "read_id")
-    return ranked.select(F.monotonically_increasing_id().alias("ord"), "read_id", "seq")
+    parts = int(unique.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.desc(F.length("seq")), F.asc("read_id")]
+    ranked = cut_lineage(
+        unique.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+        .select(F.monotonically_increasing_id().alias("_id"), "read_id", "seq")
+    ).withColumn("_part", F.shiftright("_id", 33))
+    sizes = ranked.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))  # one row per partition
+    rank = F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return ranked.join(F.broadcast(offsets), "_part").select(rank.alias("ord"), "read_id", "seq")
 
 
 def _words(sequences: DataFrame, size: int) -> DataFrame:
-    at = sequences.select("ord", "seq", word_positions(F.col("seq"), size).alias("pos"))
+    """(hash, at): the rank of the sequence and the position of the word packed in one long."""
+    n = F.length("seq")
+    fits = F.when(n < 1 << POS_BITS, F.col("seq")).otherwise(
+        F.raise_error(F.lit(f"sequences of 2^{POS_BITS} bases or more cannot be clustered"))
+    )
+    at = sequences.select("ord", fits.alias("seq")).select("ord", "seq", word_positions(F.col("seq"), size).alias("pos"))
     word = F.substring("seq", F.col("pos") + 1, F.lit(size))
-    return at.where(is_seed_word(word)).select(F.xxhash64(word).alias("hash"), "ord", "pos")
+    packed = F.shiftleft("ord", POS_BITS) + F.col("pos")
+    return at.where(is_seed_word(word)).select(F.xxhash64(word).alias("hash"), packed.alias("at"))
 
 
 def leader_diagonals(undecided: DataFrame, p: Cluster = Cluster()) -> DataFrame:
-    """(ord, lead, diag): each sequence against the leaders of its words, where it leads not itself."""
+    """(ord, lead, diag): each sequence against the leaders of its words, where it leads not itself.
+
+    A leader stands at the first position of the word. The leaders are found with partial sums before
+    the shuffle; the join back is kept a sort-merge join, as row counts after the words are cut out
+    are far above what the planner sees.
+    """
     words = _words(undecided, p.word_size)
-    leaders = words.groupBy("hash").agg(F.min("ord").alias("lead"))
-    led = words.join(leaders, "hash")
-    own = led.where(F.col("ord") == F.col("lead")).select("hash", F.col("pos").alias("_lead_pos"))
+    leaders = words.groupBy("hash").agg(F.min("at").alias("_first"), F.count("*").alias("_n")).where("_n > 1")
+    rank = lambda c: F.shiftright(c, POS_BITS)
+    position = lambda c: F.col(c).bitwiseAND(F.lit((1 << POS_BITS) - 1))
+    led = words.join(leaders.select("hash", "_first").hint("merge"), "hash")
     return (
-        led.where(F.col("ord") != F.col("lead")).join(own, "hash")
-        .select("ord", "lead", (F.col("_lead_pos") - F.col("pos")).alias("diag")).distinct()
+        led.select(
+            rank("at").alias("ord"), rank("_first").alias("lead"), (position("_first") - position("at")).alias("diag")
+        )
+        .where("ord <> lead").distinct()
     )
 
 
@@ -82,16 +110,18 @@ def assign_centroids(ordered: DataFrame, p: Cluster = Cluster()) -> DataFrame:
     Each round is written to reliable storage. Every round decides at least the first undecided
     sequence, so the loop ends; there is no limit on rounds or partners.
     """
-    undecided, decided = cut_lineage(ordered), None
+    parts = int(ordered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    undecided, decided = cut_lineage(ordered.repartition(parts, "ord")), None
     while not undecided.isEmpty():
         pairs = cut_lineage(leader_diagonals(undecided, p))
         settled = undecided.join(pairs.select("ord"), "ord", "left_anti")
         ready = pairs.join(settled.select(F.col("ord").alias("lead")), "lead", "left_semi")
         joined = leader_edges(ready, undecided, settled, p).groupBy("ord").agg(F.min("lead").alias("_lead"))
         led = pairs.groupBy("ord").agg(F.lit(True).alias("_led"))
+        first = F.when(F.col("_led").isNull(), F.col("ord")).otherwise(F.col("_lead"))
         state = cut_lineage(
             undecided.join(led, "ord", "left").join(joined, "ord", "left")
-            .select("ord", "read_id", "seq", F.when(F.col("_led").isNull(), F.col("ord")).otherwise(F.col("_lead")).alias("centroid"))
+            .select("ord", "read_id", "seq", first.alias("centroid")).repartition(parts, "ord")
         )
         done = state.where("centroid is not null")
         decided = done if decided is None else decided.unionByName(done)
