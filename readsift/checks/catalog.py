@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from readsift.checks import read_queries, report_queries, search_queries  # noqa: F401
+from readsift.checks import file_queries, read_queries, report_queries, search_queries  # noqa: F401
 from readsift.checks.registry import ORACLES, QUERIES  # noqa: F401

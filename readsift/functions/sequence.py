@@ -50,33 +50,38 @@ def is_seed_word(word: Column) -> Column:
     return ~word.rlike("[^ACGT]|^(?:[AC]*|[AG]*|[AT]*|[CG]*|[CT]*|[GT]*)$")
 
 
-def _codon_table() -> str:
+def _codon_table() -> list:
     # one cell per three-digit number; digit 4 stands for any other letter and gives X
     cells = []
     for n in range(445):
         digits = (n // 100, n // 10 % 10, n % 10)
         known = all(d < 4 for d in digits)
         cells.append(GENETIC_CODE[digits[0] * 16 + digits[1] * 4 + digits[2]] if known else "X")
-    return "".join(cells)
+    return cells
+
+
+def _codon_digits(seq: Column) -> Column:
+    return F.regexp_replace(F.translate(F.upper(seq), CODON_BASES, "0123"), "[^0-3]", "4")
+
+
+def _spell(digits: Column, offset: int) -> Column:
+    codons = F.regexp_extract_all(F.substr(digits, F.lit(offset + 1)), F.lit("..."), 0)
+    return F.array_join(F.transform(codons, lambda c: F.get(F.lit(_codon_table()), c.cast("int"))), "")
 
 
 def translate_frame(seq: Column, offset: int) -> Column:
     """Protein string of one reading frame; a codon with an unknown base gives X."""
-    digits = F.regexp_replace(F.translate(F.upper(seq), CODON_BASES, "0123"), "[^0-3]", "4")
-    n = F.floor((F.length(seq) - offset) / 3).cast("int")
-    cells = F.lit(_codon_table())
-    codon = lambda d, i: F.substring(
-        cells, F.substring(d, i * 3 + (offset + 1), F.lit(3)).cast("int") + 1, F.lit(1)
-    )
-    return let(digits, lambda d: F.array_join(F.transform(span(n), lambda i: codon(d, i)), ""))
+    return _spell(_codon_digits(seq), offset)
 
 
 def six_frames(seq: Column) -> Column:
     """Array of (frame, protein): frames 1 to 3 forward, -1 to -3 on the reverse complement."""
-    back = revcomp(F.upper(seq))
-    frames = []
-    for offset in range(3):
-        frames.append(F.struct(F.lit(offset + 1).alias("frame"), translate_frame(seq, offset).alias("protein")))
-    for offset in range(3):
-        frames.append(F.struct(F.lit(-offset - 1).alias("frame"), translate_frame(back, offset).alias("protein")))
-    return F.array(*frames)
+
+    def three(digits, sign):
+        return [
+            F.struct(F.lit(sign * (o + 1)).alias("frame"), _spell(digits, o).alias("protein")) for o in range(3)
+        ]
+
+    return let(_codon_digits(seq), lambda d: let(
+        _codon_digits(revcomp(F.upper(seq))), lambda e: F.array(*three(d, 1), *three(e, -1)),
+    ))
