@@ -303,13 +303,16 @@ def cluster_unique(spark, sf_dir):
     return cluster.unique_sequences(reads(spark, sf_dir))
 
 
-@query("cluster_edges", ["fx_reads"], f"""{UNIQUE},
-words as materialized ({_words('uniq', 'ord', 16)}),
+LEADER_PAIRS = f"""words as materialized ({_words('uniq', 'ord', 16)}),
 firsts as materialized (select word, ord, min(pos) as pos from words group by word, ord),
 leads as materialized (select word, min(ord) as ord from firsts group by word),
 pairs as materialized (
   select distinct m.ord as a, d.ord as b, l.pos - m.pos as diag
-  from words m join leads d on d.word = m.word join firsts l on l.word = d.word and l.ord = d.ord where m.ord <> d.ord), {SIMILAR}
+  from words m join leads d on d.word = m.word join firsts l on l.word = d.word and l.ord = d.ord where m.ord <> d.ord)"""
+
+
+@query("cluster_edges", ["fx_reads"], f"""{UNIQUE},
+{LEADER_PAIRS}, {SIMILAR}
 select x.read_id, y.read_id as lead_id, diag, overlap, equal from alike join uniq x on x.ord = a join uniq y on y.ord = b""")
 def cluster_edges(spark, sf_dir):
     ordered = cluster.greedy_order(cluster.unique_sequences(reads(spark, sf_dir)))
@@ -325,7 +328,7 @@ GREEDY_ROUNDS = 16
 
 
 def _greedy_sql() -> str:
-    """Centroids from the graph of all similar pairs, by rounds of 'no earlier undecided neighbour'."""
+    """Centroids from the graph of similar pairs, by rounds of 'no earlier undecided neighbour'."""
     rounds = ["u0 as materialized (select ord from uniq)"]
     for r in range(GREEDY_ROUNDS):
         rounds.append(
@@ -338,9 +341,7 @@ def _greedy_sql() -> str:
         )
     chosen = " union all ".join(f"select ord from c{r}" for r in range(GREEDY_ROUNDS))
     return f"""{UNIQUE},
-words as materialized ({_words('uniq', 'ord', 16)}),
-firsts as materialized (select word, ord, min(pos) as pos from words group by word, ord),
-pairs as materialized (select distinct x.ord as a, y.ord as b, y.pos - x.pos as diag from words x join firsts y on x.word = y.word and y.ord < x.ord), {SIMILAR},
+{LEADER_PAIRS}, {SIMILAR},
 edges as materialized (select distinct a as later, b as earlier from alike),
 {", ".join(rounds)}
 select read_id, seq from uniq where ord in ({chosen})"""

@@ -1,16 +1,18 @@
 """Greedy clustering: one centroid per group of near-identical sequences.
 
-Sequences are taken longest first. Each joins an earlier centroid it is similar to, or becomes one.
-Two sequences are similar when they share a word, and on a diagonal of a shared word (its first place
-in the earlier sequence against any place in the later) the overlap covers most of the shorter one and
-is nearly identical there.
-
-The greedy result is found in rounds. In a round each word names the first undecided sequence that
-holds it, its leader. A sequence that leads all its words has no earlier rival left: it becomes a
-centroid. The others are compared with their leaders only, never with each other, so a word held by
-a third of all sequences costs one row per holder, not one per pair.
+Sequences are ranked longest first. Each word names the first sequence that holds it, its leader, and
+every sequence is compared with the leaders of its words, never with all that share a word. So a word
+held by a third of all sequences costs one row per holder, not one per pair (the linear-time scheme
+published as Linclust). Two compared sequences are similar when, on a diagonal of a shared word (its
+first place in the leader against any place in the other), the overlap covers most of the shorter one
+and is nearly identical there.
+
+On the graph of similar pairs each sequence joins an earlier centroid among its neighbours, or becomes
+one. That greedy result is found in rounds over the edges alone, which are few and narrow.
 """
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from readsift.functions.alignment import equal_positions
@@ -104,29 +106,32 @@ def leader_edges(pairs: DataFrame, sequences: DataFrame, leaders: DataFrame, p:
     )
 
 
-def assign_centroids(ordered: DataFrame, p: Cluster = Cluster()) -> DataFrame:
-    """(ord, read_id, seq, centroid): the ord of each sequence's centroid, its own for a centroid.
+def greedy_rounds(edges: DataFrame) -> DataFrame:
+    """(ord, centroid) of the sequences that join an earlier one; in: edges (ord, lead), lead before ord.
 
-    Each round is written to reliable storage. Every round decides at least the first undecided
-    sequence, so the loop ends; there is no limit on rounds or partners.
+    A leader that follows nobody itself is a centroid, and its followers leave. Each round decides at
+    least the first sequence left, so the loop ends; rounds are written to reliable storage.
     """
-    parts = int(ordered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    undecided, decided = cut_lineage(ordered.repartition(parts, "ord")), None
-    while not undecided.isEmpty():
-        pairs = cut_lineage(leader_diagonals(undecided, p))
-        settled = undecided.join(pairs.select("ord"), "ord", "left_anti")
-        ready = pairs.join(settled.select(F.col("ord").alias("lead")), "lead", "left_semi")
-        joined = leader_edges(ready, undecided, settled, p).groupBy("ord").agg(F.min("lead").alias("_lead"))
-        led = pairs.groupBy("ord").agg(F.lit(True).alias("_led"))
-        first = F.when(F.col("_led").isNull(), F.col("ord")).otherwise(F.col("_lead"))
-        state = cut_lineage(
-            undecided.join(led, "ord", "left").join(joined, "ord", "left")
-            .select("ord", "read_id", "seq", first.alias("centroid")).repartition(parts, "ord")
+    left, joined = cut_lineage(edges.select("ord", "lead").distinct()), []
+    while not left.isEmpty():
+        followers = left.select(F.col("ord").alias("lead"))
+        chosen = left.join(followers, "lead", "left_anti")
+        done = cut_lineage(chosen.groupBy("ord").agg(F.min("lead").alias("centroid")))
+        joined.append(done)
+        gone = done.select("ord")
+        left = cut_lineage(
+            left.join(gone, "ord", "left_anti").join(gone.withColumnRenamed("ord", "lead"), "lead", "left_anti")
         )
-        done = state.where("centroid is not null")
-        decided = done if decided is None else decided.unionByName(done)
-        undecided = state.where("centroid is null").drop("centroid")
-    return decided if decided is not None else ordered.withColumn("centroid", F.col("ord"))
+    none = edges.select("ord", F.col("lead").alias("centroid")).limit(0)
+    return reduce(lambda a, b: a.unionByName(b), joined, none)
+
+
+def assign_centroids(ordered: DataFrame, p: Cluster = Cluster()) -> DataFrame:
+    """(ord, read_id, seq, centroid): the ord of each sequence's centroid, its own for a centroid."""
+    joined = greedy_rounds(leader_edges(leader_diagonals(ordered, p), ordered, ordered, p))
+    return ordered.join(joined, "ord", "left").select(
+        "ord", "read_id", "seq", F.coalesce("centroid", "ord").alias("centroid")
+    )
 
 
 def assign(sequences: DataFrame, p: Cluster = Cluster()) -> DataFrame:

@@ -142,7 +142,7 @@ def test_host_modes(spark):
 
 
 def greedy(seqs, p):
-    """One sequence after the other, against every earlier centroid."""
+    """One sequence after the other, against those leaders of its words that are centroids."""
     unique = {}
     for i, s in sorted(seqs):
         if len(s) >= p.min_len:
@@ -165,11 +165,15 @@ def greedy(seqs, p):
                     return True
         return False
 
-    chosen = []
-    for i, s in order:
-        if not any(similar(c, s) for _, c in chosen):
-            chosen.append((i, s))
-    return {i for i, _ in chosen}, similar
+    leader = {}
+    for rank, (_, s) in enumerate(order):
+        for w, _ in words(s):
+            leader.setdefault(w, rank)
+    chosen = set()
+    for rank, (_, s) in enumerate(order):
+        if not any(similar(order[e][1], s) for e in {leader[w] for w, _ in words(s)} & chosen if e < rank):
+            chosen.add(rank)
+    return {order[r][0] for r in chosen}, similar
 
 
 def test_clusters_against_one_by_one(spark):
