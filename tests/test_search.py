@@ -247,4 +247,4 @@ def test_prepare(spark):
     df = spark.createDataFrame(rows, "read_id string, description string, seq string, qual string")
     refs = spark.createDataFrame([("host", "h", rows[3][2])], "ref_name string, subject_id string, seq string")
     assert pipeline.prepare(df).count() == 2
-    assert ids(pipeline.prepare(df, refs, ["host"])) == {"r0"} or ids(pipeline.prepare(df, refs, ["host"])) == {"r2"}
+    assert ids(pipeline.prepare(df, refs, ["host"])) in ({"r0"}, {"r2"})
