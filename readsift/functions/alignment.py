@@ -75,14 +75,32 @@ def score_table(matrix: dict) -> Column:
     return F.lit(cells)
 
 
-def best_protein_segment(a: Column, b: Column, matrix: dict) -> Column:
-    """As best_segment, for two protein strings of equal length under a substitution matrix."""
+def best_protein_segment(a: Column, b: Column, matrix: dict, least: Column = None) -> Column:
+    """As best_segment, for two protein strings of equal length under a substitution matrix.
+
+    With `least`, pairs whose best score is lower give null: a small fold finds the score first, and
+    only the pairs that pass are traced.
+    """
     table = score_table(matrix)
     code = lambda s: F.transform(letters(F.translate(s, "*", STOP)), lambda c: F.ascii(c) - 65)
+    # score and equality of each position in one int
     steps = F.zip_with(
-        code(a), code(b),
-        lambda x, y: F.struct(F.get(table, x * 27 + y).alias("s"), (x == y).cast("int").alias("eq")),
+        code(a), code(b), lambda x, y: F.get(table, x * 27 + y) * 2 + F.when(x == y, 1).otherwise(0)
     )
+    if least is None:
+        return _trace(steps)
+    return let(steps, lambda v: F.when(_top_score(v) >= least, _trace(v)))
+
+
+def _top_score(steps: Column) -> Column:
+    def step(acc, e):
+        score = F.greatest(acc["cur"], F.lit(0)) + F.shiftright(e, 1)
+        return F.struct(score.alias("cur"), F.greatest(acc["best"], score).alias("best"))
+
+    return F.aggregate(steps, F.struct(F.lit(0).alias("cur"), F.lit(0).alias("best")), step, lambda acc: acc["best"])
+
+
+def _trace(steps: Column) -> Column:
     zero = F.lit(0)
     state = F.struct(
         zero.alias("pos"), zero.alias("cur"), zero.alias("cur_start"), zero.alias("cur_eq"),
@@ -91,9 +109,9 @@ def best_protein_segment(a: Column, b: Column, matrix: dict) -> Column:
 
     def step(acc, e):
         fresh = acc["cur"] <= 0
-        score = F.when(fresh, zero).otherwise(acc["cur"]) + e["s"]
+        score = F.when(fresh, zero).otherwise(acc["cur"]) + F.shiftright(e, 1)
         start = F.when(fresh, acc["pos"]).otherwise(acc["cur_start"])
-        eq = F.when(fresh, zero).otherwise(acc["cur_eq"]) + e["eq"]
+        eq = F.when(fresh, zero).otherwise(acc["cur_eq"]) + e.bitwiseAND(F.lit(1))
         better = score > acc["best"]
         return F.struct(
             (acc["pos"] + 1).alias("pos"), score.alias("cur"), start.alias("cur_start"), eq.alias("cur_eq"),
