@@ -1,7 +1,9 @@
 """Session helpers: shared scratch folder, and broadcasts that check a size first."""
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -35,3 +37,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast when a bounded count shows few rows; else leave the join strategy to Spark."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package, wherever they start: a zip of it, once per application."""
+    sc = spark.sparkContext
+    if _shipped.get("app") == sc.applicationId:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    top = os.path.dirname(package)
+    path = os.path.join(tempfile.mkdtemp(prefix="readsift-code-"), "readsift.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    out.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), top))
+    sc.addPyFile(path)
+    _shipped["app"] = sc.applicationId
+
+
+_shipped = {}
