@@ -1,6 +1,6 @@
 """One query per operator over its whole table, with production parameters."""
 
-from readsift.llm import suffixes, windows
+from readsift.llm import hyperminhash, suffixes, windows
 from readsift.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -12,3 +12,8 @@ def op4(spark, sf_dir):
 @query("op8_suffix_dedup")
 def op8(spark, sf_dir):
     return suffixes.digest(suffixes.dedup_substrings(table(spark, sf_dir, "documents")))
+
+
+@query("op10_near_duplicates")
+def op10(spark, sf_dir):
+    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"))
