@@ -1,6 +1,6 @@
 """One query per operator over its whole table, with production parameters."""
 
-from readsift.llm import hyperminhash, suffixes, windows
+from readsift.llm import counts, dac, hyperminhash, suffixes, windows
 from readsift.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -17,3 +17,13 @@ def op8(spark, sf_dir):
 @query("op10_near_duplicates")
 def op10(spark, sf_dir):
     return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op1_token_counts")
+def op1(spark, sf_dir):
+    return counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op3_token_store")
+def op3(spark, sf_dir):
+    return dac.digest(dac.round_trip(table(spark, sf_dir, "documents")))
