@@ -1,6 +1,6 @@
 """One query per operator over its whole table, with production parameters."""
 
-from readsift.llm import counts, dac, hyperminhash, suffixes, windows
+from readsift.llm import counts, dac, hyperminhash, quality, suffixes, toxicity, windows
 from readsift.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -27,3 +27,13 @@ def op1(spark, sf_dir):
 @query("op3_token_store")
 def op3(spark, sf_dir):
     return dac.digest(dac.round_trip(table(spark, sf_dir, "documents")))
+
+
+@query("op2_toxicity")
+def op2(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op6_quality_rules")
+def op6(spark, sf_dir):
+    return quality.quality(table(spark, sf_dir, "documents"))
