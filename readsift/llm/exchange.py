@@ -19,10 +19,14 @@ SPANS = "doc long, chk long, spans binary"
 RUN = np.dtype([("doc", "<i8"), ("chk", "<u4"), ("start", "<u4"), ("count", "<u4")])
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """(doc, chk, text): a text's key is its doc_id (null: NO_ID) and its checksum, so rows that share an id stay apart."""
+def keyed(docs: DataFrame, carry: tuple | None = None) -> DataFrame:
+    """(doc, chk, text): a text's key is its doc_id (null: NO_ID) and its checksum, so rows that share an id stay apart.
+
+    With `carry`, also a struct `carried` of those columns (and a constant, as a struct needs a field).
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.crc32(text).alias("chk"), text.alias("text"))
+    more = [] if carry is None else [F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`") for c in carry]).alias("carried")]
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.crc32(text).alias("chk"), text.alias("text"), *more)
 
 
 def buckets(df: DataFrame) -> int:

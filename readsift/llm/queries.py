@@ -1,6 +1,6 @@
 """One query per operator over its whole table, with production parameters."""
 
-from readsift.llm import counts, dac, hyperminhash, quality, suffixes, toxicity, windows
+from readsift.llm import chats, counts, dac, decontaminate, hyperminhash, nbest, quality, suffixes, toxicity, windows
 from readsift.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -37,3 +37,18 @@ def op2(spark, sf_dir):
 @query("op6_quality_rules")
 def op6(spark, sf_dir):
     return quality.quality(table(spark, sf_dir, "documents"))
+
+
+@query("op9_decontamination", decontaminate.SQL)
+def op9(spark, sf_dir):
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op7_chat_format", chats.SQL)
+def op7(spark, sf_dir):
+    return chats.formatted(table(spark, sf_dir, "conversations"))
+
+
+@query("op5_piece_nbest")
+def op5(spark, sf_dir):
+    return nbest.segmented(table(spark, sf_dir, "documents"))

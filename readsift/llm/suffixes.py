@@ -180,8 +180,8 @@ def _later(pos, new, of, first, sizes, runs, length):
     return hit[(hit["doc"] != lead["doc"]) | (hit["start"] != lead["start"])]
 
 
-def dedup_substrings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Bytes kept by each text: (doc_id, n_bytes, n_removed, n_spans, kept binary).
+def dedup_substrings(docs: DataFrame, length: int = LENGTH, carry: tuple = ()) -> DataFrame:
+    """Bytes kept by each text: (doc_id, n_bytes, n_removed, n_spans, kept binary, carried struct of the columns `carry`).
 
     A byte goes if a string of `length` bytes over it also starts earlier in the input: in a text with a
     smaller doc_id, or earlier in the same text. Null text is empty; a null doc_id is smaller than any other and
@@ -198,7 +198,8 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         .groupBy("bucket").applyInArrow(lambda table: shard_marks(table, length), exchange.SPANS)
         .groupBy("doc", "chk").agg(F.collect_list("spans").alias("parts"))
     )
-    joined = exchange.texts_with(texts, marks, "left").select("doc", "text", "parts")
+    whole = exchange.keyed(docs, carry)
+    joined = exchange.texts_with(whole, marks, "left").select("doc", "text", "parts", "carried")
 
     def cut(batches):
         for batch in batches:
@@ -212,11 +213,12 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                     text = np.frombuffer(text, np.uint8)[~gone].tobytes()
                 out.append((n_bytes, removed, spans, text))
             yield pa.RecordBatch.from_arrays(
-                [batch["doc"], *(pa.array([x[i] for x in out], pa.int64()) for i in range(3)), pa.array([x[3] for x in out], pa.binary())],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
+                [batch["doc"], *(pa.array([x[i] for x in out], pa.int64()) for i in range(3)), pa.array([x[3] for x in out], pa.binary()), batch["carried"]],
+                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "carried"],
             )
 
-    kept = joined.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    carried = joined.schema["carried"].dataType.simpleString()
+    kept = joined.mapInArrow(cut, f"doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, carried {carried}")
     return kept.withColumn("doc_id", F.nullif("doc_id", F.lit(exchange.NO_ID)))
 
 

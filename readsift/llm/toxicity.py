@@ -89,8 +89,8 @@ def features(text: str, words: Words) -> list:
 
 
 def with_features(texts: DataFrame, lexicon: dict) -> DataFrame:
-    """Adds `features` (array<double>) to rows that hold `text`, which goes."""
-    keep = [c for c in texts.columns if c != "text"]
+    """Adds `features` (array<double>)."""
+    keep = texts.columns
     schema = texts.select(*keep, F.array(F.lit(0.0)).alias("features")).schema
 
     def run(batches):
@@ -150,7 +150,7 @@ class Model:
         if not both:
             return
         self.lexicon = learn_lexicon(rows.where("fold < 4"))
-        dense = stored(with_features(rows.where("fold >= 4"), self.lexicon), "features").withColumn("vector", array_to_vector("features"))
+        dense = stored(with_features(rows.where("fold >= 4"), self.lexicon).drop("text"), "features").withColumn("vector", array_to_vector("features"))
         trees = GBTClassifier(featuresCol="vector", labelCol="toxic", predictionCol="side", maxIter=12, maxDepth=3, stepSize=0.3, seed=7)
         self.trees = trees.fit(dense.where("fold < 8"))
         ranked = self.raw(dense.where("fold >= 8")).select("raw", F.col("toxic").cast("double").alias("label"))
@@ -160,12 +160,12 @@ class Model:
         return self.trees.transform(dense).withColumn("raw", vector_to_array("probability")[1])
 
     def score(self, texts: DataFrame) -> DataFrame:
-        """Adds `score` to rows that hold `text`, which goes."""
+        """Adds `score`."""
         if self.constant is not None:
-            return texts.drop("text").withColumn("score", F.lit(float(self.constant)))
+            return texts.withColumn("score", F.lit(float(self.constant)))
         dense = with_features(texts, self.lexicon).withColumn("vector", array_to_vector("features"))
         scored = self.calibration.transform(self.raw(dense))
-        return scored.select(*[c for c in texts.columns if c != "text"], F.col("prediction").cast("double").alias("score"))
+        return scored.select(*texts.columns, F.col("prediction").cast("double").alias("score"))
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
