@@ -10,6 +10,7 @@ Characters outside the vocabulary fall back to their bytes (`<0x..>` pieces), as
 """
 
 import heapq
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -23,50 +24,195 @@ MARK = "▁"
 NBEST = 4
 KNOWN = 150_000
 BYTE_SCORE = -40_000.0  # below every piece of the vocabulary, so that bytes are a last resort
+TOGETHER = 500  # texts whose new words are searched at once
+LETTERS = 160
+LONG = 40  # letters of words that are searched together
+NONE = float("-inf")
+CUT = regex.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 _made = {}
 
 
+class Words(dict):
+    """Best segmentation of each word, found when first asked for: (score, ids as bytes, score lost by the second best)."""
+
+    def __init__(self, find):
+        self.find = find
+
+    def __missing__(self, word: str) -> tuple:
+        if len(self) >= 2 * KNOWN:
+            self.clear()
+        got = self[word] = self.find(word)
+        return got
+
+
 class Model:
     """Pieces with scores, and the N best segmentations of marked words."""
 
     def __init__(self, name: str = MODEL, n: int = NBEST):
         self.library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(name))
         self.n = n
-        self.ids, self.byte = {}, {}
-        self.pieces = []
+        ids, self.byte = {}, {}
+        self.raw = []
         for i in range(self.library.get_piece_size()):
             piece = self.library.id_to_piece(i)
-            self.pieces.append(piece)
+            self.raw.append(piece.encode())
             if self.library.is_byte(i):
                 self.byte[int(piece[3:5], 16)] = i
+                self.raw[i] = bytes([int(piece[3:5], 16)])
             elif not (self.library.is_control(i) or self.library.is_unknown(i) or self.library.is_unused(i)):
-                self.ids[piece] = (max(self.library.get_score(i), BYTE_SCORE), i)
-        self.longest = max(map(len, self.ids))
-        self.known = {}
+                ids[piece] = (max(self.library.get_score(i), BYTE_SCORE), np.array([i], "<u4").tobytes())
+        # beginnings of pieces -> (score, id as bytes, if it is a piece; whether a longer piece begins so)
+        longer = {p[:k] for p in ids for k in range(1, len(p))}
+        self.trie = {p: (*ids.get(p, (0.0, None)), p in longer) for p in longer | set(ids)}
+        for c in {p for p in longer if len(p) == 1 and p not in ids}:
+            self.trie[c] = (*self.unknown(c)[:2], True)
+        for c in map(chr, range(128)):
+            self.trie.setdefault(c, self.unknown(c))
+        self.searched = {}
+        self.known = Words(self.viterbi)
+        self.tables()
 
-    def lattice(self, word: str) -> list:
-        """For each end place, the edges (start, score, ids) into it."""
-        into = [[] for _ in range(len(word) + 1)]
-        for end in range(1, len(word) + 1):
-            for start in range(max(0, end - self.longest), end):
-                if (found := self.ids.get(word[start:end])) is not None:
-                    into[end].append((start, found[0], (found[1],)))
-            if not into[end] or word[end - 1] not in self.ids:
-                raw = word[end - 1].encode()
-                into[end].append((end - 1, BYTE_SCORE * len(raw), tuple(self.byte[b] for b in raw)))
-        return into
+    def unknown(self, c: str) -> tuple:
+        """A character that is no piece goes as its bytes."""
+        raw = c.encode()
+        return BYTE_SCORE * len(raw), np.array([self.byte[b] for b in raw], "<u4").tobytes(), False
+
+    def edges(self, word: str, start: int):
+        """(end, score, ids as bytes) of the pieces that begin at a place."""
+        for end in range(start + 1, len(word) + 1):
+            found = self.trie.get(word[start:end])
+            if found is None:
+                if end > start + 1:
+                    return
+                found = self.unknown(word[start])
+            if found[1] is not None:
+                yield end, found[0], found[1]
+            if not found[2]:
+                return
+
+    def viterbi(self, word: str) -> tuple:
+        """Best score, its ids as little-endian 32-bit bytes, and how much the second best segmentation loses."""
+        n = len(word)
+        best, second, back = [NONE] * (n + 1), [NONE] * (n + 1), [None] * (n + 1)
+        best[0] = 0.0
+        look = self.trie.get
+        for start in range(n):
+            here, after = best[start], second[start]
+            end = start
+            while end < n:
+                end += 1
+                found = look(word[start:end])
+                if found is None:
+                    if end > start + 1:
+                        break
+                    found = self.unknown(word[start])
+                score, ids, longer = found
+                if ids is not None:
+                    got = here + score
+                    if got > best[end]:
+                        second[end] = max(best[end], after + score)
+                        best[end] = got
+                        back[end] = (start, ids)
+                    else:
+                        second[end] = max(second[end], got, after + score)
+                if not longer:
+                    break
+        out, at = [], n
+        while at:
+            at, ids = back[at]
+            out.append(ids)
+        return best[n], b"".join(reversed(out)), best[n] - second[n]
+
+    def tables(self) -> None:
+        """The prefix table for whole arrays of words: states by letter, for the LETTERS letters that pieces use most."""
+        use = Counter(c for p in self.trie for c in p)
+        use.update({"\n": 1 << 30, "\t": 1 << 30})  # bytes that stand between words
+        letters = [c for c, _ in sorted(use.items(), key=lambda x: (-x[1], x[0]))[:LETTERS]]
+        self.letter = {c: i for i, c in enumerate(letters)}
+        states = sorted(p for p in self.trie if all(c in self.letter for c in p))
+        number = {p: i + 1 for i, p in enumerate(states)}  # 0: the empty beginning
+        self.next = np.zeros((len(states) + 1, LETTERS), np.int32)
+        self.score = np.full(len(states) + 1, NONE)
+        self.piece = np.zeros(len(states) + 1, np.uint32)
+        for p, i in number.items():
+            self.next[number.get(p[:-1], 0), self.letter[p[-1]]] = i
+            score, ids, _ = self.trie[p]
+            if ids is not None and len(ids) == 4:
+                self.score[i], self.piece[i] = score, int.from_bytes(ids, "little")
+        self.codes = {ord(c): i for c, i in self.letter.items()}
+        # a letter that is no piece itself needs its bytes: its words go one by one
+        self.codes = {c: i for c, i in self.codes.items() if self.score[self.next[0, i]] > NONE}
+        self.simple = regex.compile("[" + "".join(regex.escape(chr(c)) for c in self.codes) + f"]{{1,{LONG}}}")
+        self.code_of = np.zeros(max(self.codes) + 1, np.int64)
+        self.code_of[list(self.codes)] = list(self.codes.values())
+
+    def learn(self, words) -> None:
+        """Find the best segmentations of words that are new, those of one length at once."""
+        new = [w for w in words if w not in self.known]
+        if len(self.known) + len(new) > KNOWN:
+            keep = {w: self.known[w] for w in words if w in self.known}
+            self.known.clear()
+            self.known.update(keep)
+        by_length = {}
+        for w in new:
+            if self.simple.fullmatch(w):
+                by_length.setdefault(len(w), []).append(w)
+        for n, group in by_length.items():
+            if len(group) < n * 4:  # the others pay for their arrays
+                continue
+            self.known.update(zip(group, self.viterbi_all(group, n), strict=True))
+
+    def viterbi_all(self, words: list, n: int) -> list:
+        """`viterbi` of many words of n letters: the same steps on arrays, a column per place."""
+        chars = self.code_of[np.array(list(map(ord, "".join(words)))).reshape(-1, n)]
+        rows = len(words)
+        best, second = np.full((n + 1, rows), NONE), np.full((n + 1, rows), NONE)
+        back, piece = np.zeros((n + 1, rows), np.int64), np.zeros((n + 1, rows), np.uint32)
+        best[0] = 0.0
+        for start in range(n):
+            live, state = np.arange(rows), np.zeros(rows, np.int32)
+            for end in range(start + 1, n + 1):
+                state = self.next[state, chars[live, end - 1]]
+                on = state > 0
+                live, state = live[on], state[on]
+                if not len(live):
+                    break
+                score = self.score[state]
+                at = live[score > NONE]
+                if not len(at):
+                    continue
+                own, score = state[score > NONE], score[score > NONE]
+                got, after = best[start, at] + score, second[start, at] + score
+                was = best[end, at]
+                better = got > was
+                second[end, at] = np.where(better, np.maximum(was, after), np.maximum(second[end, at], np.maximum(got, after)))
+                win = at[better]
+                best[end, win], back[end, win], piece[end, win] = got[better], start, self.piece[own[better]]
+        out = np.zeros((rows, n), np.uint32)
+        used = np.zeros(rows, np.int64)
+        live, place = np.arange(rows), np.full(rows, n)
+        while len(live):
+            used[live] += 1
+            out[live, n - used[live]] = piece[place, live]
+            place = back[place, live]
+            live, place = live[place > 0], place[place > 0]
+        raw, gap = out.tobytes(), best[n] - second[n]
+        begin = (np.arange(1, rows + 1) * n - used) * 4
+        return [(b, raw[a:z], g) for b, a, z, g in zip(best[n].tolist(), begin.tolist(), range(4 * n, 4 * n * rows + 1, 4 * n), gap.tolist(), strict=True)]
 
     def search(self, word: str) -> list:
-        """The n best segmentations of a word: (score, ids), best first, ties by ids."""
-        into = self.lattice(word)
-        best = [0.0] + [float("-inf")] * len(word)
-        for end in range(1, len(word) + 1):
-            best[end] = max(best[start] + score for start, score, _ in into[end])
+        """The n best segmentations of a word: (score, ids as bytes), best first, by backward A*."""
+        into = [[] for _ in range(len(word) + 1)]
+        best = [0.0] + [NONE] * len(word)
+        for start in range(len(word)):
+            for end, score, ids in self.edges(word, start):
+                into[end].append((start, score, ids))
+                best[end] = max(best[end], best[start] + score)
         found = []
-        # (negated best total, ids from here to the end, place, score so far); the heuristic is exact
-        agenda = [(-best[-1], (), len(word), 0.0)]
+        # (negated best total, ids from here to the end, place, score from here to the end)
+        agenda = [(-best[-1], b"", len(word), 0.0)]
         while agenda and len(found) < self.n:
-            total, ids, place, behind = heapq.heappop(agenda)
+            _, ids, place, behind = heapq.heappop(agenda)
             if place == 0:
                 found.append((behind, ids))
                 continue
@@ -74,42 +220,34 @@ class Model:
                 heapq.heappush(agenda, (-(best[start] + score + behind), own + ids, start, score + behind))
         return found
 
-    def word(self, word: str) -> list:
-        got = self.known.get(word)
-        if got is None:
-            if len(self.known) >= KNOWN:
-                self.known.clear()
-            got = self.known[word] = self.search(word)
-        return got
-
     def words(self, text: str) -> list:
         """The marked text cut before each run of marks; no piece crosses these cuts."""
-        return regex.findall(f"{MARK}+[^{MARK}]*|[^{MARK}]+", MARK + text.replace(" ", MARK)) if text else []
-
-    def encode(self, text: str) -> list:
-        """The n best segmentations of a text: (score, ids)."""
-        choices = [self.word(w) for w in self.words(text)]
-        best = [(sum(c[0][0] for c in choices), ())]
-        # only words with second choices can differ; each keeps the n best changes (word, choice), by cost
-        seen = sorted({(c[0][0] - c[1][0], i) for i, c in enumerate(choices) if len(c) > 1})[: self.n]
-        for _, i in seen:
-            own = choices[i]
-            grown = [(score + own[k][0] - own[0][0], changes + ((i, k),) if k else changes) for score, changes in best for k in range(len(own))]
-            best = sorted(grown, key=lambda x: (-x[0], x[1]))[: self.n]
-        out = []
-        for score, changes in best[: self.n]:
-            picked = dict(changes)
-            ids = [t for i, c in enumerate(choices) for t in c[picked.get(i, 0)][1]] if picked or not out else None
-            out.append((score, ids))
-        return out
-
-    def decode(self, ids) -> str:
+        return CUT.findall(MARK + text.replace(" ", MARK)) if text else []
+
+    def encode(self, text: str, words: list | None = None) -> list:
+        """The n best segmentations of a text, best first: (score, {word number: ids as bytes} that differ from the best).
+
+        The first entry is (score, ids of the whole text as bytes). A segmentation among the n best differs from the best one only in words whose second
+        best loses least: n such words are enough, and only they are searched.
+        """
+        words = self.words(text) if words is None else words
+        firsts = list(map(self.known.__getitem__, words))
+        total = sum([f[0] for f in firsts])
+        best = [(total, {})]
+        close = heapq.nsmallest(self.n, [(f[2], i) for i, f in enumerate(firsts) if f[2] < -NONE])
+        for _, i in close:
+            own = self.searched.get(words[i])
+            if own is None:
+                if len(self.searched) >= KNOWN // 10:
+                    self.searched.clear()
+                own = self.searched[words[i]] = self.search(words[i])
+            grown = [(score + s - own[0][0], {**changes, i: ids} if k else changes) for score, changes in best for k, (s, ids) in enumerate(own)]
+            best = sorted(grown, key=lambda x: -x[0])[: self.n]
+        return [(total, b"".join([f[1] for f in firsts])), *best[1:]]
+
+    def decode(self, ids: bytes) -> str:
         """Text of ids: bytes joined, marks as spaces, the first mark dropped."""
-        out = bytearray()
-        for i in ids:
-            piece = self.pieces[i]
-            out += bytes([int(piece[3:5], 16)]) if self.library.is_byte(i) else piece.encode()
-        text = out.decode("utf-8", "replace").replace(MARK, " ")
+        text = b"".join(map(self.raw.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace").replace(MARK, " ")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -121,21 +259,26 @@ def model(name: str, n: int) -> Model:
 
 
 def segmented(docs: DataFrame, name: str = MODEL, n: int = NBEST) -> DataFrame:
-    """(doc_id, n_pieces, ids binary, scores array, margins array, decoded boolean) per row.
+    """(doc_id, n_pieces, ids binary, scores array, decoded boolean) per row.
 
     ids: the best segmentation, little-endian 32-bit; scores: of the n best, descending, as far as there are
     that many; decoded: decoding ids gives the text again (a mark in a text comes back as a space). Null text is empty: no pieces, one score
-    of zero. Ties are broken by ids. Repeated rows and null ids are encoded like any other; other columns are ignored.
+    of zero. Equal scores come in a fixed order. Repeated rows and null ids are encoded like any other; other columns are ignored.
     """
 
     def run(batches):
         own = model(name, n)
         for batch in batches:
             out = []
-            for text in batch["text"].to_pylist():
-                best = own.encode(text)
-                ids = best[0][1]
-                out.append((len(ids), np.array(ids, "<u4").tobytes(), [s for s, _ in best], own.decode(ids) == text.replace(MARK, " ")))
+            texts = batch["text"].to_pylist()
+            for i in range(0, len(texts), TOGETHER):
+                part = texts[i : i + TOGETHER]
+                cut = [own.words(t) for t in part]
+                own.learn({w for words in cut for w in words})
+                for text, words in zip(part, cut, strict=True):
+                    best = own.encode(text, words)
+                    ids = best[0][1]
+                    out.append((len(ids) // 4, ids, [s for s, _ in best], own.decode(ids) == text.replace(MARK, " ")))
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], *(pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.list_(pa.float64()), pa.bool_())))],
                 names=["doc_id", "n_pieces", "ids", "scores", "decoded"],
