@@ -7,7 +7,7 @@ set, proved, not assumed. A pre-token in the set counts one; only the rest is me
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from readsift.llm.pretokens import KNOWN, Pretokens
+from readsift.llm.pretokens import Pretokens
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
@@ -30,30 +30,13 @@ def whole_tokens(tokens: Pretokens) -> frozenset:
 
 class Counter:
     def __init__(self, vocabulary: str):
-        self.tokens = Pretokens(vocabulary)
+        self.tokens = Pretokens(vocabulary, len, sum)
         self.one = whole_tokens(self.tokens)
+        self.tokens.given = dict.fromkeys(self.one, 1)
+        self.tokens.forget()
 
     def counts(self, texts: list) -> list:
-        tokens, one = self.tokens, self.one
-        out = [None] * len(texts)
-        rest = {}
-        for i, text in enumerate(texts):
-            if not tokens.is_plain(text):
-                out[i] = len(tokens.whole(text))
-                continue
-            pieces = tokens.pieces(text)
-            others = [p for p in pieces if p not in one]
-            out[i] = len(pieces) - len(others)
-            if others:
-                rest[i] = others
-        new = {p for others in rest.values() for p in others}
-        for i, others in self._blocks(rest, new):
-            out[i] += sum(map(tokens.known.__getitem__, others))
-        return out
-
-    def _blocks(self, rest: dict, new: set):
-        self.tokens.learn(new, len)
-        return rest.items()
+        return self.tokens.encode(texts)
 
 
 def counter(vocabulary: str) -> Counter:
@@ -86,5 +69,3 @@ def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY, limit: int = LIM
 def str_bytes(text: str) -> int:
     return len(text.encode())
 
-
-__all__ = ["KNOWN", "Counter", "counter", "token_counts", "whole_tokens"]

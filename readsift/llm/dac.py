@@ -12,6 +12,7 @@ Token i is read from chunks[0][i]; while its bit is set, its place in the next l
 directory entry and one popcount of at most 64 bytes. No block is decoded for it.
 """
 
+import struct
 import zlib
 
 import numpy as np
@@ -70,21 +71,19 @@ def decode(chunks: list, bitmaps: list) -> np.ndarray:
     return out
 
 
+def packed(ids: list) -> bytes:
+    """Little-endian 32-bit ids."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder:
     def __init__(self, vocabulary: str):
-        self.tokens = Pretokens(vocabulary)
+        self.tokens = Pretokens(vocabulary, packed, b"".join)
 
     def ids(self, texts: list) -> list:
-        """The ids of each text and the end id, as little-endian 32-bit bytes."""
-        tokens = self.tokens
-        pieces = {i: tokens.pieces(t) for i, t in enumerate(texts) if tokens.is_plain(t)}
-        tokens.learn({p for own in pieces.values() for p in own}, lambda ids: np.array(ids, "<u4").tobytes())
-        end = np.array([END], "<u4").tobytes()
-        look = tokens.known.__getitem__
-        return [
-            (b"".join(map(look, pieces[i])) if i in pieces else np.array(tokens.whole(t), "<u4").tobytes()) + end
-            for i, t in enumerate(texts)
-        ]
+        """The ids of each text and the end id, packed."""
+        end = packed([END])
+        return [code + end for code in self.tokens.encode(texts)]
 
 
 def encoder(vocabulary: str) -> Encoder:
