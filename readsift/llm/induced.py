@@ -222,16 +222,16 @@ def _reduced(text: Text, folder: str, limit: int) -> tuple[np.ndarray, np.ndarra
     rank = np.empty(len(lms), np.int64)
     rank[index] = np.cumsum(step)
     m, width = len(lms), 1
-    while rank.max() < m and width <= text.depth:
+    while rank.max() < m and 2 * width < text.depth:  # LMS places are two bytes apart at least
         ahead = np.zeros(m, np.int64)
         ahead[:-width] = rank[width:] if width < m else 0
         key = rank * (m + 1) + ahead
-        by = np.argsort(key, kind="stable")
+        by = np.argsort(key)
         step = np.ones(m, np.int64)
         step[1:] = key[by][1:] != key[by][:-1]
         rank[by] = np.cumsum(step)
         width *= 2
-    lms = lms[np.argsort(rank, kind="stable")]
+    lms = lms[np.argsort(rank)]
     lcp = np.zeros(m, np.uint8)
     lcp[1:] = text.common(lms[:-1], lms[1:])
     return lms, lcp
