@@ -65,7 +65,7 @@ def leaks(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFram
 
 SQL = r"""
 with items as (
-  select item_id, list_filter(string_split_regex(lower(text), '[ \t-\r]+'), lambda x: x <> '') as w from benchmark),
+  select item_id, list_filter(string_split_regex(lower(text), '[ \t-\r]+'), lambda x: x <> '') as w from benchmark where item_id is not null),
 item_shingles as (
   select distinct item_id, array_to_string(w[i : i + 4], ' ') as shingle from (select item_id, w, unnest(range(1, len(w) - 3)) as i from items)),
 sized as (select item_id, shingle, count(*) over (partition by item_id) as n from item_shingles),
