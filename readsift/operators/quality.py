@@ -40,10 +40,15 @@ def _right(read: Column, p: Quality) -> Column:
     return let(F.coalesce(bad, n), lambda m: _part(read, F.lit(0), m))
 
 
-def _adapter(read: Column, adapter: str, p: Quality) -> Column:
-    n = F.length(read["seq"])
-    cut = F.coalesce(adapter_start(read["seq"], adapter, p.adapter_min_overlap), n)
-    return let(cut, lambda m: _part(read, F.lit(0), m))
+def _adapters(read: Column, adapters: list, p: Quality) -> Column:
+    """The read after each adapter in turn: one loop over an array, so the plan does not grow with the list."""
+
+    def cut(r, adapter):
+        n = F.length(r["seq"])
+        found = F.coalesce(adapter_start(r["seq"], adapter, p.adapter_min_overlap), n)
+        return let(found, lambda m: _part(r, F.lit(0), m))
+
+    return F.aggregate(F.array(*[F.lit(a) for a in adapters]), read, cut)
 
 
 def _chain(steps: list) -> Column:
@@ -61,10 +66,12 @@ def _trim_steps(p: Quality, adapters) -> list:
         steps.append(lambda r: _right(r, p))
     elif p.cut_tail:
         steps.append(lambda r: _tail(r, p))
-    for a in adapters:
-        if len(a) >= p.adapter_min_overlap:
-            steps.append(lambda r, a=a: _adapter(r, a, p))
-    return steps
+    return steps + _adapter_steps(adapters, p)
+
+
+def _adapter_steps(adapters, p: Quality) -> list:
+    usable = [a for a in adapters if len(a) >= p.adapter_min_overlap]
+    return [lambda r: _adapters(r, usable, p)] if usable else []
 
 
 def _apply(reads: DataFrame, steps: list) -> DataFrame:
@@ -92,36 +99,36 @@ def cut_right(reads: DataFrame, p: Quality = Quality()) -> DataFrame:
     return _apply(reads, [lambda r: _right(r, p)])
 
 
-def adapter_start(seq: Column, adapter: str, min_overlap: int) -> Column:
+def adapter_start(seq: Column, adapter: Column, min_overlap: int) -> Column:
     """First position (from 0) where the read and the adapter agree over their common length.
 
     One mismatch is allowed per full eight bases. So of the leading blocks of four bases, one more
     than the allowed mismatches, at least one agrees exactly; only such positions are counted out.
     """
-    block = min(4, min_overlap)
-    blocks = [adapter[i * block:(i + 1) * block] for i in range(len(adapter) // 8 + 1)]
-    blocks = [b for b in blocks if len(b) == block]
-    n = F.length(seq)
-
-    def likely(i):
-        tests = [F.substring(seq, i + (k * block + 1), F.lit(block)) == b for k, b in enumerate(blocks)]
-        found = tests[0]
-        for t in tests[1:]:
-            found = found | t
-        return found
-
-    def agrees(i):
-        common = F.least(n - i, F.lit(len(adapter)))
-        same = equal_positions(F.substring(seq, i + 1, common), F.substring(F.lit(adapter), F.lit(1), common))
-        return (common - same) <= F.floor(common / 8)
+    size = min(4, min_overlap)
+    n, m = F.length(seq), F.length(adapter)
+    count = F.least(F.floor(m / 8) + 1, F.floor(m / size))
+    blocks = F.transform(F.sequence(F.lit(0).cast("bigint"), count - 1), lambda k: F.substring(adapter, (k * size + 1).cast("int"), F.lit(size)))
+
+    def places_in(known):
+        def likely(i):
+            return F.exists(F.transform(known, lambda b, k: F.substring(seq, i + k * size + 1, F.lit(size)) == b), lambda x: x)
+
+        def agrees(i):
+            common = F.least(n - i, m)
+            same = equal_positions(F.substring(seq, i + 1, common), F.substring(adapter, F.lit(1), common))
+            return (common - same) <= F.floor(common / 8)
+
+        return F.when(
+            F.exists(known, lambda b: F.contains(seq, b)), F.array_min(F.filter(F.filter(span(n - (min_overlap - 1)), likely), agrees))
+        )
 
-    places = F.filter(F.filter(span(n - (min_overlap - 1)), likely), agrees)
-    return F.when(seq.rlike("|".join(blocks)), F.array_min(places))
+    return let(blocks, places_in)
 
 
 def trim_adapters(reads: DataFrame, adapters: list, p: Quality = Quality()) -> DataFrame:
     """Cut each read at the first place an adapter begins; adapters apply in the given order."""
-    return _apply(reads, [lambda r, a=a: _adapter(r, a, p) for a in adapters if len(a) >= p.adapter_min_overlap])
+    return _apply(reads, _adapter_steps(adapters, p))
 
 
 def mean_quality_ok(qual: Column, threshold: int) -> Column:

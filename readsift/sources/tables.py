@@ -8,26 +8,42 @@ from readsift import schemas
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path or a glob names at least one file."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+    found = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hadoop)
+    return found is not None and len(found) > 0
+
+
+TAXON_COLUMNS = ("sskingdom", "ssciname", "salltitles", "sskingdoms", "sscinames")
 
 
 def null_words_to_null(df: DataFrame) -> DataFrame:
-    texts = [f.name for f in df.schema if f.dataType.simpleString() == "string"]
+    """Words for missing values become null in taxon columns; ids stay as they are."""
+    texts = [f.name for f in df.schema if f.name in TAXON_COLUMNS]
     return df.withColumns(
         {c: F.when(~F.col(c).isin(schemas.NULL_WORDS), F.col(c)) for c in texts}
     )
 
 
-def read_hits(spark: SparkSession, path: str) -> DataFrame:
-    """A headerless seven-column hit table. No file means no hits; a malformed row raises."""
-    if not _exists(spark, path):
+def read_hits(spark: SparkSession, path: str | list, absent_is_empty: bool = True) -> DataFrame:
+    """Headerless seven-column hit tables at a path, a glob, or a list of these; a malformed row raises.
+
+    No file means no hits, unless absent_is_empty is false.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    there = [p for p in paths if _exists(spark, p)]
+    if len(there) < len(paths) and not absent_is_empty:
+        raise FileNotFoundError(", ".join(sorted(set(paths) - set(there))))
+    if not there:
         return spark.createDataFrame([], schemas.HIT)
-    hits = (
-        spark.read.schema(schemas.HIT)
-        .csv(path, sep="\t", quote="", nullValue="N/A", mode="FAILFAST")
-    )
-    return null_words_to_null(hits)
+    kinds = spark.createDataFrame([], schemas.HIT).schema
+    text = ", ".join(f"`{f.name}` string" for f in kinds)
+    raw = spark.read.schema(text).csv(there, sep="\t", quote="", mode="FAILFAST")
+    value = lambda f: F.when(F.col(f.name) != "N/A", F.col(f.name)).cast(f.dataType)
+    typed = raw.select(*[
+        (F.col(f.name) if f.dataType.simpleString() == "string" else value(f)).alias(f.name) for f in kinds
+    ])
+    return null_words_to_null(typed)
 
 
 def write_hits(hits: DataFrame, path: str) -> None:
