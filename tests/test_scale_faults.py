@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from readsift import session
 from readsift.operators import quality, taxonomy
 from readsift.sources import fastq, tables
 
@@ -51,3 +52,18 @@ def test_hit_globs_and_ids(spark, tmp_path):
     assert tables.read_hits(spark, str(tmp_path / "no*.tsv")).count() == 0
     with pytest.raises(FileNotFoundError):
         tables.read_hits(spark, str(tmp_path / "no*.tsv"), absent_is_empty=False)
+
+
+def test_records_where_offsets_are_not_broadcast(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 0)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in "ab":
+            (tmp_path / f"{name}.fq").write_text("".join(f"@{name}{i} d\n{'ACGT' * (i % 20 + 1)}\n+\n{'I' * (4 * (i % 20 + 1))}\n" for i in range(4000)))
+        rows = fastq.read_fastq(spark, [str(tmp_path / "a.fq"), str(tmp_path / "b.fq")]).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(rows) == 8000
+    assert all(r.read_id == f"{r.read_id[0]}{r.rec_no}" and r.seq == "ACGT" * (r.rec_no % 20 + 1) and len(r.qual) == len(r.seq) for r in rows)
