@@ -22,9 +22,9 @@ from pyspark.sql import DataFrame, functions as F
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 NBEST = 4
-KNOWN = 150_000
+KNOWN = 400_000
 BYTE_SCORE = -40_000.0  # below every piece of the vocabulary, so that bytes are a last resort
-TOGETHER = 500  # texts whose new words are searched at once
+TOGETHER = 1000  # texts whose new words are searched at once
 LETTERS = 160
 LONG = 40  # letters of words that are searched together
 NONE = float("-inf")
@@ -234,8 +234,10 @@ class Model:
         firsts = list(map(self.known.__getitem__, words))
         total = sum([f[0] for f in firsts])
         best = [(total, {})]
-        close = heapq.nsmallest(self.n, [(f[2], i) for i, f in enumerate(firsts) if f[2] < -NONE])
-        for _, i in close:
+        gaps = np.array([f[2] for f in firsts])
+        for i in np.argsort(gaps, kind="stable")[: self.n].tolist():
+            if gaps[i] == -NONE:
+                break
             own = self.searched.get(words[i])
             if own is None:
                 if len(self.searched) >= KNOWN // 10:
