@@ -19,12 +19,14 @@ import regex
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
+from readsift.llm.vectors import slices
+
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 NBEST = 4
-KNOWN = 400_000
+KNOWN = 400_000  # words remembered, in two generations
 BYTE_SCORE = -40_000.0  # below every piece of the vocabulary, so that bytes are a last resort
-TOGETHER = 1000  # texts whose new words are searched at once
+TOGETHER = 3 << 20  # bytes of text whose new words are searched at once
 LETTERS = 160
 LONG = 40  # letters of words that are searched together
 NONE = float("-inf")
@@ -39,7 +41,7 @@ class Words(dict):
         self.find = find
 
     def __missing__(self, word: str) -> tuple:
-        if len(self) >= 2 * KNOWN:
+        if len(self) >= KNOWN:
             self.clear()
         got = self[word] = self.find(word)
         return got
@@ -69,7 +71,7 @@ class Model:
         for c in map(chr, range(128)):
             self.trie.setdefault(c, self.unknown(c))
         self.searched = {}
-        self.known = Words(self.viterbi)
+        self.known, self.before = Words(self.viterbi), {}
         self.tables()
 
     def unknown(self, c: str) -> tuple:
@@ -146,13 +148,17 @@ class Model:
         self.code_of = np.zeros(max(self.codes) + 1, np.int64)
         self.code_of[list(self.codes)] = list(self.codes.values())
 
-    def learn(self, words) -> None:
-        """Find the best segmentations of words that are new, those of one length at once."""
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > KNOWN:
-            keep = {w: self.known[w] for w in words if w in self.known}
-            self.known.clear()
-            self.known.update(keep)
+    def learn(self, words: set) -> None:
+        """Find the best segmentations of words that are new, those of one length at once.
+
+        Words asked for again outlive the generation they were found in; the others are forgotten with it.
+        """
+        if len(self.known) > KNOWN // 2:
+            self.before, self.known = self.known, Words(self.viterbi)
+        missing = words - self.known.keys()
+        again = missing & self.before.keys()
+        self.known.update((w, self.before[w]) for w in again)
+        new = missing - again
         by_length = {}
         for w in new:
             if self.simple.fullmatch(w):
@@ -271,20 +277,18 @@ def segmented(docs: DataFrame, name: str = MODEL, n: int = NBEST) -> DataFrame:
     def run(batches):
         own = model(name, n)
         for batch in batches:
-            out = []
-            texts = batch["text"].to_pylist()
-            for i in range(0, len(texts), TOGETHER):
-                part = texts[i : i + TOGETHER]
-                cut = [own.words(t) for t in part]
-                own.learn({w for words in cut for w in words})
-                for text, words in zip(part, cut, strict=True):
+            for part in slices(batch, size=TOGETHER):
+                texts, out = part["text"].to_pylist(), []
+                cut = [own.words(t) for t in texts]
+                own.learn(set().union(*cut))
+                for text, words in zip(texts, cut, strict=True):
                     best = own.encode(text, words)
                     ids = best[0][1]
                     out.append((len(ids) // 4, ids, [s for s, _ in best], own.decode(ids) == text.replace(MARK, " ")))
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], *(pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.list_(pa.float64()), pa.bool_())))],
-                names=["doc_id", "n_pieces", "ids", "scores", "decoded"],
-            )
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"], *(pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.list_(pa.float64()), pa.bool_())))],
+                    names=["doc_id", "n_pieces", "ids", "scores", "decoded"],
+                )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_pieces long, ids binary, scores array<double>, decoded boolean")
