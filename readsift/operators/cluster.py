@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from readsift.functions.alignment import equal_positions
 from readsift.functions.binding import only
 from readsift.functions.sequence import is_seed_word
-from readsift.operators.index import word_positions
+from readsift.operators.index import word_places
 from readsift.params import Cluster
 from readsift.session import cut_lineage
 
@@ -59,8 +59,8 @@ def _words(sequences: DataFrame, size: int) -> DataFrame:
     fits = F.when(n < 1 << POS_BITS, F.col("seq")).otherwise(
         F.raise_error(F.lit(f"sequences of 2^{POS_BITS} bases or more cannot be clustered"))
     )
-    at = sequences.select("ord", fits.alias("seq")).select("ord", "seq", word_positions(F.col("seq"), size).alias("pos"))
-    word = F.substring("seq", F.col("pos") + 1, F.lit(size))
+    at = word_places(sequences.select("ord", fits.alias("_s")), ["ord"], size)
+    word = F.substring("_s", F.col("_p") + 1, F.lit(size))
     packed = F.shiftleft("ord", POS_BITS) + F.col("pos")
     return at.where(is_seed_word(word)).select(F.xxhash64(word).alias("hash"), packed.alias("at"))
 

@@ -4,9 +4,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from readsift.functions.binding import let
 from readsift.functions.sequence import is_seed_word, revcomp
 from readsift.params import Pieces
 
+BLOCK = 256  # letters; words are cut out of blocks, as counting to a place costs the letters before it
+
 
 @dataclass(frozen=True)
 class SubjectIndex:
@@ -19,45 +22,58 @@ class SubjectIndex:
     layout: Pieces
 
 
-def cut_pieces(subjects: DataFrame, layout: Pieces = Pieces()) -> DataFrame:
-    """Pieces of `size` letters, each followed by the first `overlap` letters of the next.
+def overlapping(seq: Column, size: int, overlap: int) -> Column:
+    """Array of (_i, _s): stretches of `size` letters, each followed by the first `overlap` letters of the next.
 
-    A chromosome is cut by one linear pass of a pattern, as counting to a far position in a long
-    string costs its whole length.
+    One linear pass of a pattern cuts them, as counting to a far position in a long string costs its whole length.
     """
-    if layout.overlap > layout.size:
+    if overlap > size:
         raise ValueError("the overlap of pieces cannot exceed their size")
-    parts = F.regexp_extract_all(F.col("seq"), F.lit("(?s).{1,%d}" % layout.size), 0)
-    tail = lambda i: F.coalesce(F.substring(F.get("_parts", i + 1), F.lit(1), F.lit(layout.overlap)), F.lit(""))
+    parts = F.regexp_extract_all(seq, F.lit("(?s).{1,%d}" % size), F.lit(0))
+    tail = lambda p, i: F.coalesce(F.substring(F.get(p, i + 1), F.lit(1), F.lit(overlap)), F.lit(""))
+    return let(parts, lambda p: F.transform(p, lambda s, i: F.struct(i.alias("_i"), F.concat(s, tail(p, i)).alias("_s"))))
+
+
+def cut_pieces(subjects: DataFrame, layout: Pieces = Pieces()) -> DataFrame:
+    """Pieces of `size` letters, each followed by the first `overlap` letters of the next."""
+    pieces = F.explode(overlapping(F.col("seq"), layout.size, layout.overlap)).alias("_p")
     return (
-        subjects.where(F.length("seq") > 0).withColumn("_parts", parts)
-        .select("subject_id", F.length("seq").alias("subject_len"), F.posexplode("_parts").alias("piece", "_part"), "_parts")
-        .select("subject_id", "piece", "subject_len", F.concat("_part", tail(F.col("piece"))).alias("seq"))
+        subjects.where(F.length("seq") > 0)
+        .select("subject_id", F.length("seq").alias("subject_len"), pieces)
+        .select("subject_id", F.col("_p._i").alias("piece"), "subject_len", F.col("_p._s").alias("seq"))
     )
 
 
-def word_positions(seq: Column, size: int, stride: int = 1, limit: Column = None) -> Column:
-    """Generator of word starts: 0, stride, 2 * stride ... while a whole word fits."""
-    last = F.length(seq) - size
+def word_places(texts: DataFrame, keys: list, size: int, stride: int = 1, limit: int = None) -> DataFrame:
+    """(keys, _s, _p, pos): the words of `_s` that start at 0, stride, 2 * stride ... up to `limit`.
+
+    `_s` becomes the block that holds the word, `_p` its place there and `pos` its place in the text:
+    the cost of a word depends on the block, not on the length of the text.
+    """
+    block = max(BLOCK // stride, -(-size // stride), 1) * stride
+    blocks = texts.select(*keys, F.explode(overlapping(F.col("_s"), block, size - 1)).alias("_b"))
+    first = F.col("_b._i") * block
+    last = F.least(F.length("_b._s") - size, F.lit(block - 1))
     if limit is not None:
-        last = F.least(last, limit)
-    return F.explode(F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(stride))))
+        last = F.least(last, F.lit(limit) - first)
+    places = F.explode(F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(stride))))
+    return blocks.select(*keys, F.col("_b._s").alias("_s"), first.alias("_first"), places.alias("_p")).select(
+        *keys, "_s", "_p", (F.col("_first") + F.col("_p")).alias("pos")
+    )
 
 
-def strand_words(df: DataFrame, keys: list, size: int, stride: int = 1, limit: Column = None) -> DataFrame:
+def strand_words(df: DataFrame, keys: list, size: int, stride: int = 1, limit: int = None) -> DataFrame:
     """Rows (keys, pos, word, hash, forward) of the seed words of `seq`.
 
     A word and its reverse complement share one hash; `forward` says which of the two stands in the
     sequence. The sequence itself does not travel on.
     """
-    upper = df.select(*keys, F.upper("seq").alias("_s"))
-    both = upper.withColumn("_r", revcomp(F.col("_s")))
-    at = both.select(*keys, "_s", "_r", word_positions(F.col("_s"), size, stride, limit).alias("pos"))
-    word = F.substring("_s", F.col("pos") + 1, F.lit(size))
-    back = F.substring("_r", F.length("_s") - F.col("pos") - (size - 1), F.lit(size))
+    at = word_places(df.select(*keys, F.upper("seq").alias("_s")), keys, size, stride, limit)
+    word = F.substring("_s", F.col("_p") + 1, F.lit(size))
     return (
-        at.select(*keys, "pos", word.alias("word"), back.alias("_back"))
+        at.select(*keys, "pos", word.alias("word"))
         .where(is_seed_word(F.col("word")))
+        .withColumn("_back", revcomp(F.col("word")))
         .select(
             *keys, "pos", "word",
             F.xxhash64(F.least("word", "_back")).alias("hash"),
@@ -72,7 +88,7 @@ def build_index(subjects: DataFrame, word_size: int, layout: Pieces = Pieces())
         raise ValueError("pieces must overlap by a word")
     pieces = cut_pieces(subjects, layout)
     words = (
-        strand_words(pieces, ["subject_id", "piece"], word_size, limit=F.lit(layout.size - 1))
+        strand_words(pieces, ["subject_id", "piece"], word_size, limit=layout.size - 1)
         .select("hash", "subject_id", (F.col("piece") * layout.size + F.col("pos")).alias("pos"), "forward")
     )
     total = subjects.agg(F.coalesce(F.sum(F.length("seq")), F.lit(0)).alias("total"))
@@ -83,12 +99,18 @@ def save_index(index: SubjectIndex, name: str, buckets: int = 256) -> None:
     """Keep an index as tables; the words are bucketed by hash, so a search shuffles only the queries."""
     index.words.write.mode("overwrite").bucketBy(buckets, "hash").saveAsTable(f"{name}_words")
     index.pieces.write.mode("overwrite").bucketBy(buckets, "subject_id", "piece").saveAsTable(f"{name}_pieces")
-    index.total_len.write.mode("overwrite").saveAsTable(f"{name}_total")
+    settings = {"word_size": index.word_size, "size": index.layout.size, "overlap": index.layout.overlap}
+    index.total_len.withColumns({k: F.lit(v) for k, v in settings.items()}).write.mode("overwrite").saveAsTable(f"{name}_total")
 
 
-def load_index(spark, name: str, word_size: int, layout: Pieces = Pieces()) -> SubjectIndex:
+def load_index(spark, name: str, word_size: int = None, layout: Pieces = None) -> SubjectIndex:
+    """A saved index with the settings it was built with; those named here must be the same."""
     table = lambda part: spark.read.table(f"{name}_{part}")
-    return SubjectIndex(table("pieces"), table("words"), table("total"), word_size, layout)
+    built = table("total").first()  # one row
+    kept = Pieces(built["size"], built["overlap"])
+    if word_size not in (None, built["word_size"]) or layout not in (None, kept):
+        raise ValueError(f"index {name} was built with words of {built['word_size']} and {kept}")
+    return SubjectIndex(table("pieces"), table("words"), table("total").select("total"), built["word_size"], kept)
 
 
 def word_counts(subjects: DataFrame, word_size: int) -> DataFrame:

@@ -129,6 +129,9 @@ def test_saved_index_gives_the_same_hits(spark):
     kept = index.load_index(spark, "test_index", 21)
     run = lambda i: sorted(map(tuple, search.search_nucleotide(queries, i, 1e-5, 5).collect()))
     assert run(kept) == run(built) and len(run(kept)) == 20
+    assert kept.layout == built.layout and kept.word_size == 21
+    with pytest.raises(ValueError):
+        index.load_index(spark, "test_index", 17)
 
 
 def test_host_modes(spark):
@@ -248,3 +251,14 @@ def test_prepare(spark):
     refs = spark.createDataFrame([("host", "h", rows[3][2])], "ref_name string, subject_id string, seq string")
     assert pipeline.prepare(df).count() == 2
     assert ids(pipeline.prepare(df, refs, ["host"])) in ({"r0"}, {"r2"})
+
+
+def test_words_of_long_sequences(spark):
+    # words cut from blocks are the words of the whole text, at every stride and limit
+    texts = {f"s{n}": dna(n) for n in (0, 20, 21, 255, 256, 257, 276, 277, 1500)}
+    df = spark.createDataFrame(list(texts.items()), "subject_id string, seq string")
+    for stride, limit in ((1, None), (8, None), (1, 300), (300, None)):
+        rows = index.strand_words(df, ["subject_id"], 21, stride, limit).collect()
+        got = sorted((r.subject_id, r.pos, r.word) for r in rows)
+        stop = lambda t: min(len(t) - 20, len(t) if limit is None else limit + 1)
+        assert got == sorted((k, i, t[i : i + 21]) for k, t in texts.items() for i in range(0, max(stop(t), 0), stride))
