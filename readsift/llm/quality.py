@@ -1,5 +1,8 @@
 """Quality rules: base counts per text, then robust multivariate outliers per language and source.
 
+Rows of a source too small for a fit of its own are judged by their language's fit, and those of a small
+language by the fit over all rows.
+
 The minimum covariance determinant is approached by concentration steps, as DataFrame aggregates: from
 medians and absolute deviations, each step takes the HALF of a group's rows that lie closest and refits
 mean and covariance on them; the determinant never grows. Rows beyond the cut in Mahalanobis distance are
@@ -14,7 +17,8 @@ from readsift.llm.storage import stored
 
 HALF = 0.75  # share of a group's rows that a concentration step keeps
 STEPS = 3
-LEAST_ROWS = 50  # smaller groups can't support a covariance: their rows are kept
+LEAST_ROWS = 50  # smaller groups can't support a covariance: their rows are judged by a wider fit
+PRIOR_ROWS = 10  # rows that the typical spreads count for beside a fit's own
 CUT = 90.0  # squared distance, far beyond any quantile of a chi-square with five degrees of freedom: clean texts have heavy tails
 MEDIAN_CHI2 = 4.351  # median of that chi-square (fixed value)
 SMALL_GROUPS = 50_000  # groups whose parameters (some 25 numbers each) are broadcast
@@ -26,6 +30,8 @@ STATISTICS = {
     "x3": ("sqrt(n_dup_lines / n_lines)", 0.15),
     "x4": ("sqrt(n_repeat_words / n_words)", 0.15),
 }
+#: Spreads that texts have anywhere, for fits over few rows.
+TYPICAL = {"x0": 1.0, "x1": 0.1}
 X = list(STATISTICS)
 GROUP = ["g_lang", "g_source"]
 
@@ -62,9 +68,25 @@ def base_statistics(docs: DataFrame) -> DataFrame:
     return counted.withColumn("base_failed", F.expr("n_words < 20 or 100 * n_repeat_words > 30 * n_words"))
 
 
+def _groups(rows: DataFrame) -> DataFrame:
+    """(GROUP, fit, fits): the fit that judges a group's rows, and all fits that are made from them."""
+    sizes = rows.groupBy(*GROUP).agg(F.count("*").alias("n"))
+    large = F.col("n") >= LEAST_ROWS
+    langs = sizes.groupBy("g_lang").agg(F.sum("n").alias("n_lang"), F.max(~large).alias("by_lang"))
+    by_lang, by_all = F.col("by_lang") & (F.col("n_lang") >= LEAST_ROWS), F.col("by_lang") & (F.col("n_lang") < LEAST_ROWS)
+    langs = langs.select("g_lang", by_lang.alias("by_lang"), by_all.alias("by_all"))
+    langs = langs.crossJoin(F.broadcast(langs.agg(F.coalesce(F.max("by_all"), F.lit(False)).alias("any_by_all"))))
+    own = F.concat(F.lit("s"), F.length("g_lang"), F.lit(" "), F.col("g_lang"), F.col("g_source"))
+    lang, every = F.concat(F.lit("l"), F.col("g_lang")), F.lit("")
+    return _ready(sizes.join(langs, "g_lang").select(
+        *GROUP, F.when(large, own).when(F.col("by_lang"), lang).otherwise(every).alias("fit"),
+        F.array_compact(F.array(F.when(large, own), F.when(F.col("by_lang"), lang), F.when(F.col("any_by_all"), every))).alias("fits"),
+    ))
+
+
 def _with_distance(rows: DataFrame, fits: DataFrame) -> DataFrame:
-    """Adds d2, the squared Mahalanobis distance to the group's fit (null without one), by forward substitution."""
-    out = rows.join(fits, GROUP, "left")
+    """Adds d2, the squared Mahalanobis distance to the row's fit (null without one), by forward substitution."""
+    out = rows.join(fits, "fit", "left")
     for i, x in enumerate(X):
         rest = F.col(x) - F.col(f"m_{i}")
         for k in range(i):
@@ -75,16 +97,19 @@ def _with_distance(rows: DataFrame, fits: DataFrame) -> DataFrame:
 
 
 def _cholesky(fits: DataFrame) -> DataFrame:
-    """Columns l_i_k of the lower factor, from covariance columns c_i_k; spreads below the floor are raised to it."""
+    """Columns l_i_k of the lower factor, from covariance columns c_i_k of n rows; spreads below the floor are raised to it."""
     floors = [f for _, f in STATISTICS.values()]
+    prior = F.lit(float(PRIOR_ROWS)) / (F.col("n") + PRIOR_ROWS)
     for i in range(len(X)):
         for k in range(i + 1):
-            value = F.col(f"c_{i}_{k}") + (floors[i] ** 2 if i == k else 0.0)
+            value = F.col(f"c_{i}_{k}")
+            if i == k:
+                value = value + floors[i] ** 2 + prior * TYPICAL.get(X[i], 0.0) ** 2
             for j in range(k):
                 value = value - F.col(f"l_{i}_{j}") * F.col(f"l_{k}_{j}")
             value = F.sqrt(F.greatest(value, F.lit(floors[i] ** 2 / 4))) if i == k else value / F.col(f"l_{k}_{k}")
             fits = fits.withColumn(f"l_{i}_{k}", value)
-    return fits.select(*GROUP, *[f"m_{i}" for i in range(len(X))], *[f"l_{i}_{k}" for i in range(len(X)) for k in range(i + 1)])
+    return fits.select("fit", *[f"m_{i}" for i in range(len(X))], *[f"l_{i}_{k}" for i in range(len(X)) for k in range(i + 1)])
 
 
 def _ready(fits: DataFrame) -> DataFrame:
@@ -94,15 +119,15 @@ def _ready(fits: DataFrame) -> DataFrame:
 
 
 def _start(rows: DataFrame) -> DataFrame:
-    """Medians and absolute deviations per group, as a diagonal fit."""
-    middles = rows.groupBy(*GROUP).agg(F.count("*").alias("n"), *[F.percentile_approx(x, 0.5, 1000).alias(f"m_{i}") for i, x in enumerate(X)])
-    middles = _ready(middles.where(F.col("n") >= LEAST_ROWS).drop("n"))
-    apart = rows.join(middles, GROUP).groupBy(*GROUP).agg(
+    """Medians and absolute deviations per fit, as a diagonal fit."""
+    middles = _ready(rows.groupBy("fit").agg(*[F.percentile_approx(x, 0.5, 1000).alias(f"m_{i}") for i, x in enumerate(X)]))
+    apart = rows.join(middles, "fit").groupBy("fit").agg(
+        F.count("*").alias("n"),
         *[F.first(f"m_{i}").alias(f"m_{i}") for i in range(len(X))],
         *[F.percentile_approx(F.abs(F.col(x) - F.col(f"m_{i}")), 0.5, 1000).alias(f"a_{i}") for i, x in enumerate(X)],
     )
     return _ready(_cholesky(apart.select(
-        *GROUP, *[f"m_{i}" for i in range(len(X))],
+        "fit", "n", *[f"m_{i}" for i in range(len(X))],
         *[(F.pow(1.4826 * F.col(f"a_{i}"), 2) if i == k else F.lit(0.0)).alias(f"c_{i}_{k}") for i in range(len(X)) for k in range(i + 1)],
     )))
 
@@ -110,17 +135,18 @@ def _start(rows: DataFrame) -> DataFrame:
 def _concentrate(rows: DataFrame, fits: DataFrame) -> DataFrame:
     """Mean and covariance of the rows closest to the fit, scaled so that the median distance is the chi-square's."""
     near = _with_distance(rows, fits).where("d2 is not null")
-    bounds = _ready(near.groupBy(*GROUP).agg(F.percentile_approx("d2", HALF, 1000).alias("bound")))
-    inner = near.join(bounds, GROUP).where("d2 <= bound")
-    sums = inner.groupBy(*GROUP).agg(
+    bounds = _ready(near.groupBy("fit").agg(F.percentile_approx("d2", HALF, 1000).alias("bound")))
+    inner = near.join(bounds, "fit").where("d2 <= bound")
+    sums = inner.groupBy("fit").agg(
+        F.count("*").alias("n"),
         *[F.avg(x).alias(f"m_{i}") for i, x in enumerate(X)],
         *[F.covar_pop(X[i], X[k]).alias(f"c_{i}_{k}") for i in range(len(X)) for k in range(i + 1)],
     )
     fits = _ready(_cholesky(sums))
-    middle = _with_distance(rows, fits).where("d2 is not null").groupBy(*GROUP).agg(F.percentile_approx("d2", 0.5, 1000).alias("mid"))
+    middle = _with_distance(rows, fits).where("d2 is not null").groupBy("fit").agg(F.percentile_approx("d2", 0.5, 1000).alias("mid"))
     scale = F.greatest(F.sqrt(F.col("mid") / MEDIAN_CHI2), F.lit(1.0))
-    scaled = fits.join(middle, GROUP).select(
-        *GROUP, *[f"m_{i}" for i in range(len(X))], *[(F.col(f"l_{i}_{k}") * scale).alias(f"l_{i}_{k}") for i in range(len(X)) for k in range(i + 1)]
+    scaled = fits.join(middle, "fit").select(
+        "fit", *[f"m_{i}" for i in range(len(X))], *[(F.col(f"l_{i}_{k}") * scale).alias(f"l_{i}_{k}") for i in range(len(X)) for k in range(i + 1)]
     )
     return _ready(scaled)
 
@@ -128,19 +154,22 @@ def _concentrate(rows: DataFrame, fits: DataFrame) -> DataFrame:
 def quality(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, distance, kept) per row.
 
-    Rows that fail the base rules are not kept, nor used for a fit. Others are kept unless their squared
-    robust distance within their language and source passes CUT. Groups of fewer than LEAST_ROWS rows keep theirs
-    (distance null). Null text has no words and fails; null language or source is a group of its own, with the
-    empty string. Repeated rows count as often as they occur; other columns are ignored.
+    Rows that fail the base rules are not kept, nor used for a fit (distance null). Others are kept unless their squared
+    robust distance passes CUT: within their language and source, within their language if that group has fewer than
+    LEAST_ROWS rows, or among all rows if the language has fewer too. Null text has no words and fails; null language
+    or source is a group of its own, with the empty string. Repeated rows count as often as they occur; other columns are ignored.
     """
     stats = stored(base_statistics(docs), "statistics")
-    passed = stored(stats.where("not base_failed").select(*GROUP, *[F.expr(e).cast("double").alias(x) for x, (e, _) in STATISTICS.items()]), "vectors")
-    fits = _start(passed)
+    passed = stats.where("not base_failed")
+    groups = _groups(passed)
+    vectors = {x: F.expr(e).cast("double") for x, (e, _) in STATISTICS.items()}
+    rows = stored(passed.join(groups, GROUP).select(F.explode("fits").alias("fit"), *[v.alias(x) for x, v in vectors.items()]), "vectors")
+    fits = _start(rows)
     for _ in range(STEPS):
-        fits = _concentrate(passed, fits)
-    vectors = stats.withColumns({x: F.when(~F.col("base_failed"), F.expr(e)).cast("double") for x, (e, _) in STATISTICS.items()})
-    judged = _with_distance(vectors, fits)
+        fits = _concentrate(rows, fits)
+    own = stats.join(groups.drop("fits"), GROUP, "left").withColumns({x: F.when(~F.col("base_failed"), v) for x, v in vectors.items()})
+    judged = _with_distance(own, fits)
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.sqrt("d2").alias("distance"),
-        (~F.col("base_failed") & F.coalesce(F.col("d2") <= CUT, F.lit(True))).alias("kept"),
+        (~F.col("base_failed") & F.coalesce(F.col("d2") <= CUT, F.lit(False))).alias("kept"),
     )

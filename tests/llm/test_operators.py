@@ -215,6 +215,17 @@ def test_quality_rejects_outliers(spark):
     assert all(kept[i] for i in range(300)) and not any(kept[1000 + i] for i in range(10))
 
 
+def test_quality_judges_small_groups(spark):
+    rng = random.Random(1)
+    clean = lambda: " ".join(rng.choice(["some", "words", "and", "more", "of", "them", f"u{rng.randrange(999)}"]) for _ in range(rng.randint(60, 200)))
+    junk = lambda: " ".join(rng.choice(["#$%", "|||", "<<>>", f"k{rng.randrange(999)}"]) for _ in range(100))
+    rows = [(i, clean(), "en", f"s{i // 12}") for i in range(120)] + [(200 + i, clean(), "xx", "s0") for i in range(8)]
+    rows += [(1000, junk(), "en", "s3"), (1001, junk(), "en", "only"), (1002, junk(), "xx", "s0"), (1003, junk(), "yy", "only"), (2000, "short", "en", "s0")]
+    judged = {r.doc_id: r for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert all((r.distance is None) == r.base_failed for r in judged.values()) and judged[2000].base_failed
+    assert {i for i, r in judged.items() if r.kept} == {i for i in judged if i < 1000}
+
+
 def test_toxicity(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     rows = toxicity.toxicity(docs.withColumn("toxic", F.lit(9)), labels).join(labels, "doc_id").where("held_out").collect()
