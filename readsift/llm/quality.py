@@ -19,17 +19,19 @@ HALF = 0.75  # share of a group's rows that a concentration step keeps
 STEPS = 3
 LEAST_ROWS = 50  # smaller groups can't support a covariance: their rows are judged by a wider fit
 PRIOR_ROWS = 10  # rows that the typical spreads count for beside a fit's own
-CUT = 90.0  # squared distance, far beyond any quantile of a chi-square with five degrees of freedom: clean texts have heavy tails
+CUT = 35.888  # squared distance that a chi-square with five degrees of freedom passes once in a million: clean texts have heavy tails
 MEDIAN_CHI2 = 4.351  # median of that chi-square (fixed value)
 SMALL_GROUPS = 50_000  # groups whose parameters (some 25 numbers each) are broadcast
-#: Transformed statistics, and the spread below which a difference in one does not count.
+#: Transformed statistics, and the spread added to a fit's own: small beside a statistic's range, so that each can pass CUT by itself.
 STATISTICS = {
-    "x0": ("log(n_words)", 0.5),
-    "x1": ("log(word_chars / n_words)", 0.1),
-    "x2": ("sqrt(n_symbols / word_chars)", 0.05),
-    "x3": ("sqrt(n_dup_lines / n_lines)", 0.15),
-    "x4": ("sqrt(n_repeat_words / n_words)", 0.15),
+    "x0": ("log(n_words)", 0.2),
+    "x1": ("log(word_chars / n_words)", 0.05),
+    "x2": ("sqrt(n_symbols / word_chars)", 0.03),
+    "x3": ("sqrt(n_dup_lines / n_lines)", 0.14),
+    "x4": ("sqrt(n_repeat_words / n_words)", 0.1),
 }
+#: A passage that occurs twice raises both: the floors of repeated lines and words go together.
+TOGETHER = {("x4", "x3"): 0.7}
 #: Spreads that texts have anywhere, for fits over few rows.
 TYPICAL = {"x0": 1.0, "x1": 0.1}
 X = list(STATISTICS)
@@ -102,7 +104,7 @@ def _cholesky(fits: DataFrame) -> DataFrame:
     prior = F.lit(float(PRIOR_ROWS)) / (F.col("n") + PRIOR_ROWS)
     for i in range(len(X)):
         for k in range(i + 1):
-            value = F.col(f"c_{i}_{k}")
+            value = F.col(f"c_{i}_{k}") + floors[i] * floors[k] * TOGETHER.get((X[i], X[k]), 0.0)
             if i == k:
                 value = value + floors[i] ** 2 + prior * TYPICAL.get(X[i], 0.0) ** 2
             for j in range(k):

@@ -226,6 +226,26 @@ def test_quality_judges_small_groups(spark):
     assert {i for i, r in judged.items() if r.kept} == {i for i in judged if i < 1000}
 
 
+def test_quality_rejects_by_each_statistic(spark):
+    rng = random.Random(1)
+    clean = lambda n: [rng.choice(["some", "words", "and", "more", "of", "them", f"u{rng.randrange(999)}"]) for _ in range(n)]
+    rows = [(i, " ".join(clean(rng.randint(60, 200)))) for i in range(300)]
+    body, passage = clean(72), clean(14)
+    planted = {
+        "x0": " ".join(clean(3000)),
+        "x1": " ".join(w + w for w in clean(100)),
+        "x2": " ".join(w if k % 5 else "##" + w[2:] for k, w in enumerate(clean(100))),
+        "x3": "\n".join(w for i in range(25) for w in (f"then u{i}", "some", "words", "more")),
+        "x4": " ".join(body[:20] + passage + body[20:] + passage),
+    }
+    rows += [(1000 + k, text) for k, text in enumerate(planted.values())]
+    docs = awkward(spark, rows).withColumns({"lang": F.lit("en"), "source": F.lit("s")})
+    judged = {r.doc_id: r for r in quality.quality(docs).collect()}
+    assert not any(judged[1000 + k].base_failed for k in range(5)) and all(judged[i].kept for i in range(300))
+    assert [x for k, x in enumerate(planted) if judged[1000 + k].kept] == []
+    assert judged[1003].n_repeat_words == 0 and judged[1004].n_dup_lines == 0
+
+
 def test_toxicity(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     rows = toxicity.toxicity(docs.withColumn("toxic", F.lit(9)), labels).join(labels, "doc_id").where("held_out").collect()
