@@ -4,6 +4,7 @@ Items are partitioned by the size of their shingle sets. An item's sketch is its
 (bottom-k MinHash), with k set by its size partition: a document that holds the asked share of the item's
 shingles misses too few of them to miss the whole sketch. So no contained item escapes, and a document is
 looked at only if it has some sketch value. Candidates are verified on exact shingle strings.
+An item with fewer words than a shingle is one shingle of its own length, looked for in word runs of that length.
 """
 
 from pyspark.sql import DataFrame, functions as F
@@ -25,10 +26,23 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def shingles_of(array: str, widths: list, value):
+    """value(words) of each run of as many words as the widths say, SHINGLE first."""
+    runs = [grams(array, w, value) for w in (SHINGLE, *widths)]
+    return runs[0] if len(runs) == 1 else F.flatten(F.array_compact(F.array(*runs)))
+
+
+def short_widths(shingles: DataFrame) -> list:
+    """Word counts of the items that are shorter than a shingle, as far as there are any."""
+    width = F.size(F.split("shingle", " "))
+    return sorted(r.width for r in shingles.select(width.alias("width")).where(F.col("width") < SHINGLE).distinct().collect())
+
+
 def item_shingles(items: DataFrame) -> DataFrame:
-    """(item_id, shingle, hash, n): distinct shingles of each item with the size of its set."""
+    """(item_id, shingle, hash, n): distinct shingles of each item with the size of its set; a shorter item is its own shingle."""
+    join = lambda s: F.array_join(s, " ")
     rows = items.select(F.col("item_id").cast("long").alias("item_id"), words(F.lower("text")).alias("w")).where("item_id is not null")
-    rows = rows.select("item_id", F.explode(grams("w", SHINGLE, lambda s: F.array_join(s, " "))).alias("shingle")).distinct()
+    rows = rows.select("item_id", F.explode(F.when(F.size("w").between(1, SHINGLE - 1), F.array(join(F.col("w")))).otherwise(grams("w", SHINGLE, join))).alias("shingle")).distinct()
     sizes = rows.groupBy("item_id").agg(F.count("*").alias("n"))
     return rows.join(sizes, "item_id").withColumn("hash", F.xxhash64(F.split("shingle", " ")))
 
@@ -44,19 +58,19 @@ def sketches(shingles: DataFrame, percent: int) -> DataFrame:
 def leaks(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, item_id, n_shingles, n_shared) of documents that hold at least `percent` % of an item's distinct 5-word shingles.
 
-    Case is folded; words are runs of characters other than space and 0x09 to 0x0D. Items with fewer than five
-    words have no shingles and are not searched; nor are items without an id. Null or empty texts hold none. A
+    Case is folded; words are runs of characters other than space and 0x09 to 0x0D. An item with fewer than
+    five words has one shingle, all its words. Items without words or an id are not searched. Null or empty texts hold none. A
     document is a doc_id (null too) and a text: a repeated row gives no further rows. Other columns are ignored.
     """
     shingles = stored(item_shingles(items), "items")
-    sketch = stored(sketches(shingles, percent), "sketch")
+    sketch, widths = stored(sketches(shingles, percent), "sketch"), short_widths(shingles)
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.select("doc", F.crc32("text").alias("chk"), "text")
-    hashed = texts.withColumn("w", words(F.lower("text"))).select("doc", "chk", F.explode(grams("w", SHINGLE, F.xxhash64)).alias("hash"))
+    hashed = texts.withColumn("w", words(F.lower("text"))).select("doc", "chk", F.explode(shingles_of("w", widths, F.xxhash64)).alias("hash"))
     candidates = stored(hashed.join(small(sketch, SKETCH_ROWS), "hash").groupBy("doc", "chk", "item_id").agg(F.lit(1).alias("found")).drop("found"), "candidates")
     keys = stored(candidates.select("doc", "chk").distinct(), "candidate-documents")
     wanted = texts.join(small(keys, CANDIDATE_ROWS), ["doc", "chk"], "left_semi").withColumn("w", words(F.lower("text")))
-    own = wanted.select("doc", "chk", F.explode(F.array_distinct(grams("w", SHINGLE, lambda s: F.array_join(s, " ")))).alias("shingle"))
+    own = wanted.select("doc", "chk", F.explode(F.array_distinct(shingles_of("w", widths, lambda s: F.array_join(s, " ")))).alias("shingle"))
     # distinct again: repeated rows of one document
     shared = own.join(small(shingles.select("shingle", "item_id", "n"), ITEM_ROWS), "shingle").distinct().groupBy("doc", "chk", "item_id", "n").agg(F.count("*").alias("n_shared"))
     found = shared.join(candidates, ["doc", "chk", "item_id"], "left_semi").where(F.col("n_shared") * 100 >= F.col("n") * percent)

@@ -272,6 +272,18 @@ def test_decontamination(spark):
     assert any(r.doc_id is None for r in decontaminate.leaks(docs, items).collect())
 
 
+def test_decontamination_of_short_items(spark):
+    rows = [(1, "w4 w5\tW6 w7"), (2, "TWO  three"), (3, "one two three"), (4, "漢字"), (5, " ".join(f"w{i}" for i in range(5))), (6, "three two"), (7, " \t"), (None, "one")]
+    docs = awkward(spark)
+    wanted = []
+    for doc, text in {(i, t) for i, t in texts_of(docs) if t}:
+        words = text.lower().split()
+        runs = {tuple(words[i : i + n]) for n in range(1, 6) for i in range(len(words) - n + 1)}
+        wanted += [(doc, item, 1, 1) for item, t in rows if item is not None and (w := tuple(t.lower().split())) and w in runs]
+    got = [tuple(r) for r in decontaminate.leaks(docs, spark.createDataFrame(rows, "item_id long, text string")).collect()]
+    assert key(got) == key(wanted) and {i for _, i, _, _ in wanted} == {1, 2, 3, 4, 5}
+
+
 def test_chats(spark):
     turns = [(1, 0, "user", "hi"), (1, 1, "assistant", "yes"), (2, 0, "user", "hi"), (3, 0, "user", "hi"), (3, 1, "assistant", "yes"), (3, 2, "user", None),
              (4, 0, "user", "hi"), (4, 1, "assistant", "no"), (5, None, None, None), (6, 0, "user", "hi"), (6, 1, "assistant", "no"), (7, 5, "user", "tie"), (7, 5, "user", "tie")]
