@@ -11,6 +11,7 @@ Characters outside the vocabulary fall back to their bytes (`<0x..>` pieces), as
 
 import heapq
 from collections import Counter
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -253,9 +254,27 @@ class Model:
             best = sorted(grown, key=lambda x: -x[0])[: self.n]
         return [(total, b"".join([f[1] for f in firsts])), *best[1:]]
 
+    def others(self, words: list, best: list, right: bool) -> list:
+        """(score, [(first piece, pieces, ids as bytes that stand for them)], decoded) of the segmentations after the best one.
+
+        right: whether the best one decodes to the text. One whose changed words spell the same bytes decodes to what it does.
+        """
+        if len(best) == 1:
+            return []
+        firsts, out = [self.known[w][1] for w in words], []
+        ends = np.cumsum(list(map(len, firsts)))
+        for score, changes in best[1:]:
+            parts = [(int(ends[i] - len(firsts[i])) // 4, len(firsts[i]) // 4, ids) for i, ids in sorted(changes.items())]
+            out.append((score, parts, right and all(self.spelled(ids) == self.spelled(firsts[i]) for i, ids in changes.items())))
+        return out
+
+    def spelled(self, ids: bytes) -> bytes:
+        """The bytes of pieces, marks included."""
+        return b"".join(map(self.raw.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
     def decode(self, ids: bytes) -> str:
         """Text of ids: bytes joined, marks as spaces, the first mark dropped."""
-        text = b"".join(map(self.raw.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace").replace(MARK, " ")
+        text = self.spelled(ids).decode("utf-8", "replace").replace(MARK, " ")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -267,10 +286,11 @@ def model(name: str, n: int) -> Model:
 
 
 def segmented(docs: DataFrame, name: str = MODEL, n: int = NBEST) -> DataFrame:
-    """(doc_id, n_pieces, ids binary, scores array, decoded boolean) per row.
+    """(doc_id, n_pieces, ids binary, scores array, decoded boolean, others array of (score, changes, decoded)) per row.
 
     ids: the best segmentation, little-endian 32-bit; scores: of the n best, descending, as far as there are
-    that many; decoded: decoding ids gives the text again (a mark in a text comes back as a space). Null text is empty: no pieces, one score
+    that many; others: the second to the n-th best, in that order, as changes of the
+    best one's ids, (at, n, ids) for the n ids from place at on: `segmentations` writes them out; decoded: decoding ids gives the text again (a mark in a text comes back as a space). Null text is empty: no pieces, one score
     of zero. Equal scores come in a fixed order. Repeated rows and null ids are encoded like any other; other columns are ignored.
     """
 
@@ -278,17 +298,40 @@ def segmented(docs: DataFrame, name: str = MODEL, n: int = NBEST) -> DataFrame:
         own = model(name, n)
         for batch in batches:
             for part in slices(batch, size=TOGETHER):
-                texts, out = part["text"].to_pylist(), []
+                texts, out, more, ends = part["text"].to_pylist(), [], [], [0]
                 cut = [own.words(t) for t in texts]
                 own.learn(set().union(*cut))
                 for text, words in zip(texts, cut, strict=True):
                     best = own.encode(text, words)
                     ids = best[0][1]
                     out.append((len(ids) // 4, ids, [s for s, _ in best], own.decode(ids) == text.replace(MARK, " ")))
+                    more += own.others(words, best, out[-1][3])
+                    ends.append(len(more))
+                changes = [c for x in more for c in x[1]]
+                changes = pa.StructArray.from_arrays([pa.array([c[i] for c in changes], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary()))], names=["at", "n", "ids"])
+                changes = pa.ListArray.from_arrays(pa.array([0, *accumulate(len(x[1]) for x in more)], pa.int32()), changes)
+                others = pa.StructArray.from_arrays([pa.array([x[0] for x in more], pa.float64()), changes, pa.array([x[2] for x in more], pa.bool_())], names=["score", "changes", "decoded"])
                 yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"], *(pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.list_(pa.float64()), pa.bool_())))],
-                    names=["doc_id", "n_pieces", "ids", "scores", "decoded"],
+                    [
+                        part["doc_id"], *(pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.list_(pa.float64()), pa.bool_()))),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), others),
+                    ],
+                    names=["doc_id", "n_pieces", "ids", "scores", "decoded", "others"],
                 )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_pieces long, ids binary, scores array<double>, decoded boolean")
+    return rows.mapInArrow(run, "doc_id long, n_pieces long, ids binary, scores array<double>, decoded boolean, others array<struct<score: double, changes: array<struct<at: int, n: int, ids: binary>>, decoded: boolean>>")
+
+
+def segmentations(rows: DataFrame) -> DataFrame:
+    """(doc_id, segmentations array of (score, ids, decoded)): the n best of each row of `segmented`, best first, written out."""
+
+    def whole(changes):
+        kept = lambda a, end: F.substring(F.col("ids"), a["place"] * 4 + 1, (end - a["place"]) * 4)
+        start = F.struct(F.expr("X''").alias("done"), F.lit(0).alias("place"))
+        step = lambda a, c: F.struct(F.concat(a["done"], kept(a, c["at"]), c["ids"]).alias("done"), (c["at"] + c["n"]).alias("place"))
+        return F.aggregate(changes, start, step, lambda a: F.concat(a["done"], kept(a, F.col("n_pieces").cast("int"))))
+
+    best = F.struct(F.get("scores", F.lit(0)).alias("score"), F.col("ids").alias("ids"), F.col("decoded").alias("decoded"))
+    more = F.transform("others", lambda o: F.struct(o["score"].alias("score"), whole(o["changes"]).alias("ids"), o["decoded"].alias("decoded")))
+    return rows.select("doc_id", F.concat(F.array(best), more).alias("segmentations"))

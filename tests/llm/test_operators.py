@@ -184,6 +184,26 @@ def test_pieces_awkward(spark):
     assert [r.n_pieces for r in rows if r.doc_id == 3] == [0]
 
 
+def test_pieces_of_every_segmentation(spark):
+    own = nbest.model(nbest.MODEL, 4)
+    score = {i: nbest.BYTE_SCORE if own.library.is_byte(i) else max(own.library.get_score(i), nbest.BYTE_SCORE) for i in range(own.library.get_piece_size())}
+
+    def every(word):
+        return [(s + t, i + j) for end, s, i in own.edges(word, 0) for t, j in every(word[end:])] if word else [(0.0, b"")]
+
+    rng = random.Random(11)
+    texts = {i: "".join(rng.choice("the an io\nαé漢 ") for _ in range(rng.randint(0, 14))) for i in range(60)} | {60: "the other one and the other ones"}
+    for r in nbest.segmentations(nbest.segmented(awkward(spark, list(texts.items())))).collect():
+        text, ids, scores = texts[r.doc_id], [bytes(x.ids) for x in r.segmentations], [x.score for x in r.segmentations]
+        possible = 1
+        for word in own.words(text):
+            possible *= len(every(word))
+        assert len(ids) == len(set(ids)) == min(4, possible)
+        assert all(own.decode(x) == text for x in ids) and all(x.decoded for x in r.segmentations)
+        assert scores == sorted(scores, reverse=True)
+        assert [sum(score[i] for i in np.frombuffer(x, "<u4").tolist()) for x in ids] == pytest.approx(scores)
+
+
 def base_counts(text):
     text = text or ""
     words = text.encode().split()
