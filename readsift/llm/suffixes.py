@@ -180,12 +180,19 @@ def _later(pos, new, of, first, sizes, runs, length):
     return hit[(hit["doc"] != lead["doc"]) | (hit["start"] != lead["start"])]
 
 
-def dedup_substrings(docs: DataFrame, length: int = LENGTH, carry: tuple = ()) -> DataFrame:
+def whole_characters(text: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """The bytes that go, with the rest of each UTF-8 character that loses some."""
+    of = np.cumsum((text & 0xC0) != 0x80)
+    return np.bincount(of, gone)[of] > 0
+
+
+def dedup_substrings(docs: DataFrame, length: int = LENGTH, carry: tuple = (), characters: bool = False) -> DataFrame:
     """Bytes kept by each text: (doc_id, n_bytes, n_removed, n_spans, kept binary, carried struct of the columns `carry`).
 
     A byte goes if a string of `length` bytes over it also starts earlier in the input: in a text with a
     smaller doc_id, or earlier in the same text. Null text is empty; a null doc_id is smaller than any other and
     stays null. Rows that repeat a doc_id are the same place in that order: at equal starts neither is earlier.
+    With `characters`, `kept` has no character in part: what a cut leaves of one goes too, uncounted.
     Other columns are ignored.
     """
     if length < GRAM:
@@ -210,7 +217,8 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, carry: tuple = ()) -
                     gone = cover(read_spans(parts), n_bytes, length - 1)
                     removed = int(gone.sum())
                     spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-                    text = np.frombuffer(text, np.uint8)[~gone].tobytes()
+                    text = np.frombuffer(text, np.uint8)
+                    text = text[~(whole_characters(text, gone) if characters else gone)].tobytes()
                 out.append((n_bytes, removed, spans, text))
             yield pa.RecordBatch.from_arrays(
                 [batch["doc"], *(pa.array([x[i] for x in out], pa.int64()) for i in range(3)), pa.array([x[3] for x in out], pa.binary()), batch["carried"]],

@@ -27,3 +27,13 @@ def test_stages(spark):
         kept = spark.createDataFrame(rows, kept.schema)
     final = corpus_pipeline.run(spark, SF).collect()
     assert {r.doc_id for r in final} == {r.doc_id for r in kept.collect()} and all(r.decoded for r in final)
+
+
+def test_cut_keeps_the_replacement_characters_of_a_text(spark):
+    passage = " ".join(f"wörd{i}" for i in range(30))
+    texts = {1: f"ü {passage}ü first", 2: f"a\ufffdb {passage}ö tail \ufffd\ufffd end", 3: "\ufffd alone", 4: f"漢{passage[1:]}字 of \ufffd four"}
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.cut_repeats(spark, docs, SF).collect()}
+    # doc 2: the blank before the passage and the first byte of ö stand in doc 1 too
+    wanted = {1: texts[1], 2: "a\ufffdb tail \ufffd\ufffd end", 3: texts[3], 4: "漢字 of \ufffd four"}
+    assert got == {i: (t, len(t)) for i, t in wanted.items()}
