@@ -5,11 +5,15 @@
 2. Candidate windows go, as segments of text, to the shard that their smallest hash names: equal windows
    meet in one shard. Equal segments are folded into their first occurrence before and after the shuffle.
 3. Each shard sorts its suffixes by external induced sorting (`induced`); neighbours with a common prefix of
-   `length` bytes or more are equal windows, of which all but the first are marked.
+   `length` bytes or more are equal windows, of which all but the first are marked. The sort takes some 75 bytes of
+   memory a byte, so in a shard beyond WHOLE bytes (a hot anchor) windows are dealt by content into files, and those
+   of one file that share a hash are compared as bytes.
 4. The marks go back to their texts.
 """
 
 import hashlib
+import os
+import tempfile
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +24,9 @@ from readsift.llm.vectors import cover, flat, read_spans, rolling, slices, slide
 
 LENGTH = 100
 GRAM = 32  # bytes; a power of two keeps the rolling hash cheap
+WHOLE = 4 << 20  # bytes of a shard whose suffixes are sorted at once
+DEALT = 1 << 19  # windows in a file of a larger shard, on average
+WINDOW = np.dtype([("hash", "<u8"), ("at", "<i8")])
 
 
 def anchored(data: np.ndarray, offsets: np.ndarray, length: int):
@@ -136,7 +143,8 @@ def shard_marks(table: pa.Table, length: int) -> pa.Table:
         first = np.cumsum(sizes) - sizes
         data = np.frombuffer(b"".join(segments), np.uint8)
         segments = None
-        marks.extend(repeats(data, first, sizes, runs, length))
+        find = repeats if len(data) <= WHOLE else dealt_repeats
+        marks.extend(find(data, first, sizes, runs, length))
     marks = [m for m in marks if len(m)]
     before = table.filter(pa.compute.is_valid(table["spans"])).select(["doc", "chk", "spans"])
     schema = pa.schema([("doc", pa.int64()), ("chk", pa.int64()), ("spans", pa.binary())])
@@ -162,6 +170,38 @@ def repeats(data: np.ndarray, first: np.ndarray, sizes: np.ndarray, runs: np.nda
     yield _later(rest_pos, rest_new, of, first, sizes, runs, length)
 
 
+def dealt_repeats(data: np.ndarray, first: np.ndarray, sizes: np.ndarray, runs: np.ndarray, length: int):
+    """What `repeats` finds, in memory that does not follow the shard: its windows go by their hash to files, read one by one."""
+    files = -(-len(data) // DEALT)
+    places = [*range(0, length - GRAM, GRAM), length - GRAM]  # grams that cover a window
+    with tempfile.TemporaryDirectory() as folder:
+        paths = [os.path.join(folder, str(k)) for k in range(files)]
+        for a in range(0, len(data) - length + 1, WHOLE):
+            grams = exchange.mix(rolling(data[a : a + WHOLE + length - 1], GRAM))
+            out = np.zeros(len(grams) - length + GRAM, WINDOW)
+            for p in places:
+                out["hash"] = exchange.mix(out["hash"] + grams[p : p + len(out)])
+            out["at"] = np.arange(a, a + len(out))
+            of = np.searchsorted(first, out["at"], "right") - 1
+            out = out[out["at"] + length <= first[of] + sizes[of]]  # the window ends inside its segment
+            to = ((out["hash"] >> np.uint64(32)) % np.uint64(files)).astype(np.int64)
+            order = np.argsort(to, kind="stable")
+            out, ends = out[order], np.searchsorted(to[order], np.arange(files + 1))
+            for k in np.flatnonzero(np.diff(ends)).tolist():
+                with open(paths[k], "ab") as file:
+                    file.write(out[ends[k] : ends[k + 1]].tobytes())
+        raw = memoryview(data)
+        for path in filter(os.path.exists, paths):
+            found = np.fromfile(path, WINDOW)
+            _, inverse, times = np.unique(found["hash"], return_inverse=True, return_counts=True)
+            at = found["at"][times[inverse] > 1]
+            of = np.searchsorted(first, at, "right") - 1
+            hit = runs[of]
+            hit["start"] += (at - first[of]).astype(np.uint32)
+            hit["count"] = 1
+            yield hit[fold(hit, lambda i, at=at.tolist(): bytes(raw[at[i] : at[i] + length]))[1]]
+
+
 def _later(pos, new, of, first, sizes, runs, length):
     group = np.cumsum(new)
     whole = pos + length <= first[of[pos]] + sizes[of[pos]]  # the window ends inside its segment

@@ -53,6 +53,27 @@ def test_suffixes(spark):
     assert sorted(r.n for r in carried.collect()) == list(range(len(texts)))
 
 
+def test_hot_shards_are_dealt(monkeypatch):
+    rng = random.Random(4)
+    passage, ends = bytes(rng.choices(range(97, 123), k=70)), [bytes(rng.choices(range(97, 123), k=80)) for _ in range(40)]
+    segments = [passage + (rng.choice(ends) if i % 2 else bytes(rng.choices(range(97, 123), k=80)))[: rng.randint(40, 80)] for i in range(400)] + [b"ab" * 90]
+    runs = np.zeros(len(segments), suffixes.exchange.RUN)
+    runs["doc"], runs["start"] = [rng.randrange(300) for _ in segments], [200 * i for i in range(len(segments))]
+    sizes = np.array(list(map(len, segments)))
+    runs["count"], first, data = sizes - 99, np.cumsum(sizes) - sizes, np.frombuffer(b"".join(segments), np.uint8)
+    marks = lambda find: sorted(tuple(m) for part in find(data, first, sizes, runs, 100) for m in part.tolist())
+    wanted = marks(suffixes.repeats)
+    for whole, dealt in ((1000, 500), (4096, 1 << 19)):
+        monkeypatch.setattr(suffixes, "WHOLE", whole)
+        monkeypatch.setattr(suffixes, "DEALT", dealt)
+        assert marks(suffixes.dealt_repeats) == wanted and len(wanted) > 1000
+    # beyond WHOLE nothing is sorted at once
+    monkeypatch.setattr(suffixes, "repeats", None)
+    payload = np.int32(len(runs)).tobytes() + runs.tobytes() + data.tobytes()
+    row = suffixes.exchange.rows(bucket=np.array([0], np.int32), payload=suffixes.pa.array([payload], suffixes.pa.binary()))
+    assert suffixes.shard_marks(suffixes.pa.Table.from_batches([row]), 100).num_rows > 100
+
+
 @pytest.mark.parametrize("limit", [0, 200, 1 << 28])
 def test_induced_sorting(limit):
     rng = random.Random(limit)
