@@ -1,6 +1,8 @@
 """One query per operator over its whole table, with production parameters."""
 
-from readsift.llm import chats, counts, dac, decontaminate, hyperminhash, nbest, quality, suffixes, toxicity, windows
+from readsift.llm import (
+    alignment, bytepairs, chats, counts, dac, decontaminate, hyperminhash, nbest, prefixes, quality, suffixes, toxicity, windows,
+)
 from readsift.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -52,3 +54,18 @@ def op7(spark, sf_dir):
 @query("op5_piece_nbest")
 def op5(spark, sf_dir):
     return nbest.segmented(table(spark, sf_dir, "documents"))
+
+
+@query("op11_tokenizer_alignment")
+def op11(spark, sf_dir):
+    return alignment.alignment(table(spark, sf_dir, "documents"))
+
+
+@query("op12_prefix_trie", prefixes.SQL)
+def op12(spark, sf_dir):
+    return prefixes.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_byte_pairs")
+def op13(spark, sf_dir):
+    return bytepairs.round_trip(table(spark, sf_dir, "documents"))
