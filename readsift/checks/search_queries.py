@@ -303,22 +303,18 @@ def cluster_unique(spark, sf_dir):
     return cluster.unique_sequences(reads(spark, sf_dir))
 
 
-LEADER_PAIRS = f"""words as materialized ({_words('uniq', 'ord', 16)}),
-firsts as materialized (select word, ord, min(pos) as pos from words group by word, ord),
-leads as materialized (select word, min(ord) as ord from firsts group by word),
+SHARED_PAIRS = f"""words as materialized ({_words('uniq', 'ord', 16)}),
 pairs as materialized (
-  select distinct m.ord as a, d.ord as b, l.pos - m.pos as diag
-  from words m join leads d on d.word = m.word join firsts l on l.word = d.word and l.ord = d.ord where m.ord <> d.ord)"""
+  select distinct m.ord as a, d.ord as b, d.pos - m.pos as diag from words m join words d on d.word = m.word where d.ord < m.ord)"""
 
 
 @query("cluster_edges", ["fx_reads"], f"""{UNIQUE},
-{LEADER_PAIRS}, {SIMILAR}
+{SHARED_PAIRS}, {SIMILAR}
 select x.read_id, y.read_id as lead_id, diag, overlap, equal from alike join uniq x on x.ord = a join uniq y on y.ord = b""")
 def cluster_edges(spark, sf_dir):
     ordered = cluster.greedy_order(cluster.unique_sequences(reads(spark, sf_dir)))
-    edges = cluster.leader_edges(cluster.leader_diagonals(ordered), ordered, ordered)
     lead = ordered.select(F.col("ord").alias("lead"), F.col("read_id").alias("lead_id"))
-    return edges.join(ordered.select("ord", "read_id"), "ord").join(lead, "lead").select(
+    return cluster.similar(ordered, ordered).join(ordered.select("ord", "read_id"), "ord").join(lead, "lead").select(
         "read_id", "lead_id", F.col("diag").cast("long").alias("diag"), F.col("overlap").cast("long").alias("overlap"),
         F.col("equal").cast("long").alias("equal"),
     )
@@ -327,8 +323,8 @@ def cluster_edges(spark, sf_dir):
 GREEDY_ROUNDS = 16
 
 
-def _greedy_sql() -> str:
-    """Centroids from the graph of similar pairs, by rounds of 'no earlier undecided neighbour'."""
+def _greedy_sql(result: str) -> str:
+    """Centroids from the graph of all similar pairs, by rounds of 'no earlier undecided neighbour'."""
     rounds = ["u0 as materialized (select ord from uniq)"]
     for r in range(GREEDY_ROUNDS):
         rounds.append(
@@ -341,18 +337,22 @@ def _greedy_sql() -> str:
         )
     chosen = " union all ".join(f"select ord from c{r}" for r in range(GREEDY_ROUNDS))
     return f"""{UNIQUE},
-{LEADER_PAIRS}, {SIMILAR},
+{SHARED_PAIRS}, {SIMILAR},
 edges as materialized (select distinct a as later, b as earlier from alike),
-{", ".join(rounds)}
-select read_id, seq from uniq where ord in ({chosen})"""
+{", ".join(rounds)}, chosen as materialized ({chosen})
+{result}"""
 
 
-@query("cluster_centroids", ["fx_reads"], _greedy_sql())
+@query("cluster_centroids", ["fx_reads"], _greedy_sql("select read_id, seq from uniq where ord in (select ord from chosen)"))
 def cluster_centroids(spark, sf_dir):
     return cluster.centroids(reads(spark, sf_dir))
 
 
-@query("cluster_members")
+@query("cluster_members", ["fx_reads"], _greedy_sql("""
+, joined as (select u.ord, coalesce(min(c.ord), u.ord) as centroid
+  from uniq u left join edges e on e.later = u.ord left join chosen c on c.ord = e.earlier group by u.ord)
+select r.read_id, l.read_id as centroid_id
+from fx_reads r join uniq u on u.seq = upper(r.seq) join joined j on j.ord = u.ord join uniq l on l.ord = j.centroid"""))
 def cluster_members(spark, sf_dir):
     return cluster.members(reads(spark, sf_dir))
 

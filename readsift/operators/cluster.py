@@ -1,14 +1,13 @@
 """Greedy clustering: one centroid per group of near-identical sequences.
 
-Sequences are ranked longest first. Each word names the first sequence that holds it, its leader, and
-every sequence is compared with the leaders of its words, never with all that share a word. So a word
-held by a third of all sequences costs one row per holder, not one per pair (the linear-time scheme
-published as Linclust). Two compared sequences are similar when, on a diagonal of a shared word (its
-first place in the leader against any place in the other), the overlap covers most of the shorter one
-and is nearly identical there.
-
-On the graph of similar pairs each sequence joins an earlier centroid among its neighbours, or becomes
-one. That greedy result is found in rounds over the edges alone, which are few and narrow.
+Sequences are ranked longest first. Two are similar when, on a diagonal of a word they share, the overlap covers most of the
+shorter one and is nearly identical there. In the order of ranks each sequence joins the first centroid similar to it, or becomes
+one; so no two centroids are similar.
+
+That result is found in batches of ranks, each several times the one before, so a run has as many batches as its size has digits.
+Within a batch all that share a word are compared. Where words are shared by many, whoever is the first to hold each of its words is
+a centroid at once and takes its group away before that, at linear cost, so that near copies of one sequence are not compared with
+each other. The batch's centroids are then compared with all later sequences, and what joins them leaves.
 """
 
 from functools import reduce
@@ -19,6 +18,7 @@ from readsift.functions.alignment import equal_positions
 from readsift.functions.binding import only
 from readsift.functions.sequence import is_seed_word
 from readsift.operators.index import word_places
+from readsift.operators.skew import Load, load, salted_join
 from readsift.params import Cluster
 from readsift.session import cut_lineage
 
@@ -31,9 +31,6 @@ def unique_sequences(sequences: DataFrame, p: Cluster = Cluster()) -> DataFrame:
     )
 
 
-POS_BITS = 20  # positions below 2^20 share a long with the rank of their sequence
-
-
 def greedy_order(unique: DataFrame) -> DataFrame:
     """Add `ord`, the rank in the order longest first, then by id. Written to reliable storage.
 
@@ -54,39 +51,28 @@ def greedy_order(unique: DataFrame) -> DataFrame:
 
 
 def _words(sequences: DataFrame, size: int) -> DataFrame:
-    """(hash, at): the rank of the sequence and the position of the word packed in one long."""
-    n = F.length("seq")
-    fits = F.when(n < 1 << POS_BITS, F.col("seq")).otherwise(
-        F.raise_error(F.lit(f"sequences of 2^{POS_BITS} bases or more cannot be clustered"))
-    )
-    at = word_places(sequences.select("ord", fits.alias("_s")), ["ord"], size)
+    """(hash, ord, pos) of the seed words."""
+    at = word_places(sequences.select("ord", F.col("seq").alias("_s")), ["ord"], size)
     word = F.substring("_s", F.col("_p") + 1, F.lit(size))
-    packed = F.shiftleft("ord", POS_BITS) + F.col("pos")
-    return at.where(is_seed_word(word)).select(F.xxhash64(word).alias("hash"), packed.alias("at"))
+    return at.where(is_seed_word(word)).select(F.xxhash64(word).alias("hash"), "ord", "pos")
 
 
-def leader_diagonals(undecided: DataFrame, p: Cluster = Cluster()) -> DataFrame:
-    """(ord, lead, diag): each sequence against the leaders of its words, where it leads not itself.
+def word_load(sequences: DataFrame, earlier: DataFrame, p: Cluster = Cluster()) -> Load:
+    """How many pairs share words, and which words are frequent, from a share of the sequences."""
+    words = lambda df: _words(df.sample(p.sample, seed=1) if p.sample < 1 else df, p.word_size)
+    return load(words(sequences), words(earlier), "hash", p.sample)
 
-    A leader stands at the first position of the word. The leaders are found with partial sums before
-    the shuffle; the join back is kept a sort-merge join, as row counts after the words are cut out
-    are far above what the planner sees.
-    """
-    words = _words(undecided, p.word_size)
-    leaders = words.groupBy("hash").agg(F.min("at").alias("_first"), F.count("*").alias("_n")).where("_n > 1")
-    rank = lambda c: F.shiftright(c, POS_BITS)
-    position = lambda c: F.col(c).bitwiseAND(F.lit((1 << POS_BITS) - 1))
-    led = words.join(leaders.select("hash", "_first").hint("merge"), "hash")
-    return (
-        led.select(
-            rank("at").alias("ord"), rank("_first").alias("lead"), (position("_first") - position("at")).alias("diag")
-        )
-        .where("ord <> lead").distinct()
-    )
+
+def shared_diagonals(sequences: DataFrame, earlier: DataFrame, p: Cluster = Cluster(), known: Load = None) -> DataFrame:
+    """(ord, lead, diag): each sequence against all earlier ones of `earlier` that share a word, on the diagonals of these words."""
+    known = known or word_load(sequences, earlier, p)
+    lead = _words(earlier, p.word_size).select("hash", F.col("ord").alias("lead"), F.col("pos").alias("_first"))
+    pairs = salted_join(_words(sequences, p.word_size), lead, "hash", known.frequent)
+    return pairs.where("lead < ord").select("ord", "lead", (F.col("_first") - F.col("pos")).alias("diag")).distinct()
 
 
-def leader_edges(pairs: DataFrame, sequences: DataFrame, leaders: DataFrame, p: Cluster = Cluster()) -> DataFrame:
-    """The diagonals on which a sequence is similar to its leader, with overlap and equal positions."""
+def edges(pairs: DataFrame, sequences: DataFrame, leaders: DataFrame, p: Cluster = Cluster()) -> DataFrame:
+    """The diagonals on which two sequences are similar, with overlap and equal positions."""
     member = sequences.select("ord", F.col("seq").alias("_a"))
     lead = leaders.select(F.col("ord").alias("lead"), F.col("seq").alias("_b"))
     na, nb = F.length("_a"), F.length("_b")
@@ -106,32 +92,90 @@ def leader_edges(pairs: DataFrame, sequences: DataFrame, leaders: DataFrame, p:
     )
 
 
-def greedy_rounds(edges: DataFrame) -> DataFrame:
-    """(ord, centroid) of the sequences that join an earlier one; in: edges (ord, lead), lead before ord.
+def similar(sequences: DataFrame, earlier: DataFrame, p: Cluster = Cluster(), known: Load = None) -> DataFrame:
+    """(ord, lead, diag, overlap, equal) of each sequence and the earlier ones it is similar to."""
+    return edges(shared_diagonals(sequences, earlier, p, known), sequences, earlier, p)
 
-    A leader that follows nobody itself is a centroid, and its followers leave. Each round decides at
-    least the first sequence left, so the loop ends; rounds are written to reliable storage.
+
+def _led(batch: DataFrame, p: Cluster) -> DataFrame:
+    """ord of sequences similar to one that is the first holder of each of its words (and so surely a centroid)."""
+    words = _words(batch, p.word_size)
+    first = words.groupBy("hash").agg(F.min("ord").alias("lead"), F.min_by("pos", "ord").alias("_first"), F.count("*").alias("_n")).where("_n > 1")
+    led = words.join(first.drop("_n").hint("merge"), "hash").where("lead < ord")
+    pairs = cut_lineage(led.select("ord", "lead", (F.col("_first") - F.col("pos")).alias("diag")).distinct())
+    followers = pairs.select(F.col("ord").alias("lead")).distinct()
+    return edges(pairs.join(followers, "lead", "left_anti"), batch, batch, p).select("ord").distinct()
+
+
+def first_come(links: DataFrame, limit: int = 1 << 20) -> DataFrame:
+    """ord of those that join an earlier one which joins nobody itself; in: distinct (ord, lead), lead before ord, written already.
+
+    At most `limit` links, those of the first ranks, go through one task in order of rank, which settles any chain among them.
+    Before that a round over all links settles those whose lead has no link itself.
     """
-    left, joined = cut_lineage(edges.select("ord", "lead").distinct()), []
-    while not left.isEmpty():
-        followers = left.select(F.col("ord").alias("lead"))
-        chosen = left.join(followers, "lead", "left_anti")
-        done = cut_lineage(chosen.groupBy("ord").agg(F.min("lead").alias("centroid")))
+    left, joined = links, []
+
+    def in_order(batches):
+        import pyarrow as pa
+
+        gone = set()
+        for batch in batches:
+            new = []
+            for o, lead in zip(batch["ord"].to_pylist(), batch["lead"].to_pylist()):
+                if lead not in gone and o not in gone:
+                    gone.add(o)
+                    new.append(o)
+            yield pa.RecordBatch.from_arrays([pa.array(new, pa.int64())], names=["ord"])
+
+    while (n := left.count()) > 0:
+        if n > limit:
+            free = left.join(left.select(F.col("ord").alias("lead")).distinct(), "lead", "left_anti")
+            done = cut_lineage(free.select("ord").distinct())
+            joined.append(done)
+            left = cut_lineage(left.join(done, "ord", "left_anti").join(done.withColumnRenamed("ord", "lead"), "lead", "left_anti"))
+            if (n := left.count()) == 0:
+                break
+        stop = left.agg(F.percentile_approx("ord", min(1.0, limit / n))).first()[0] if n > limit else None
+        now = left if stop is None else left.where(F.col("ord") <= stop)
+        done = cut_lineage(now.repartition(1).sortWithinPartitions("ord", "lead").mapInArrow(in_order, "ord long"))
+        joined.append(done)
+        if stop is None:
+            break
+        # leads up to there are settled: what follows one that stays joins it
+        rest = left.where(F.col("ord") > stop)
+        follows = rest.where(F.col("lead") <= stop).join(done.withColumnRenamed("ord", "lead"), "lead", "left_anti")
+        done = cut_lineage(follows.select("ord").distinct())
         joined.append(done)
-        gone = done.select("ord")
-        left = cut_lineage(
-            left.join(gone, "ord", "left_anti").join(gone.withColumnRenamed("ord", "lead"), "lead", "left_anti")
-        )
-    none = edges.select("ord", F.col("lead").alias("centroid")).limit(0)
-    return reduce(lambda a, b: a.unionByName(b), joined, none)
+        gone = done.withColumnRenamed("ord", "lead")
+        left = cut_lineage(rest.where(F.col("lead") > stop).join(done, "ord", "left_anti").join(gone, "lead", "left_anti"))
+    return reduce(lambda a, b: a.unionByName(b), joined) if joined else links.select("ord")
 
 
 def assign_centroids(ordered: DataFrame, p: Cluster = Cluster()) -> DataFrame:
     """(ord, read_id, seq, centroid): the ord of each sequence's centroid, its own for a centroid."""
-    joined = greedy_rounds(leader_edges(leader_diagonals(ordered, p), ordered, ordered, p))
-    return ordered.join(joined, "ord", "left").select(
-        "ord", "read_id", "seq", F.coalesce("centroid", "ord").alias("centroid")
-    )
+    last = ordered.agg(F.max("ord")).first()[0]
+    left, joined, stop = ordered, [], p.batch
+    least = lambda links: links.groupBy("ord").agg(F.min("lead").alias("centroid"))
+    while last is not None:
+        batch = left if stop > last else cut_lineage(left.where(F.col("ord") < stop))
+        known, rest = word_load(batch, batch, p), batch
+        if known.pairs_per_row > p.dense:
+            rest = cut_lineage(batch.join(_led(batch, p), "ord", "left_anti"))
+            known = word_load(rest, rest, p)
+        links = cut_lineage(similar(rest, rest, p, known).select("ord", "lead").distinct())
+        centroids = rest.join(first_come(links), "ord", "left_anti")
+        joined.append(least(links.join(centroids.select(F.col("ord").alias("lead")), "lead")))
+        if rest is not batch or stop <= last:
+            centroids = cut_lineage(centroids)
+            others = left.join(rest.select("ord"), "ord", "left_anti")
+            joined.append(cut_lineage(least(similar(others, centroids, p))))
+        if stop > last:
+            break
+        left = cut_lineage(left.where(F.col("ord") >= stop).join(joined[-1].select("ord"), "ord", "left_anti"))
+        stop *= p.growth
+    none = ordered.select("ord", F.col("ord").alias("centroid")).limit(0)
+    chosen = reduce(lambda a, b: a.unionByName(b), joined, none)
+    return ordered.join(chosen, "ord", "left").select("ord", "read_id", "seq", F.coalesce("centroid", "ord").alias("centroid"))
 
 
 def assign(sequences: DataFrame, p: Cluster = Cluster()) -> DataFrame:

@@ -62,6 +62,10 @@ class Cluster:
     word_size: int = 16
     min_overlap_pct: int = 80
     min_len: int = 32
+    batch: int = 1 << 20  # ranks of the first batch
+    growth: int = 8  # of the batches' ends
+    dense: float = 64.0  # neighbours by a word, on average; beyond, groups are taken away before all pairs are compared
+    sample: float = 0.05  # share of sequences whose words tell which words are frequent; no result depends on it
 
 
 @dataclass(frozen=True)

@@ -144,62 +144,6 @@ def test_host_modes(spark):
     assert kept([]) == {"ra", "rb", "rc"}
 
 
-def greedy(seqs, p):
-    """One sequence after the other, against those leaders of its words that are centroids."""
-    unique = {}
-    for i, s in sorted(seqs):
-        if len(s) >= p.min_len:
-            unique.setdefault(s.upper(), i)
-    order = sorted(((i, s) for s, i in unique.items()), key=lambda x: (-len(x[1]), x[0]))
-    k = p.word_size
-
-    def words(s):
-        return [(s[j:j + k], j) for j in range(len(s) - k + 1) if len(set(s[j:j + k])) >= 3 and set(s[j:j + k]) <= set("ACGT")]
-
-    def similar(early, late):
-        first = {}
-        for w, j in words(early):
-            first.setdefault(w, j)
-        for d in {first[w] - j for w, j in words(late) if w in first}:
-            x, y = late[max(-d, 0):], early[max(d, 0):]
-            n = min(len(x), len(y))
-            if n * 100 >= min(len(early), len(late)) * p.min_overlap_pct:
-                if sum(u == v for u, v in zip(x, y)) * 1000 >= n * round(p.identity * 1000):
-                    return True
-        return False
-
-    leader = {}
-    for rank, (_, s) in enumerate(order):
-        for w, _ in words(s):
-            leader.setdefault(w, rank)
-    chosen = set()
-    for rank, (_, s) in enumerate(order):
-        if not any(similar(order[e][1], s) for e in {leader[w] for w, _ in words(s)} & chosen if e < rank):
-            chosen.add(rank)
-    return {order[r][0] for r in chosen}, similar
-
-
-def test_clusters_against_one_by_one(spark):
-    p = params.Cluster()
-    motif = dna(16)  # one word in a third of all sequences, which are else unlike each other
-    rows = []
-    for g in range(8):
-        base = dna(140)
-        for c in range(9):
-            start = rng.randrange(25)
-            rows.append(mutate(base[start:start + rng.randint(80, 110)], rng.choice([0, 0.03, 0.08, 0.15])))
-    rows += [dna(30) + motif + dna(40) for _ in range(40)] + ["A" * 60 + "C" * 30] * 5 + ["ACGT"] * 3
-    rows = [(f"r{i:03d}", s) for i, s in enumerate(rows)]
-    want, similar = greedy(rows, p)
-    got = {r.read_id for r in cluster.centroids(reads(spark, rows), p).collect()}
-    assert got == want
-    text = dict(rows)
-    joined = {r.read_id: r.centroid_id for r in cluster.members(reads(spark, rows), p).collect()}
-    assert set(joined) == {i for i, s in rows if len(s) >= p.min_len}
-    for i, c in joined.items():
-        assert c in want and (i == c or text[i] == text[c] or similar(text[c], text[i]))
-
-
 def test_lineages(spark):
     nodes = [(1, 1, "no rank"), (2, 1, "no rank"), (3, 2, "superkingdom")]
     nodes += [(i, i - 1, "species" if i == 12 else "clade") for i in range(4, 21)]
