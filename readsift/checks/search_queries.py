@@ -1,6 +1,7 @@
 """Queries on subjects: taxonomy, words, host matches, searches, clusters, whole runs."""
 
 import math
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from readsift.checks.views import stored, view
 from readsift.functions.sequence import translate_frame
 from readsift.operators import cluster, host, index, search, taxonomy
 from readsift.plans import pipeline
+from readsift.session import scratch_path
 from readsift.sources.tables import union_all
 
 GENETIC_CODE = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
@@ -180,6 +182,15 @@ def _least(m: str, n: str, evalue: float, lam: float, k: float) -> str:
     return f"ceil(ln(cast({m} as double) * cast({n} as double) * {k / evalue!r}) / {lam!r})"
 
 
+def _log_evalue(lam: float, k: float) -> str:
+    return f"round((ln(cast(len as double) * cast((select n from total) as double) * {k!r}) - {lam!r} * score) / ln(10), 3)"
+
+
+def rounded(hits):
+    """E-values as rounded logarithms, which do not hang on the last digit of an exponential."""
+    return hits.withColumn("log_evalue", F.round(F.log10("evalue"), 3)).drop("evalue")
+
+
 def _bits(lam: float, k: float) -> str:
     return f"round((score * {lam!r} - ({math.log(k)!r})) / {math.log(2)!r}, 1)"
 
@@ -196,15 +207,18 @@ per_subject as (select * exclude (rn) from (
   select *, row_number() over (partition by read_id, subject_id order by score desc, strand, subject_start, length) as rn from scored) where rn = 1)"""
 
 
-NT_COLUMNS = f"read_id, subject_id, strand, subject_start, score, length, matches, round(matches * 100 / length, 2) as pident, {_bits(NT.lam, NT.k)} as bits"
+NT_COLUMNS = f"read_id, subject_id, strand, subject_start, score, length, matches, round(matches * 100 / length, 2) as pident, {_bits(NT.lam, NT.k)} as bits, {_log_evalue(NT.lam, NT.k)} as log_evalue"
 
 
-@query("search_nt", ["fx_subject", "fx_reads"], f"""{_nt_sql(1e-10)}
+SEARCH_NT = f"""{_nt_sql(1e-10)}
 select {NT_COLUMNS} from (
-  select *, row_number() over (partition by read_id order by score desc, matches desc, length, subject_id) as rn from per_subject) where rn <= 10""")
+  select *, row_number() over (partition by read_id order by score desc, matches desc, length, subject_id) as rn from per_subject) where rn <= 10"""
+
+
+@query("search_nt", ["fx_subject", "fx_reads"], SEARCH_NT)
 def search_nt(spark, sf_dir):
     built = index.build_index(subjects(spark, sf_dir), 21)
-    return search.search_nucleotide(reads(spark, sf_dir), built, 1e-10, 10).drop("evalue")
+    return rounded(search.search_nucleotide(reads(spark, sf_dir), built, 1e-10, 10))
 
 
 def proteins(spark, sf_dir):
@@ -255,7 +269,7 @@ per_subject as (select * exclude (rn) from (
   select *, row_number() over (partition by read_id, subject_id order by score desc, frame, subject_start, length) as rn from scored) where rn = 1)"""
 
 
-NR_COLUMNS = f"read_id, subject_id, frame, subject_start, score, length, matches, round(matches * 100 / length, 2) as pident, {_bits(NR.lam, NR.k)} as bits"
+NR_COLUMNS = f"read_id, subject_id, frame, subject_start, score, length, matches, round(matches * 100 / length, 2) as pident, {_bits(NR.lam, NR.k)} as bits, {_log_evalue(NR.lam, NR.k)} as log_evalue"
 
 
 def _blastx_sql(mode: str) -> str:
@@ -266,7 +280,7 @@ select {NR_COLUMNS} from (
 
 def _blastx(spark, sf_dir, mode):
     built = search.build_protein_index(proteins(spark, sf_dir), params.SEED_MODES[mode])
-    return search.search_translated(reads(spark, sf_dir), built, params.SEED_MODES[mode], 1e-3, 10).drop("evalue")
+    return rounded(search.search_translated(reads(spark, sf_dir), built, params.SEED_MODES[mode], 1e-3, 10))
 
 
 @query("search_blastx", ["fx_subject", "fx_reads"], _blastx_sql("sensitive"))
@@ -357,7 +371,7 @@ def cluster_members(spark, sf_dir):
     return cluster.members(reads(spark, sf_dir))
 
 
-# --- whole runs
+# --- whole runs, on databases that were indexed once
 
 def databases(spark, sf_dir):
     """The four databases: viral subjects and all subjects, as nucleotides and as proteins."""
@@ -368,21 +382,91 @@ def databases(spark, sf_dir):
     )
 
 
+_saved = {}
+
+
+def saved_databases(spark, sf_dir):
+    """The databases with saved indexes, made on first use in the session."""
+    db, key = databases(spark, sf_dir), (spark.sparkContext.applicationId, sf_dir)
+    if key not in _saved:
+        name = f"readsift_{uuid.uuid4().hex}"
+        pipeline.save_databases(db, name, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")), folder=scratch_path(spark, name))
+        _saved[key] = name
+    return pipeline.open_databases(db, _saved[key])
+
+
+@query("search_nt_saved", ["fx_subject", "fx_reads"], SEARCH_NT)
+def search_nt_saved(spark, sf_dir):
+    return rounded(search.search_nucleotide(reads(spark, sf_dir), saved_databases(spark, sf_dir).indexes["nucl"], 1e-10, 10))
+
+
+@query("saved_index_words", ["fx_subject"], f"""
+select subject_id, cast(pos as bigint) as pos, word <= reverse(translate(word, 'ACGT', 'TGCA')) as forward, count(*) over (partition by least(word, reverse(translate(word, 'ACGT', 'TGCA')))) as rows
+from ({_words("fx_subject", "subject_id", 21)})""")
+def saved_index_words(spark, sf_dir):
+    kept = saved_databases(spark, sf_dir).indexes["nucl"]
+    return kept.words.join(kept.counts, "hash").select("subject_id", F.col("pos").cast("long").alias("pos"), "forward", F.col("_nr").alias("rows"))
+
+
 def sequences(spark, sf_dir):
     return view(spark, sf_dir, "fx_reads").select("read_id", "description", "seq")
 
 
-@query("stage1_search", ["fx_subject", "fx_reads"], None)
+def _within(ctes: str, result: str) -> str:
+    """A search's WITH members as a subquery of their own, so that several searches stand in one statement."""
+    return f"(with {ctes.lstrip().removeprefix(',')} {result})"
+
+
+STAGE1 = f"""
+, viral_nt as materialized (select read_id from {_within(_nt_sql(1e-3, "viral"), "select distinct read_id from per_subject")}),
+viral_nr as materialized (select read_id from {_within(_nr_sql("sensitive", 1e-3, "viral"), "select distinct read_id from per_subject")}),
+stage1 as materialized (select read_id from viral_nt union select read_id from viral_nr)"""
+
+
+def _stage_report(where: str) -> str:
+    """The merged report of the general searches over some reads, e-values as their logarithm."""
+    def side(name, ctes, lam, k):
+        ranked = _within(ctes, """select * from (
+  select *, (select n from total) as db_len, row_number() over (partition by read_id order by score desc, matches desc, length, subject_id) as rn from per_subject) where rn <= 10""")
+        log = f"round((ln(cast(len as double) * cast(db_len as double) * {k!r}) - {lam!r} * score) / ln(10), 3)"
+        return f"""{name}_best as materialized (select read_id, subject_id as {name}_saccver, sskingdom as {name}_sskingdom, ssciname as {name}_ssciname,
+       salltitles as {name}_salltitles, pident as {name}_pident, evalue as {name}_evalue from (
+  select h.read_id, h.subject_id, s.sskingdom, s.ssciname, s.salltitles, round(matches * 100 / length, 2) as pident, {log} as evalue,
+         row_number() over (partition by h.read_id order by h.score desc, round(matches * 100 / length, 2) desc, h.subject_id) as rn
+  from {ranked} h join fx_subject s on s.subject_id = h.subject_id where h.read_id {where} (select read_id from stage1)) where rn = 1)"""
+    fields = ("saccver", "sskingdom", "ssciname", "salltitles", "pident", "evalue")
+    columns = ", ".join(f"{x}_{f}" for x in ("nt", "nr") for f in fields)
+    return f"""{side("nt", _nt_sql(1e-10), NT.lam, NT.k)},
+{side("nr", _nr_sql("fast", 1e-10), NR.lam, NR.k)},
+merged as materialized (select coalesce(a.read_id, b.read_id) as read_id, {columns} from nt_best a full join nr_best b on a.read_id = b.read_id)"""
+
+
+def as_logs(merged):
+    return merged.withColumns({c: F.round(F.log10(c), 3) for c in ("nt_evalue", "nr_evalue")})
+
+
+STAGED = ["fx_subject", "fx_reads"]
+
+
+@query("stage1_search", STAGED, f"{STAGE1} select read_id from stage1")
 def stage1_search(spark, sf_dir):
-    return pipeline.stage1(sequences(spark, sf_dir), databases(spark, sf_dir))
+    return pipeline.stage1(sequences(spark, sf_dir), saved_databases(spark, sf_dir))
 
 
-@query("two_stage_search")
+@query("two_stage_search", STAGED, f"""{STAGE1},
+{_stage_report("in")} select * from merged where nt_sskingdom = 'Viruses' or nr_sskingdom = 'Viruses'""")
 def two_stage_search(spark, sf_dir):
-    return pipeline.virus_search(sequences(spark, sf_dir), databases(spark, sf_dir)).viruses
+    return as_logs(pipeline.virus_search(sequences(spark, sf_dir), saved_databases(spark, sf_dir)).viruses)
 
 
-@query("additional_search")
+@query("additional_search", STAGED, f"{STAGE1},\n{_stage_report('not in')} select * from merged")
 def additional_search(spark, sf_dir):
-    first = pipeline.virus_search(sequences(spark, sf_dir), databases(spark, sf_dir))
-    return pipeline.additional_search(first.unidentified, databases(spark, sf_dir)).merged
+    db = saved_databases(spark, sf_dir)
+    first = pipeline.virus_search(sequences(spark, sf_dir), db)
+    return as_logs(pipeline.additional_search(first.unidentified, db).merged)
+
+
+@query("unidentified", STAGED, f"""{STAGE1},
+{_stage_report("in")} select read_id, description, seq from fx_reads where read_id not in (select read_id from merged)""")
+def unidentified(spark, sf_dir):
+    return pipeline.virus_search(sequences(spark, sf_dir), saved_databases(spark, sf_dir)).unidentified

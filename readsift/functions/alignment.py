@@ -63,6 +63,20 @@ def best_match_segment(a: Column, b: Column, match: int, mismatch: int) -> Colum
     return let(match_string(a, b), lambda m: best_segment(m, match, mismatch))
 
 
+def top_match_score(a: Column, b: Column, match: int, mismatch: int) -> Column:
+    """Score of best_match_segment alone."""
+
+    def step(acc, run):
+        ones = F.length(F.replace(run, F.lit("0")))
+        score = F.greatest(acc["cur"], F.lit(0)) + ones * match
+        return F.struct(
+            (score - (F.length(run) - ones) * mismatch).alias("cur"), F.greatest(acc["best"], score).alias("best"),
+        )
+
+    state = F.struct(F.lit(0).alias("cur"), F.lit(0).alias("best"))
+    return F.aggregate(F.regexp_extract_all(match_string(a, b), F.lit("1+0*"), 0), state, step, lambda acc: acc["best"])
+
+
 STOP = "["  # the code after Z, so that letters and the stop index one square table
 
 
@@ -75,23 +89,30 @@ def score_table(matrix: dict) -> Column:
     return F.lit(cells)
 
 
+def _steps(a: Column, b: Column, matrix: dict) -> Column:
+    """Score and equality of each position of two protein strings, in one int."""
+    table = score_table(matrix)
+    code = lambda s: F.transform(letters(F.translate(s, "*", STOP)), lambda c: F.ascii(c) - 65)
+    return F.zip_with(code(a), code(b), lambda x, y: F.get(table, x * 27 + y) * 2 + F.when(x == y, 1).otherwise(0))
+
+
 def best_protein_segment(a: Column, b: Column, matrix: dict, least: Column = None) -> Column:
     """As best_segment, for two protein strings of equal length under a substitution matrix.
 
     With `least`, pairs whose best score is lower give null: a small fold finds the score first, and
     only the pairs that pass are traced.
     """
-    table = score_table(matrix)
-    code = lambda s: F.transform(letters(F.translate(s, "*", STOP)), lambda c: F.ascii(c) - 65)
-    # score and equality of each position in one int
-    steps = F.zip_with(
-        code(a), code(b), lambda x, y: F.get(table, x * 27 + y) * 2 + F.when(x == y, 1).otherwise(0)
-    )
+    steps = _steps(a, b, matrix)
     if least is None:
         return _trace(steps)
     return let(steps, lambda v: F.when(_top_score(v) >= least, _trace(v)))
 
 
+def top_protein_score(a: Column, b: Column, matrix: dict) -> Column:
+    """Score of best_protein_segment alone."""
+    return _top_score(_steps(a, b, matrix))
+
+
 def _top_score(steps: Column) -> Column:
     def step(acc, e):
         score = F.greatest(acc["cur"], F.lit(0)) + F.shiftright(e, 1)

@@ -64,8 +64,9 @@ def _codon_digits(seq: Column) -> Column:
     return F.regexp_replace(F.translate(F.upper(seq), CODON_BASES, "0123"), "[^0-3]", "4")
 
 
-def _spell(digits: Column, offset: int) -> Column:
-    codons = F.regexp_extract_all(F.substr(digits, F.lit(offset + 1)), F.lit("..."), 0)
+def _spell(digits: Column, offset: int | Column) -> Column:
+    first = F.lit(offset + 1) if isinstance(offset, int) else offset + 1
+    codons = F.regexp_extract_all(F.substr(digits, first), F.lit("..."), 0)
     return F.array_join(F.transform(codons, lambda c: F.get(F.lit(_codon_table()), c.cast("int"))), "")
 
 
@@ -85,3 +86,9 @@ def six_frames(seq: Column) -> Column:
     return let(_codon_digits(seq), lambda d: let(
         _codon_digits(revcomp(F.upper(seq))), lambda e: F.array(*three(d, 1), *three(e, -1)),
     ))
+
+
+def frame_of(seq: Column, frame: Column) -> Column:
+    """Protein string of the reading frame 1 to 3 or -1 to -3."""
+    turned = F.when(frame > 0, F.upper(seq)).otherwise(revcomp(F.upper(seq)))
+    return _spell(_codon_digits(turned), F.abs(frame) - 1)

@@ -1,25 +1,58 @@
 """Searchable subjects: pieces of the sequences, and the table of their seed words."""
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from readsift.functions.binding import let
 from readsift.functions.sequence import is_seed_word, revcomp
+from readsift.operators.skew import SHARE, load, salted_join, sampled
 from readsift.params import Pieces
+from readsift.session import broadcast_if_small
 
 BLOCK = 256  # letters; words are cut out of blocks, as counting to a place costs the letters before it
 
 
+SPLIT = 4096  # rows of one word in a saved index; words with more are dealt out in parts
+
+
 @dataclass(frozen=True)
 class SubjectIndex:
-    """`pieces`: subject_id, piece, subject_len, seq. `words`: hash, subject_id, pos, forward."""
+    """`pieces`: subject_id, piece, subject_len, seq. `words`: hash, subject_id, pos and, for nucleotides, forward.
+
+    `cut` makes the words of pieces. A saved index has `counts`, the rows of each word (hash, _nr), and `parts`, into how many parts
+    the rows of a frequent word are dealt (hash, _parts); its words have the part `_s`, and are bucketed by hash and part.
+    """
 
     pieces: DataFrame
     words: DataFrame
     total_len: DataFrame
     word_size: int
     layout: Pieces
+    cut: Callable[[DataFrame], DataFrame] = None
+    counts: DataFrame = None
+    parts: DataFrame = None
+
+
+def shared_words(queries: DataFrame, words_of: Callable[[DataFrame], DataFrame], index: SubjectIndex, share: float = SHARE) -> DataFrame:
+    """The rows of words_of(queries) joined with the index's words on `hash`; frequent words are dealt out on both sides.
+
+    On a saved index no subject row is shuffled but those of words that are frequent in the queries, too.
+    """
+    few = words_of(sampled(queries, share))
+    if index.counts is None:
+        return salted_join(words_of(queries), index.words, "hash", load(few, index.cut(sampled(index.pieces, share)), "hash", share).frequent)
+    frequent = load(few, index.counts, "hash", share, right_share=1.0).frequent
+    rows = words_of(queries)
+    plain = rows if frequent is None else rows.join(F.broadcast(frequent), "hash", "left_anti")
+    parts = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)).alias("_s")
+    spread = plain.join(broadcast_if_small(index.parts), "hash", "left").select(*plain.columns, parts)
+    met = spread.join(index.words.hint("merge"), ["hash", "_s"]).drop("_s")
+    if frequent is None:
+        return met
+    kept = lambda df: df.join(F.broadcast(frequent.select("hash")), "hash", "left_semi")
+    return met.unionByName(salted_join(kept(rows), kept(index.words.drop("_s")), "hash", frequent))
 
 
 def overlapping(seq: Column, size: int, overlap: int) -> Column:
@@ -86,31 +119,66 @@ def build_index(subjects: DataFrame, word_size: int, layout: Pieces = Pieces())
     """Index of (subject_id, seq): every word of every subject, hashed once for both strands."""
     if layout.overlap < word_size - 1:
         raise ValueError("pieces must overlap by a word")
+
+    def cut(pieces: DataFrame) -> DataFrame:
+        words = strand_words(pieces, ["subject_id", "piece"], word_size, limit=layout.size - 1)
+        return words.select("hash", "subject_id", (F.col("piece") * layout.size + F.col("pos")).alias("pos"), "forward")
+
+    return index_of(subjects, cut, word_size, layout)
+
+
+def index_of(subjects: DataFrame, cut: Callable[[DataFrame], DataFrame], word_size: int, layout: Pieces) -> SubjectIndex:
     pieces = cut_pieces(subjects, layout)
-    words = (
-        strand_words(pieces, ["subject_id", "piece"], word_size, limit=layout.size - 1)
-        .select("hash", "subject_id", (F.col("piece") * layout.size + F.col("pos")).alias("pos"), "forward")
-    )
     total = subjects.agg(F.coalesce(F.sum(F.length("seq")), F.lit(0)).alias("total"))
-    return SubjectIndex(pieces, words, total, word_size, layout)
+    return SubjectIndex(pieces, cut(pieces), total, word_size, layout, cut)
+
 
+def word_rows(index: SubjectIndex) -> DataFrame:
+    """(hash, _nr): the rows of each word."""
+    return index.counts if index.counts is not None else index.words.groupBy("hash").agg(F.count("*").alias("_nr"))
 
-def save_index(index: SubjectIndex, name: str, buckets: int = 256) -> None:
-    """Keep an index as tables; the words are bucketed by hash, so a search shuffles only the queries."""
-    index.words.write.mode("overwrite").bucketBy(buckets, "hash").saveAsTable(f"{name}_words")
-    index.pieces.write.mode("overwrite").bucketBy(buckets, "subject_id", "piece").saveAsTable(f"{name}_pieces")
+
+def save_index(index: SubjectIndex, name: str, db: str = "all", buckets: int = 256, split: int = SPLIT, folder: str = None) -> None:
+    """Keep the index of one database as a partition of tables that many may share, in `folder` or the warehouse.
+
+    Words are bucketed by hash, so that a search shuffles the queries only. The rows of a word with more than `split` are dealt out
+    in parts, which go to buckets of their own.
+    """
+    tables = lambda part: f"{name}_{part}"
+    spark = index.words.sparkSession
+    if spark.catalog.tableExists(tables("total")) and not spark.read.table(tables("total")).where(F.col("db") == db).isEmpty():
+        raise ValueError(f"index {name} has a database {db} already")
+
+    def keep(df: DataFrame, part: str, keys: list) -> None:
+        out = df.withColumn("db", F.lit(db)).write.mode("append").partitionBy("db")
+        out = out.bucketBy(buckets, *keys).sortBy(*keys) if keys else out
+        (out if folder is None else out.option("path", f"{folder}/{tables(part)}")).saveAsTable(tables(part))
+
+    keep(word_rows(index), "counts", ["hash"])
+    counts = spark.read.table(tables("counts")).where(F.col("db") == db).drop("db")
+    parts = counts.where(F.col("_nr") > split).select("hash", F.ceil(F.col("_nr") / split).cast("int").alias("_parts"))
+    keep(parts, "parts", ["hash"])
+    parts = broadcast_if_small(spark.read.table(tables("parts")).where(F.col("db") == db).drop("db"))
+    part = F.pmod(F.xxhash64("subject_id", "pos"), F.coalesce("_parts", F.lit(1))).cast("int")
+    keep(index.words.join(parts, "hash", "left").withColumn("_s", part).drop("_parts"), "words", ["hash", "_s"])
+    keep(index.pieces, "pieces", ["subject_id", "piece"])
     settings = {"word_size": index.word_size, "size": index.layout.size, "overlap": index.layout.overlap}
-    index.total_len.withColumns({k: F.lit(v) for k, v in settings.items()}).write.mode("overwrite").saveAsTable(f"{name}_total")
+    total = index.total_len.withColumns({k: F.lit(v) for k, v in settings.items()})
+    keep(total, "total", [])
 
 
-def load_index(spark, name: str, word_size: int = None, layout: Pieces = None) -> SubjectIndex:
-    """A saved index with the settings it was built with; those named here must be the same."""
-    table = lambda part: spark.read.table(f"{name}_{part}")
+def load_index(spark, name: str, db: str = "all", word_size: int = None, layout: Pieces = None) -> SubjectIndex:
+    """A saved index with the settings it was built with; those named here must be the same. Only files of the database are read."""
+    table = lambda part: spark.read.table(f"{name}_{part}").where(F.col("db") == db).drop("db")
     built = table("total").first()  # one row
+    if built is None:
+        raise ValueError(f"index {name} has no database {db}")
     kept = Pieces(built["size"], built["overlap"])
     if word_size not in (None, built["word_size"]) or layout not in (None, kept):
         raise ValueError(f"index {name} was built with words of {built['word_size']} and {kept}")
-    return SubjectIndex(table("pieces"), table("words"), table("total").select("total"), built["word_size"], kept)
+    return SubjectIndex(
+        table("pieces"), table("words"), table("total").select("total"), built["word_size"], kept, counts=table("counts"), parts=table("parts"),
+    )
 
 
 def word_counts(subjects: DataFrame, word_size: int) -> DataFrame:

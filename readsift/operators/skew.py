@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+SHARE = 0.05  # of the rows whose keys are counted to find frequent ones
 CELLS = 16  # cells per shuffle partition that the pairs of all keys would fill
 LEAST = 10_000  # pairs; below, a key is never split
 
@@ -21,9 +22,11 @@ class Load:
     frequent: DataFrame | None
 
 
-def load(left: DataFrame, right: DataFrame, key: str, share: float = 1.0, least: int = LEAST) -> Load:
+def load(left: DataFrame, right: DataFrame, key: str, share: float = 1.0, least: int = LEAST, right_share: float = None) -> Load:
     """Counted on the keys of both sides, or on those of a share of the rows of both: only relative counts matter.
 
+    The right side may be counts instead of rows: (key, _nr).
+
     A cell is the pairs of all keys over CELLS per shuffle partition. Keys with more than a cell of pairs are split; so there are
     fewer of them than cells, whatever the data, and their table is small enough to broadcast.
     """
@@ -31,11 +34,12 @@ def load(left: DataFrame, right: DataFrame, key: str, share: float = 1.0, least:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     count = lambda df, name: df.groupBy(key).agg(F.count("*").alias(name))
     nl, nr = F.col("_nl").cast("double"), F.col("_nr").cast("double")
-    counts = count(left, "_nl").join(count(right, "_nr"), key).where("_nl > 1 or _nr > 1").withColumn("_pairs", nl * nr).persist()
+    right_share = share if right_share is None else right_share
+    counts = count(left, "_nl").join(right if "_nr" in right.columns else count(right, "_nr"), key).where("_nl > 1 or _nr > 1").withColumn("_pairs", nl * nr).persist()
     try:
         # a sampled row that meets itself says nothing of its neighbours
         met, pairs, rows = counts.agg(F.sum(F.col("_pairs") - F.least(nl, nr)), F.sum("_pairs"), F.sum(nl)).first()
-        cell = max(least * share * share, (pairs or 0) / (CELLS * parts))
+        cell = max(least * share * right_share, (pairs or 0) / (CELLS * parts))
         cells = F.ceil(F.col("_pairs") / cell)
         # the longer side is split more, so that a cell has about as many rows of both
         fl = F.least(F.greatest(F.ceil(F.sqrt(cells * nl / nr)), F.lit(1)), cells)
@@ -44,7 +48,7 @@ def load(left: DataFrame, right: DataFrame, key: str, share: float = 1.0, least:
     finally:
         counts.unpersist()
     schema = f"{key} {left.schema[key].dataType.simpleString()}, _fl int, _fr int"
-    return Load((met or 0.0) / (rows or 1.0) / share, spark.createDataFrame(split, schema) if split else None)
+    return Load((met or 0.0) / (rows or 1.0) / right_share, spark.createDataFrame(split, schema) if split else None)
 
 
 def _part(df: DataFrame, key: str, parts: str) -> Column:
@@ -61,3 +65,7 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, frequent: DataFrame
     a = left.join(hot, key, "left").select(*left.columns, _part(left, key, "_fl").alias("_i"), every("_fr").alias("_j"))
     b = right.join(hot, key, "left").select(*right.columns, every("_fl").alias("_i"), _part(right, key, "_fr").alias("_j"))
     return a.join(b.hint("merge"), [key, "_i", "_j"]).drop("_i", "_j")
+
+
+def sampled(df: DataFrame, share: float = SHARE) -> DataFrame:
+    return df if share >= 1 else df.sample(share, seed=1)

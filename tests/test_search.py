@@ -126,12 +126,12 @@ def test_saved_index_gives_the_same_hits(spark):
     queries = reads(spark, [r[:2] for r in planted(20, subjects)])
     built = index.build_index(known, 21)
     index.save_index(built, "test_index", buckets=4)
-    kept = index.load_index(spark, "test_index", 21)
+    kept = index.load_index(spark, "test_index", word_size=21)
     run = lambda i: sorted(map(tuple, search.search_nucleotide(queries, i, 1e-5, 5).collect()))
     assert run(kept) == run(built) and len(run(kept)) == 20
     assert kept.layout == built.layout and kept.word_size == 21
     with pytest.raises(ValueError):
-        index.load_index(spark, "test_index", 17)
+        index.load_index(spark, "test_index", word_size=17)
 
 
 def test_host_modes(spark):
