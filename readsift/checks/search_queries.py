@@ -385,6 +385,15 @@ def databases(spark, sf_dir):
 _saved = {}
 
 
+@query("host_subtract_saved", ["fx_subject", "fx_reads"],
+       f"{_host_sql(chr(39) + 'host' + chr(39))} select read_id, seq from fx_reads where read_id not in (select read_id from best)")
+def host_subtract_saved(spark, sf_dir):
+    p, name = params.HostFilter(), f"readsift_{uuid.uuid4().hex}"
+    built = index.build_index(host.choose_references(references(spark, sf_dir), ["host"]), p.words.size)
+    index.save_index(built, name, "host", int(spark.conf.get("spark.sql.shuffle.partitions")), folder=scratch_path(spark, name))
+    return host.subtract_indexed(reads(spark, sf_dir), index.load_index(spark, name, "host"), p)
+
+
 def saved_databases(spark, sf_dir):
     """The databases with saved indexes, made on first use in the session."""
     db, key = databases(spark, sf_dir), (spark.sparkContext.applicationId, sf_dir)
