@@ -39,9 +39,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+BATCH_BYTES = 8 << 20  # of rows that a Python worker holds at once
+
+
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package, wherever they start: a zip of it, once per application."""
+    """Let Python workers import this package, wherever they start: a zip of it, once per application; and keep their batches small."""
     sc = spark.sparkContext
+    if int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").removesuffix("b")) > BATCH_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
     if _shipped.get("app") == sc.applicationId:
         return
     package = os.path.dirname(os.path.abspath(__file__))
