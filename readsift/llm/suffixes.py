@@ -24,30 +24,48 @@ from readsift.llm.vectors import cover, flat, read_spans, rolling, slices, slide
 
 LENGTH = 100
 GRAM = 32  # bytes; a power of two keeps the rolling hash cheap
+TILE = 1 << 19  # bytes whose hashes are held at once
 WHOLE = 4 << 20  # bytes of a shard whose suffixes are sorted at once
 DEALT = 1 << 19  # windows in a file of a larger shard, on average
 WINDOW = np.dtype([("hash", "<u8"), ("at", "<i8")])
 
 
 def anchored(data: np.ndarray, offsets: np.ndarray, length: int):
-    """Runs of windows with one anchor, their leftmost smallest 32-byte hash: (first byte, windows, text, hash)."""
-    if len(data) < length:
-        return None
-    grams = exchange.mix(rolling(data, GRAM))
-    # upper bits of the hash, then the place: the minimum tells the leftmost place, whatever repeats
-    bits = np.uint64(max(22, len(grams).bit_length()))
-    least = slide_min(((grams >> bits) << bits) | np.arange(len(grams), dtype=np.uint64), length - GRAM + 1)
-    anchor = (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-    sizes = np.diff(offsets)
-    text = np.repeat(np.arange(len(sizes)), sizes)[: len(least)]
-    at = np.flatnonzero(np.arange(len(least)) + length <= offsets[text + 1])
-    if not len(at):
+    """Runs of windows with one anchor, their leftmost smallest 32-byte hash: (first byte, windows, text, hash).
+
+    The bytes are worked on in tiles, which overlap by a window, so that memory does not grow with a text.
+    """
+    parts = []
+    for low in range(0, max(len(data) - length + 1, 0), TILE):
+        tile = data[low : low + TILE + length - 1]
+        grams = exchange.mix(rolling(tile, GRAM))
+        # upper bits of the hash, then the place: the minimum tells the leftmost place, whatever repeats
+        bits = np.uint64(max(22, len(grams).bit_length()))
+        least = slide_min(((grams >> bits) << bits) | np.arange(len(grams), dtype=np.uint64), length - GRAM + 1)
+        anchor = (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int32)
+        # windows that lie in one text: those whose first byte is at least a window before the text's end
+        inside = np.zeros(len(least) + 1, np.int32)
+        first, last = np.searchsorted(offsets, [low, low + len(least)], "right") - 1
+        texts = np.arange(max(first, 0), min(last, len(offsets) - 2) + 1)
+        begin = np.clip(offsets[texts] - low, 0, len(least))
+        end = np.clip(offsets[texts + 1] - length + 1 - low, begin, len(least))
+        np.add.at(inside, begin, 1)
+        np.add.at(inside, end, -1)
+        at = np.flatnonzero(np.cumsum(inside[:-1], dtype=np.int32))
+        if not len(at):
+            continue
+        own, anchor = np.searchsorted(offsets, at + low, "right") - 1, anchor[at]
+        cut = np.ones(len(at), bool)
+        cut[1:] = (own[1:] != own[:-1]) | (anchor[1:] != anchor[:-1])
+        head = np.flatnonzero(cut)
+        parts.append((at[head] + low, np.diff(np.append(head, len(at))), own[head], grams[anchor[head]], anchor[head].astype(np.int64) + low))
+    if not parts:
         return None
-    own, anchor = text[at], anchor[at]
-    cut = np.ones(len(at), bool)
-    cut[1:] = (own[1:] != own[:-1]) | (anchor[1:] != anchor[:-1])
-    head = np.flatnonzero(cut)
-    return at[head], np.diff(np.append(head, len(at))), own[head], grams[anchor[head]]
+    start, count, own, smallest, place = (np.concatenate(p) for p in zip(*parts, strict=True))
+    fresh = np.ones(len(start), bool)
+    fresh[1:] = (own[1:] != own[:-1]) | (place[1:] != place[:-1])  # a run goes on in the next tile
+    head = np.flatnonzero(fresh)
+    return start[head], np.add.reduceat(count, head), own[head], smallest[head]
 
 
 def candidates(texts: DataFrame, length: int) -> DataFrame:
@@ -92,12 +110,10 @@ def send_segments(length: int, n: int):
                 if (found := anchored(data, offsets, length)) is None:
                     continue
                 start, count, own, smallest = found
-                wanted = np.zeros(len(data) + 1, np.int32)
-                for text, parts in enumerate(part["parts"].to_pylist()):
-                    spans = read_spans(parts)
-                    np.add.at(wanted, offsets[text] + spans[:, 0], 1)
-                    np.add.at(wanted, offsets[text] + spans[:, 0] + spans[:, 1], -1)
-                pick = np.flatnonzero(np.cumsum(wanted)[start] > 0)
+                spans = [read_spans(parts) + [[offsets[text], 0]] for text, parts in enumerate(part["parts"].to_pylist())]
+                spans = np.concatenate(spans)
+                begun = np.searchsorted(np.sort(spans[:, 0]), start, "right")
+                pick = np.flatnonzero(begun > np.searchsorted(np.sort(spans.sum(axis=1)), start, "right"))
                 start, count, own, shard = start[pick], count[pick], own[pick], exchange.bucket_of(smallest[pick], n)
                 if not len(start):
                     continue

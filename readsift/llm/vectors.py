@@ -58,18 +58,27 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+LETTERS = 1 << 19  # letters whose products are held at once; more if a word has more
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each word's bytes."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
     lengths = ends - starts
-    first = np.cumsum(lengths) - lengths
-    place = np.arange(first[-1] + lengths[-1]) - np.repeat(first, lengths)
+    out = np.empty(len(starts), np.uint64)
+    if not len(starts):
+        return out
     powers = np.full(int(lengths.max()), BASE, np.uint64)
     powers[0] = 1
     powers = np.cumprod(powers, dtype=np.uint64)
-    letters = data[place + np.repeat(starts, lengths)].astype(np.uint64) + np.uint64(1)
-    return mix(np.add.reduceat(letters * powers[place], first) + lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    before = np.cumsum(lengths) - lengths
+    cuts = np.unique(np.append(np.searchsorted(before, np.arange(0, before[-1] + 1, LETTERS)), len(starts)))
+    for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        own = lengths[low:high]
+        first = before[low:high] - before[low]
+        place = ramps(own)
+        letters = data[place + np.repeat(starts[low:high], own)].astype(np.uint64) + np.uint64(1)
+        out[low:high] = np.add.reduceat(letters * powers[place], first)
+    return mix(out + lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
 def rolling(values: np.ndarray, n: int) -> np.ndarray:
