@@ -20,7 +20,7 @@ import regex
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
-from readsift.llm.vectors import slices
+from readsift.llm.vectors import release, slices
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
@@ -71,8 +71,7 @@ class Model:
             self.trie[c] = (*self.unknown(c)[:2], True)
         for c in map(chr, range(128)):
             self.trie.setdefault(c, self.unknown(c))
-        self.searched = {}
-        self.known, self.before = Words(self.viterbi), {}
+        self.forget()
         self.tables()
 
     def unknown(self, c: str) -> tuple:
@@ -126,6 +125,11 @@ class Model:
             out.append(ids)
         return best[n], b"".join(reversed(out)), best[n] - second[n]
 
+    def forget(self) -> None:
+        """Words met so far, which would stay with an idle worker."""
+        self.known, self.before, self.searched = Words(self.viterbi), {}, {}
+        release()
+
     def tables(self) -> None:
         """The prefix table for whole arrays of words: states by letter, for the LETTERS letters that pieces use most."""
         use = Counter(c for p in self.trie for c in p)
@@ -318,6 +322,7 @@ def segmented(docs: DataFrame, name: str = MODEL, n: int = NBEST) -> DataFrame:
                     ],
                     names=["doc_id", "n_pieces", "ids", "scores", "decoded", "others"],
                 )
+        own.forget()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_pieces long, ids binary, scores array<double>, decoded boolean, others array<struct<score: double, changes: array<struct<at: int, n: int, ids: binary>>, decoded: boolean>>")

@@ -20,7 +20,7 @@ LEXICON = 5_000  # entries that the lexicon holds at most, most frequent first
 NEAR = 6  # words between a lexicon word and a word that addresses the reader
 STEMS = (4, 5, 6)
 FEATURES = 12
-KNOWN = 400_000
+KNOWN = 60_000  # words whose codes a task remembers
 
 #: Words that address the reader, in four languages (fixed values).
 SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine ihr euch tu te ti tus tuyo usted ustedes vos vosotros toi ton ta tes vous votre vos".split())

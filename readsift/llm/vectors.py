@@ -3,6 +3,8 @@
 All hashes are arithmetic modulo 2^64 on numpy arrays; nothing here loops over characters or words.
 """
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 
@@ -10,6 +12,12 @@ BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 SUB_BATCH = 4 << 20  # bytes of text that one round of array work covers
 
 
+def release() -> None:
+    """Give memory that is no longer used back, as workers outlive their tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finalizer: every input bit reaches every output bit."""
     h = h ^ (h >> np.uint64(33))
