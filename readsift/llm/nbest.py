@@ -10,6 +10,7 @@ Characters outside the vocabulary fall back to their bytes (`<0x..>` pieces), as
 """
 
 import heapq
+import re
 from collections import Counter
 from itertools import accumulate
 
@@ -31,7 +32,7 @@ TOGETHER = 3 << 20  # bytes of text whose new words are searched at once
 LETTERS = 160
 LONG = 40  # letters of words that are searched together
 NONE = float("-inf")
-CUT = regex.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+CUT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 _made = {}
 
 
@@ -246,7 +247,8 @@ class Model:
         total = sum([f[0] for f in firsts])
         best = [(total, {})]
         gaps = np.array([f[2] for f in firsts])
-        for i in np.argsort(gaps, kind="stable")[: self.n].tolist():
+        least = np.flatnonzero(gaps <= np.partition(gaps, self.n - 1)[self.n - 1]) if len(gaps) > self.n else np.arange(len(gaps))
+        for i in least[np.argsort(gaps[least], kind="stable")][: self.n].tolist():
             if gaps[i] == -NONE:
                 break
             own = self.searched.get(words[i])
@@ -265,10 +267,14 @@ class Model:
         """
         if len(best) == 1:
             return []
-        firsts, out = [self.known[w][1] for w in words], []
-        ends = np.cumsum(list(map(len, firsts)))
+        changed = sorted(set().union(*[changes for _, changes in best[1:]]))
+        ends, at, last = {}, 0, 0
+        for i in changed:  # the ids before a changed word
+            at += sum([len(self.known[w][1]) for w in words[last:i]])
+            ends[i], last = at // 4, i
+        firsts, out = {i: self.known[words[i]][1] for i in changed}, []
         for score, changes in best[1:]:
-            parts = [(int(ends[i] - len(firsts[i])) // 4, len(firsts[i]) // 4, ids) for i, ids in sorted(changes.items())]
+            parts = [(ends[i], len(firsts[i]) // 4, ids) for i, ids in sorted(changes.items())]
             out.append((score, parts, right and all(self.spelled(ids) == self.spelled(firsts[i]) for i, ids in changes.items())))
         return out
 
