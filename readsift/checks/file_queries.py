@@ -3,10 +3,10 @@
 from pyspark.sql import functions as F
 
 from readsift.checks.registry import query
-from readsift.checks.report_queries import BOTH, COUNTS, MERGED, VIRAL, hits
+from readsift.checks.read_queries import ADAPTERS, CHAIN, PAIRS, QC_STATS, TAILED, tailed
+from readsift.checks.report_queries import BOTH, COUNTS, EMPTY_NR, MERGED, VIRAL, hits
 from readsift.checks.views import view
 from readsift.operators import merge, model, quality, report, validation
-from readsift.params import Quality
 from readsift.session import scratch_path
 from readsift.sources import fasta, fastq, tables
 
@@ -26,8 +26,7 @@ def fastq_roundtrip(spark, sf_dir):
 def fastq_file_valid(spark, sf_dir):
     path = scratch_path(spark, "fastq")
     fastq.write_fastq(reads(spark, sf_dir), path)
-    records = validation.require_valid(fastq.raw_records(spark, path))
-    return records.select(fastq.split_header(F.col("header"))[0], "seq")
+    return fastq.read_fastq(spark, path, validation.checked).select("read_id", "seq")
 
 
 @query("pairs_file_merge", ["fx_pairs"], """
@@ -71,11 +70,11 @@ def virus_files_counts(spark, sf_dir):
     return report.species_counts(tables.read_report(spark, path))
 
 
-@query("missing_hit_file", ["fx_nt_hits"], "select qaccver as read_id from fx_nt_hits group by 1")
+@query("missing_hit_file", ["fx_nt_hits"], EMPTY_NR)
 def missing_hit_file(spark, sf_dir):
     paths = [scratch_path(spark, "nt"), scratch_path(spark, "never-written")]
     tables.write_hits(hits(spark, sf_dir)[0], paths[0])
-    return report.merged_report(*[tables.read_hits(spark, p) for p in paths]).select("read_id")
+    return report.merged_report(*[tables.read_hits(spark, p) for p in paths])
 
 
 @query("id_list_roundtrip", BOTH, f", {MERGED} select read_id from merged where {VIRAL}")
@@ -112,8 +111,54 @@ def chunk_file_rows(spark, sf_dir):
     return spark.read.text(path).select("value")
 
 
-@query("qc_stats_file")
+@query("qc_stats_file", ["fx_reads"], QC_STATS)
 def qc_stats_file(spark, sf_dir):
-    path = scratch_path(spark, "stats")
-    tables.write_json(quality.quality_stats(reads(spark, sf_dir), Quality()), path)
-    return spark.read.schema("reads_before long, reads_after long, bases_before long, bases_after long").json(path)
+    paths = [scratch_path(spark, "clean"), scratch_path(spark, "stats")]
+    clean, seen = quality.counted_quality_control(tailed(spark, sf_dir), CHAIN, ADAPTERS)
+    fastq.write_fastq(clean, paths[0])
+    row = seen.get
+    tables.write_json(spark.createDataFrame([row]), paths[1])
+    return spark.read.schema(", ".join(f"{c} long" for c in row)).json(paths[1])
+
+
+@query("merge_stats_file", ["fx_pairs"], f"""{PAIRS}
+select count(*) as pairs_before, cast(sum(length(seq1) + length(seq2)) as bigint) as bases_before, count(best) as merged,
+       count(*) - count(best) as mate1, count(*) - count(best) as mate2,
+       cast(sum(case when best is null then length(seq1) + length(seq2) else length(seq1) + length(rc) - best end) as bigint) as bases_after from m""")
+def merge_stats_file(spark, sf_dir):
+    paths = [scratch_path(spark, "merged"), scratch_path(spark, "stats")]
+    reads, seen = merge.counted_merge_pairs(view(spark, sf_dir, "fx_pairs"))
+    fastq.write_fastq(reads, paths[0])
+    row = seen[0].get | seen[1].get
+    tables.write_json(spark.createDataFrame([row]), paths[1])
+    return spark.read.schema(", ".join(f"{c} long" for c in row)).json(paths[1])
+
+
+@query("species_counts_file", BOTH, f", {COUNTS} select * from counts")
+def species_counts_file(spark, sf_dir):
+    path = scratch_path(spark, "counts")
+    counts = report.species_counts(report.viral_rows(report.merged_report(*hits(spark, sf_dir))))
+    tables.write_table(counts, path, sep="\t", header=True)
+    return spark.read.schema("search string, name string, count long").csv(path, sep="\t", header=True)
+
+
+MANY = ["".join("ACGT"[(i // 4**k + k * i + k * k) % 4] for k in range(14)) + "GATTACA"[: i % 8] for i in range(154)]
+
+
+def _many_sql() -> str:
+    source = "select read_id, seq, qual, cast(null as bigint) as cut from tailed"
+    steps = []
+    for i, a in enumerate(MANY):
+        steps.append(f"""a{i} as materialized (select read_id, case when cut is null then seq else substring(seq, 1, cut - 1) end as seq from (
+  select read_id, seq, list_min(list_filter(range(1, greatest(length(seq) - 2, 1)), lambda i:
+    hamming(substring(seq, i, least(length(seq) - i + 1, {len(a)})), left('{a}', least(length(seq) - i + 1, {len(a)}))) <= least(length(seq) - i + 1, {len(a)}) // 8)) as cut
+  from {f'a{i - 1}' if i else 'tailed'}))""")
+    return f", tailed as materialized ({TAILED}), {', '.join(steps)} select read_id, seq from a{len(MANY) - 1}"
+
+
+@query("adapter_file_trim", ["fx_reads"], _many_sql())
+def adapter_file_trim(spark, sf_dir):
+    path = scratch_path(spark, "adapters")
+    rows = spark.createDataFrame([(f"a{i:03d}", "", a) for i, a in enumerate(MANY)], "read_id string, description string, seq string")
+    fasta.write_fasta(rows.coalesce(1), path)
+    return quality.trim_adapters(tailed(spark, sf_dir), fasta.read_adapters(spark, path)).select("read_id", "seq")

@@ -183,7 +183,7 @@ def qc_chain(spark, sf_dir):
     return quality.quality_control(tailed(spark, sf_dir), CHAIN, ADAPTERS).select(READ)
 
 
-@query("qc_stats", ["fx_reads"], f"""{_chain_sql()}, t as (
+QC_STATS = f"""{_chain_sql()}, t as (
   select *, length(raw) as n, length(seq) as m, list_transform(range(1, length(raw) + 1), lambda i: ascii(substring(raw, i, 1)) - 33) as qr, {_Q} as qt from judged)
 select count(*) as reads_before, cast(sum(n) as bigint) as bases_before,
        cast(sum(len(list_filter(qr, lambda v: v >= 20))) as bigint) as q20_before,
@@ -195,7 +195,10 @@ select count(*) as reads_before, cast(sum(n) as bigint) as bases_before,
        count(*) filter (where fail_reason = 'low_quality') as low_quality,
        count(*) filter (where fail_reason = 'too_short') as too_short,
        count(*) filter (where fail_reason = 'low_complexity') as low_complexity
-from t""")
+from t"""
+
+
+@query("qc_stats", ["fx_reads"], QC_STATS)
 def qc_stats(spark, sf_dir):
     return quality.quality_stats(tailed(spark, sf_dir), CHAIN, ADAPTERS)
 

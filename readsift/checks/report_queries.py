@@ -66,11 +66,14 @@ def merged_report(spark, sf_dir):
     return report.merged_report(*hits(spark, sf_dir))
 
 
-@query("merged_report_empty_nr", ["fx_nt_hits"], f"""
+EMPTY_NR = f"""
 , nt_best as ({NT_BEST})
 select *, cast(null as varchar) as nr_saccver, cast(null as varchar) as nr_sskingdom, cast(null as varchar) as nr_ssciname,
        cast(null as varchar) as nr_salltitles, cast(null as double) as nr_pident, cast(null as double) as nr_evalue
-from nt_best""")
+from nt_best"""
+
+
+@query("merged_report_empty_nr", ["fx_nt_hits"], EMPTY_NR)
 def merged_report_empty_nr(spark, sf_dir):
     return report.merged_report(view(spark, sf_dir, "fx_nt_hits"), spark.createDataFrame([], schemas.HIT))
 

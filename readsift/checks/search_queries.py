@@ -62,13 +62,11 @@ def subject_taxonomy(spark, sf_dir):
 
 # --- databases and words
 
-@query("db_union", ["fx_subject", "fx_contigs"], """
-select subject_id, seq from fx_subject where db = 'viral' union all select subject_id, seq from fx_subject where db = 'other'
-union all select read_id, seq from fx_contigs""")
+@query("db_union", ["fx_subject", "fx_contigs"], "select subject_id, seq from fx_subject union all select read_id, seq from fx_contigs")
 def db_union(spark, sf_dir):
     part = lambda db: search.choose_database(subjects(spark, sf_dir), db).select("subject_id", "seq")
     contigs = view(spark, sf_dir, "fx_contigs").select(F.col("read_id").alias("subject_id"), "seq")
-    return union_all([part("viral"), part("other"), contigs])
+    return union_all([*map(part, ("viral", "bacterial", "host", "other")), contigs])
 
 
 NOT_SEED = "[^ACGT]|^(?:[AC]*|[AG]*|[AT]*|[CG]*|[CT]*|[GT]*)$"

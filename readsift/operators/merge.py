@@ -1,6 +1,6 @@
 """Merging of overlapping read pairs into one read."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from readsift.functions.alignment import equal_positions
 from readsift.functions.binding import let
@@ -69,3 +69,14 @@ def merge_pairs(pairs: DataFrame, p: Merge = Merge()) -> DataFrame:
         pairs.select("rec_no", F.explode(let(revcomp(F.upper("seq2")), outcome)).alias("r"))
         .select("r.read_id", "r.description", "r.seq", "r.qual", "rec_no", "r.origin")
     )
+
+
+def counted_merge_pairs(pairs: DataFrame, p: Merge = Merge()) -> tuple:
+    """As merge_pairs, with an Observation of pairs, merged pairs and bases that the run itself fills."""
+    seen = Observation()
+    bases = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).alias(name)
+    before = pairs.observe(seen, F.count(F.lit(1)).alias("pairs_before"), bases(F.length("seq1") + F.length("seq2"), "bases_before"))
+    after = Observation()
+    kind = lambda origin: F.count_if(F.col("origin") == origin).alias(origin)
+    reads = merge_pairs(before, p).observe(after, kind("merged"), kind("mate1"), kind("mate2"), bases(F.length("seq"), "bases_after"))
+    return reads, (seen, after)

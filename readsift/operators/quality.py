@@ -1,10 +1,10 @@
-"""Trimming and filtering of reads. Every step works inside a row: no shuffle."""
+"""Trimming and filtering of reads. Every step works inside a row: no shuffle; adapters are cut in Arrow batches, the rest in the JVM."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from readsift.functions.alignment import equal_positions
 from readsift.functions.binding import let, only
 from readsift.functions.sequence import count_below, count_letter, phred, span, transitions
+from readsift.operators.adapters import bases_left, cut_at
 from readsift.params import Quality
 
 
@@ -40,17 +40,6 @@ def _right(read: Column, p: Quality) -> Column:
     return let(F.coalesce(bad, n), lambda m: _part(read, F.lit(0), m))
 
 
-def _adapters(read: Column, adapters: list, p: Quality) -> Column:
-    """The read after each adapter in turn: one loop over an array, so the plan does not grow with the list."""
-
-    def cut(r, adapter):
-        n = F.length(r["seq"])
-        found = F.coalesce(adapter_start(r["seq"], adapter, p.adapter_min_overlap), n)
-        return let(found, lambda m: _part(r, F.lit(0), m))
-
-    return F.aggregate(F.array(*[F.lit(a) for a in adapters]), read, cut)
-
-
 def _chain(steps: list) -> Column:
     """The columns seq and qual passed through the steps, each result computed once."""
 
@@ -60,18 +49,13 @@ def _chain(steps: list) -> Column:
     return run(F.struct(F.col("seq"), F.col("qual")), steps)
 
 
-def _trim_steps(p: Quality, adapters) -> list:
+def _trim_steps(p: Quality) -> list:
     steps = [lambda r: _front(r, p)] if p.cut_front else []
     if p.cut_right:
         steps.append(lambda r: _right(r, p))
     elif p.cut_tail:
         steps.append(lambda r: _tail(r, p))
-    return steps + _adapter_steps(adapters, p)
-
-
-def _adapter_steps(adapters, p: Quality) -> list:
-    usable = [a for a in adapters if len(a) >= p.adapter_min_overlap]
-    return [lambda r: _adapters(r, usable, p)] if usable else []
+    return steps
 
 
 def _apply(reads: DataFrame, steps: list) -> DataFrame:
@@ -99,36 +83,14 @@ def cut_right(reads: DataFrame, p: Quality = Quality()) -> DataFrame:
     return _apply(reads, [lambda r: _right(r, p)])
 
 
-def adapter_start(seq: Column, adapter: Column, min_overlap: int) -> Column:
-    """First position (from 0) where the read and the adapter agree over their common length.
-
-    One mismatch is allowed per full eight bases. So of the leading blocks of four bases, one more
-    than the allowed mismatches, at least one agrees exactly; only such positions are counted out.
-    """
-    size = min(4, min_overlap)
-    n, m = F.length(seq), F.length(adapter)
-    count = F.least(F.floor(m / 8) + 1, F.floor(m / size))
-    blocks = F.transform(F.sequence(F.lit(0).cast("bigint"), count - 1), lambda k: F.substring(adapter, (k * size + 1).cast("int"), F.lit(size)))
-
-    def places_in(known):
-        def likely(i):
-            return F.exists(F.transform(known, lambda b, k: F.substring(seq, i + k * size + 1, F.lit(size)) == b), lambda x: x)
-
-        def agrees(i):
-            common = F.least(n - i, m)
-            same = equal_positions(F.substring(seq, i + 1, common), F.substring(adapter, F.lit(1), common))
-            return (common - same) <= F.floor(common / 8)
-
-        return F.when(
-            F.exists(known, lambda b: F.contains(seq, b)), F.array_min(F.filter(F.filter(span(n - (min_overlap - 1)), likely), agrees))
-        )
-
-    return let(blocks, places_in)
-
-
 def trim_adapters(reads: DataFrame, adapters: list, p: Quality = Quality()) -> DataFrame:
     """Cut each read at the first place an adapter begins; adapters apply in the given order."""
-    return _apply(reads, _adapter_steps(adapters, p))
+    usable = [a for a in adapters if len(a) >= p.adapter_min_overlap]
+    if not usable:
+        return reads
+    left = bases_left(usable, p.adapter_min_overlap)(F.col("seq"))
+    cut = reads.withColumn("_left", left).withColumns({c: cut_at(c, F.col("_left")) for c in ("seq", "qual")})
+    return cut.select(reads.columns)
 
 
 def mean_quality_ok(qual: Column, threshold: int) -> Column:
@@ -167,7 +129,7 @@ def filter_unqualified(reads: DataFrame, p: Quality = Quality()) -> DataFrame:
 
 def trim(reads: DataFrame, p: Quality = Quality(), adapters: list = ()) -> DataFrame:
     """The cuts that are switched on, then the adapters. A right cut stands in for a tail cut."""
-    return _apply(reads, _trim_steps(p, adapters))
+    return trim_adapters(_apply(reads, _trim_steps(p)), list(adapters), p)
 
 
 def fail_reason(seq: Column, qual: Column, p: Quality = Quality()) -> Column:
@@ -181,41 +143,46 @@ def fail_reason(seq: Column, qual: Column, p: Quality = Quality()) -> Column:
 
 def quality_control(reads: DataFrame, p: Quality = Quality(), adapters: list = ()) -> DataFrame:
     """Trimmed reads that pass every filter."""
-    steps = _trim_steps(p, adapters)
-    if not steps:
-        return reads.where(fail_reason(F.col("seq"), F.col("qual"), p).isNull())
-    passed = only(_chain(steps), lambda r: fail_reason(r["seq"], r["qual"], p).isNull())
-    return (
-        reads.withColumn("_r", passed).withColumns({"seq": F.col("_r.seq"), "qual": F.col("_r.qual")})
-        .select(reads.columns)
-    )
+    if not adapters and _trim_steps(p):
+        passed = only(_chain(_trim_steps(p)), lambda r: fail_reason(r["seq"], r["qual"], p).isNull())
+        return (
+            reads.withColumn("_r", passed).withColumns({"seq": F.col("_r.seq"), "qual": F.col("_r.qual")})
+            .select(reads.columns)
+        )
+    return trim(reads, p, adapters).where(fail_reason(F.col("seq"), F.col("qual"), p).isNull())
 
 
-def quality_stats(reads: DataFrame, p: Quality = Quality(), adapters: list = ()) -> DataFrame:
-    """One row of counters over the whole stage: before, after, and reads lost per reason."""
+def _judged(reads: DataFrame, p: Quality, adapters: list) -> DataFrame:
+    """The trimmed reads with `_was`, the lengths before, and `_now`, the lengths after and the filter that a read fails."""
 
-    def summary(r):
-        seq, qual = r["seq"], r["qual"]
+    def counts(seq, qual, *more):
         n = F.length(seq)
-        return F.struct(
-            n.alias("bases"), (n - count_below(qual, 20)).alias("q20"), (n - count_below(qual, 30)).alias("q30"),
-            F.coalesce(fail_reason(seq, qual, p), F.lit("passed")).alias("reason"),
-        )
+        return F.struct(n.alias("bases"), (n - count_below(qual, 20)).alias("q20"), (n - count_below(qual, 30)).alias("q30"), *more)
 
-    n = F.length("seq")
-    done = reads.select(
-        n.alias("n"), (n - count_below(F.col("qual"), 20)).alias("q20"), (n - count_below(F.col("qual"), 30)).alias("q30"),
-        F.explode(F.array(let(_chain(_trim_steps(p, adapters)), summary))).alias("t"),
-    )
-    passed = F.col("t.reason") == "passed"
-    bases = lambda c: F.coalesce(F.sum(c), F.lit(0))
-    lost = lambda reason: F.count_if(F.col("t.reason") == reason).alias(reason)
-    return done.agg(
-        F.count("*").alias("reads_before"),
-        bases("n").alias("bases_before"), bases("q20").alias("q20_before"), bases("q30").alias("q30_before"),
-        F.count_if(passed).alias("reads_after"),
-        bases(F.when(passed, F.col("t.bases"))).alias("bases_after"),
-        bases(F.when(passed, F.col("t.q20"))).alias("q20_after"),
-        bases(F.when(passed, F.col("t.q30"))).alias("q30_after"),
+    before = reads.withColumn("_was", counts(F.col("seq"), F.col("qual")))
+    reason = F.coalesce(fail_reason(F.col("seq"), F.col("qual"), p), F.lit("passed")).alias("reason")
+    return trim(before, p, adapters).withColumn("_now", only(counts(F.col("seq"), F.col("qual"), reason), lambda t: F.lit(True)))
+
+
+def _counters() -> list:
+    passed = F.col("_now.reason") == "passed"
+    bases = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).alias(name)
+    after = lambda c, name: bases(F.when(passed, F.col(c)), name)
+    lost = lambda reason: F.count_if(F.col("_now.reason") == reason).alias(reason)
+    return [
+        F.count(F.lit(1)).alias("reads_before"), bases("_was.bases", "bases_before"), bases("_was.q20", "q20_before"), bases("_was.q30", "q30_before"),
+        F.count_if(passed).alias("reads_after"), after("_now.bases", "bases_after"), after("_now.q20", "q20_after"), after("_now.q30", "q30_after"),
         lost("low_quality"), lost("too_short"), lost("low_complexity"),
-    )
+    ]
+
+
+def quality_stats(reads: DataFrame, p: Quality = Quality(), adapters: list = ()) -> DataFrame:
+    """One row of counters over the whole stage: before, after, and reads lost per reason."""
+    return _judged(reads, p, adapters).agg(*_counters())
+
+
+def counted_quality_control(reads: DataFrame, p: Quality = Quality(), adapters: list = ()) -> tuple:
+    """As quality_control, with an Observation of the counters: it is filled by the run that writes the reads, not by one of its own."""
+    seen = Observation()
+    kept = _judged(reads, p, adapters).observe(seen, *_counters()).where("_now.reason = 'passed'")
+    return kept.select(reads.columns), seen

@@ -1,10 +1,11 @@
 """Inputs beyond former limits: deep taxonomies, long adapter lists, unequal mates, globs of hit tables, odd ids."""
 
+import random
+
 import pytest
-from pyspark.sql import functions as F
 
 from readsift import session
-from readsift.operators import quality, taxonomy
+from readsift.operators import adapters as adapters_module, quality, taxonomy, validation
 from readsift.sources import fastq, tables
 
 
@@ -26,13 +27,56 @@ def test_cycle_in_taxonomy(spark):
         taxonomy.lineage_table(nodes, names)
 
 
-def test_many_adapters(spark):
-    made = ["".join("ACGT"[(i // 4**k + k * i) % 4] for k in range(12)) + "GATTACA" for i in range(154)]
-    reads = spark.createDataFrame([(k, "TTTTTTTTTTCCCCC" + a, "I" * (15 + len(a))) for k, a in enumerate(made)], "read_id long, seq string, qual string")
-    got = quality.trim_adapters(reads, made).collect()
-    one = {r.read_id: quality.trim_adapters(reads.where(F.col("read_id") == r.read_id), made[:20]).first().seq for r in got[:3]}
-    assert len(got) == 154 and all(len(r.seq) <= 15 and len(r.seq) == len(r.qual) for r in got)
-    assert all(len(one[k]) <= 15 for k in one)
+def one_by_one(seq, adapters):
+    for a in adapters:
+        for p in range(len(seq) - 3):
+            c = min(len(seq) - p, len(a))
+            if sum(x != y for x, y in zip(seq[p : p + c], a)) <= c // 8:
+                seq = seq[:p]
+                break
+    return seq
+
+
+def test_many_adapters(spark, monkeypatch):
+    rng = random.Random(3)
+    adapters = ["".join(rng.choice("ACGT") for _ in range(rng.randint(4, 40))) for _ in range(150)] + ["ACGTN" * 4, "AAAAAAAAAAAA", "acgtacgtacgt", "ACG"]
+    rows = []
+    for i in range(600):
+        tail = list(rng.choice(adapters) * (i % 3 > 0))
+        for _ in range(rng.randint(0, 4)):
+            if tail:
+                tail[rng.randrange(len(tail))] = rng.choice("ACGTN")
+        seq = "".join(rng.choice("ACGTNacgt"[: 4 if i % 5 else 9]) for _ in range(rng.randint(0, 120))) + "".join(tail) + "ACGTACG"[: i % 8]
+        rows.append((i, seq, "I" * len(seq)))
+    rows += [(600, "A" * 300, "I" * 300), (601, "", ""), (602, None, None)]
+    df = spark.createDataFrame(rows, "read_id long, seq string, qual string")
+    usable = [a for a in adapters if len(a) > 3]
+    for few in (adapters, adapters[:2]):
+        got = {r.read_id: (r.seq, r.qual) for r in quality.trim_adapters(df, few).collect()}
+        want = {i: s and one_by_one(s, [a for a in few if a in usable]) for i, s, _ in rows}
+        assert got == {i: (s, s and "I" * len(s)) for i, s in want.items()}
+    monkeypatch.setattr(adapters_module, "TOGETHER", 50)  # long reads stand alone
+    got = {r.read_id: r.seq for r in quality.trim_adapters(df, adapters[:20]).collect()}
+    assert got == {i: s and one_by_one(s, [a for a in adapters[:20] if a in usable]) for i, s, _ in rows}
+
+
+def test_counters_come_with_the_run(spark, tmp_path):
+    rows = [(f"r{i}", "", "ACGT" * 12 + "AGATCGGAAGAGC"[: i % 14], "I" * (48 + i % 14), i) for i in range(50)] + [("s", "", "ACG", "III", 50), ("l", "", "ACGT" * 20, "#" * 80, 51)]
+    df = spark.createDataFrame(rows, "read_id string, description string, seq string, qual string, rec_no long")
+    clean, seen = quality.counted_quality_control(df, adapters=["AGATCGGAAGAGC"])
+    clean.write.parquet(str(tmp_path / "clean"))
+    assert seen.get == quality.quality_stats(df, adapters=["AGATCGGAAGAGC"]).first().asDict()
+    assert seen.get["reads_after"] == spark.read.parquet(str(tmp_path / "clean")).count() == 50 and seen.get["too_short"] == 1
+    assert clean.exceptAll(quality.quality_control(df, adapters=["AGATCGGAAGAGC"])).isEmpty()
+
+
+def test_bad_records_end_the_run_that_reads_them(spark, tmp_path):
+    good = "".join(f"@r{i} d\nACGT\n+\nIIII\n" for i in range(20))
+    (tmp_path / "good.fq").write_text(good)
+    (tmp_path / "bad.fq").write_text(good + "@x\nAC!T\n+\nIIII\n")
+    assert fastq.read_fastq(spark, str(tmp_path / "good.fq"), validation.checked).count() == 20
+    with pytest.raises(Exception, match="bad FASTQ record 20: bases"):
+        fastq.read_fastq(spark, str(tmp_path / "bad.fq"), validation.checked).count()
 
 
 def test_unequal_mates_raise_on_count(spark, tmp_path):
