@@ -229,30 +229,47 @@ GROUPS = params.AMINO_GROUPS
 LETTERS, FIRSTS = "".join(GROUPS), "".join(g[0] * len(g) for g in GROUPS)
 
 
+def _matrix_sql() -> tuple:
+    """The published scores as SQL: the letters of the rows, and a list over pairs of letters. Read from the text on its own."""
+    rows = [line.split() for line in params.BLOSUM62.strip().splitlines()]
+    score = lambda i, j: rows[max(i, j)][min(i, j)]
+    n = len(rows)
+    return "".join(r[-1] for r in rows), f"[{', '.join(score(i, j) for i in range(n) for j in range(n))}]"
+
+
+MATRIX_LETTERS, MATRIX = _matrix_sql()
+
+
 def _nr_sql(mode: str, evalue: float, db: str = None) -> str:
     m = params.SEED_MODES[mode]
     where = f" where db = '{db}'" if db else ""
-    text = lambda c: f"translate({c}, '{LETTERS}', '{FIRSTS}')" if m.reduced else c
+    n = len(MATRIX_LETTERS)
 
     def words(source, keys):
+        seeds = []
+        for k, seed in enumerate(m.seeds):
+            places = [p for p, x in enumerate(seed.shape) if x == "1"]
+            text = f"translate(protein, '{LETTERS}', '{FIRSTS}')" if seed.reduced else "protein"
+            word = " || ".join(f"substring(t, cast(i + {p + 1} as int), 1)" for p in places)
+            seeds.append(
+                f"select {keys}, {k} as seed, i as pos, {word} as word "
+                f"from (select {keys}, {text} as t, unnest(range(0, length(protein) - {len(seed.shape) - 1})) as i from {source})"
+            )
         return (
-            f"select * from (select {keys}, i as pos, substring(t, cast(i + 1 as int), {m.size}) as word "
-            f"from (select {keys}, {text('protein')} as t, unnest(range(0, length(protein) - {m.size - 1})) as i from {source})) "
+            f"select * from ({' union all '.join(seeds)}) "
             f"where not regexp_matches(word, '[^{LETTERS}]') and len(list_distinct(string_split(word, ''))) >= 3"
         )
 
-    known = f"(strpos('{LETTERS}', substring(a, cast(i as int), 1)) > 0 and strpos('{LETTERS}', substring(b, cast(i as int), 1)) > 0)"
-    score = (
-        f"case when not {known} then -100000 when substring(a, cast(i as int), 1) = substring(b, cast(i as int), 1) then 5 "
-        f"when translate(substring(a, cast(i as int), 1), '{LETTERS}', '{FIRSTS}') = translate(substring(b, cast(i as int), 1), '{LETTERS}', '{FIRSTS}') then 1 else -2 end"
-    )
+    row = lambda c: f"strpos('{MATRIX_LETTERS}', substring({c}, cast(i as int), 1))"
+    score = f"case when {row('a')} = 0 or {row('b')} = 0 then -100000 else (select scores from matrix)[({row('a')} - 1) * {n} + {row('b')}] end"
+    enough = " or ".join(f"count(*) filter (where q.seed = {k}) >= {seed.min_words}" for k, seed in enumerate(m.seeds))
     base = f"""select subject_id, array_to_string(list_transform(range(0, length(seq) // 3), lambda i: {_codon('seq', '(1 + 3 * i)')}), '') as protein from fx_subject{where}"""
     cut = lambda c, skip: f"substring({c}, cast({skip} + 1 as int), cast(least(length(f.protein) + least(diag, 0), length(s.protein) - greatest(diag, 0)) as int))"
-    return f""", base as materialized ({base}), frames as materialized ({_frames('fx_reads')}),
+    return f""", matrix as materialized (select {MATRIX} as scores), base as materialized ({base}), frames as materialized ({_frames('fx_reads')}),
 q_words as ({words('frames', 'read_id, frame')}), s_words as ({words('base', 'subject_id')}),
 diagonals as materialized (
-  select q.read_id, q.frame, s.subject_id, s.pos - q.pos as diag from q_words q join s_words s on q.word = s.word
-  group by 1, 2, 3, 4 having count(*) >= {m.min_words}),
+  select q.read_id, q.frame, s.subject_id, s.pos - q.pos as diag from q_words q join s_words s on q.word = s.word and q.seed = s.seed
+  group by 1, 2, 3, 4 having {enough}),
 laid as materialized (
   select d.*, greatest(diag, 0) as start, length(r.seq) // 3 as len, {cut('f.protein', 'greatest(-diag, 0)')} as a, {cut('s.protein', 'greatest(diag, 0)')} as b
   from diagonals d join frames f on f.read_id = d.read_id and f.frame = d.frame join base s on s.subject_id = d.subject_id

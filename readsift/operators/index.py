@@ -35,6 +35,37 @@ class SubjectIndex:
     parts: DataFrame = None
 
 
+FILTER_BITS = 1 << 28  # of a filter: 32 MB to broadcast
+PER_WORD = 8  # bits; with more words than FILTER_BITS / PER_WORD there is no filter
+ROW = 512  # numbers of 64 bits in a row of the filter
+
+
+def word_filter(hashes: DataFrame, most: int) -> tuple | None:
+    """(slots, table) of a membership filter: a bit per word, in rows of ROW numbers. most: words there are at most; too many: no filter."""
+    if not 0 < most <= FILTER_BITS // PER_WORD:
+        return None
+    slots = 1 << max(16, (most * PER_WORD - 1).bit_length())
+    slot = F.pmod(F.col("hash"), F.lit(slots))
+    number = F.shiftright(slot, 6).alias("_at")
+    set_bits = hashes.groupBy(number).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(hash, {slots}) & 63 as int))")).alias("_bits"))
+    none = hashes.sparkSession.range(slots // 64).select(F.col("id").alias("_at"), F.lit(0).cast("long").alias("_bits"))
+    every = F.sort_array(F.collect_list(F.struct("_at", "_bits")))
+    full = set_bits.unionByName(none).groupBy("_at").agg(F.bit_or("_bits").alias("_bits"))
+    return slots, full.groupBy(F.floor(F.col("_at") / ROW).alias("_row")).agg(F.transform(every, lambda x: x["_bits"]).alias("_set"))
+
+
+def possible(words: DataFrame, made: tuple | None) -> DataFrame:
+    """The word rows whose hash may be in a filter; a few of the others stay, too."""
+    if made is None:
+        return words
+    slots, rows = made
+    slot = F.pmod(F.col("hash"), F.lit(slots))
+    number = F.shiftright(slot, 6)
+    held = words.withColumn("_row", F.floor(number / ROW)).join(F.broadcast(rows), "_row")  # at most FILTER_BITS
+    bits = F.get("_set", (number % ROW).cast("int"))
+    return held.where(F.getbit(bits, slot.bitwiseAND(F.lit(63)).cast("int")) == 1).select(*words.columns)
+
+
 def shared_words(queries: DataFrame, words_of: Callable[[DataFrame], DataFrame], index: SubjectIndex, share: float = SHARE) -> DataFrame:
     """The rows of words_of(queries) joined with the index's words on `hash`; frequent words are dealt out on both sides.
 
@@ -77,14 +108,17 @@ def cut_pieces(subjects: DataFrame, layout: Pieces = Pieces()) -> DataFrame:
     )
 
 
-def word_places(texts: DataFrame, keys: list, size: int, stride: int = 1, limit: int = None) -> DataFrame:
+def word_places(texts: DataFrame, keys: list, size: int, stride: int = 1, limit: int = None, reach: int = None) -> DataFrame:
     """(keys, _s, _p, pos): the words of `_s` that start at 0, stride, 2 * stride ... up to `limit`.
 
+    With `reach`, a place is followed by that many letters, or by as many as the text has.
+
     `_s` becomes the block that holds the word, `_p` its place there and `pos` its place in the text:
     the cost of a word depends on the block, not on the length of the text.
     """
-    block = max(BLOCK // stride, -(-size // stride), 1) * stride
-    blocks = texts.select(*keys, F.explode(overlapping(F.col("_s"), block, size - 1)).alias("_b"))
+    reach = max(size, reach or 0)
+    block = max(BLOCK // stride, -(-reach // stride), 1) * stride
+    blocks = texts.select(*keys, F.explode(overlapping(F.col("_s"), block, reach - 1)).alias("_b"))
     first = F.col("_b._i") * block
     last = F.least(F.length("_b._s") - size, F.lit(block - 1))
     if limit is not None:

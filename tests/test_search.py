@@ -1,4 +1,3 @@
-import math
 import random
 
 import pytest
@@ -44,7 +43,7 @@ def test_segments_against_brute_force(spark):
     rows = [(i, dna(60), None) for i in range(150)]
     rows = [(i, a, mutate(a, 0.3)) for i, a, _ in rows]
     df = spark.createDataFrame(rows, "i int, a string, b string")
-    matrix = params.group_matrix()
+    matrix = params.read_matrix(params.BLOSUM62)
     got = df.select(
         "i", best_match_segment(F.col("a"), F.col("b"), 1, 2).alias("n"),
         best_protein_segment(F.col("a"), F.col("b"), matrix).alias("p"),
@@ -60,16 +59,10 @@ def test_segments_against_brute_force(spark):
 
 def test_stop_ends_a_segment(spark):
     df = spark.createDataFrame([("ACDE*FGHIK", "ACDE*FGHIK")], "a string, b string")
-    p = df.select(best_protein_segment(F.col("a"), F.col("b"), params.group_matrix()).alias("p")).first().p
+    p = df.select(best_protein_segment(F.col("a"), F.col("b"), params.read_matrix(params.BLOSUM62)).alias("p")).first().p
     assert (p.start, p.length, p.matches) == (5, 5, 5)
 
 
-def test_default_lambda_fits_the_matrix():
-    s = params.ProteinScoring()
-    total = sum(math.exp(s.lam * v) for v in s.matrix.values()) / len(s.matrix)
-    assert abs(total - 1) < 0.01 and len(s.matrix) == 400
-
-
 def planted(n, subjects, rate=0.0):
     out = []
     for i in range(n):
