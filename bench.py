@@ -15,7 +15,7 @@ from readsift.checks.views import STORED, view  # noqa: E402
 
 QUERIES = [
     "species_share", "merged_report", "virus_append_stages", "seq_found", "seq_notfound", "additional_input",
-    "fastq_invalid", "merge_keep_unmerged", "adapter_trim", "cut_right", "qc_chain", "qc_stats", "fastq_roundtrip",
+    "fastq_invalid", "merge_keep_unmerged", "adapter_trim", "adapter_file_trim", "cut_right", "qc_chain", "qc_stats", "fastq_roundtrip",
     "model_chunks", "taxon_lineage", "kmer_index", "translate6", "host_subtract", "search_nt", "search_blastx",
     "search_blastx_fast", "cluster_centroids",
 ]
