@@ -30,7 +30,7 @@ def prefixes(turns: DataFrame) -> DataFrame:
     rows = rows.join(base, ["conv_id", "stretch"]).withColumn("place", F.col("base") + F.col("rn"))
     # a turn's place is part of its hash, so the combination by exclusive or knows the order
     for h, seed in (("h1", 1), ("h2", 2)):
-        rows = rows.withColumn(h, F.xxhash64(F.lit(seed), "place", F.coalesce("role", F.lit("\x00")), F.coalesce("text", F.lit("\x00"))))
+        rows = rows.withColumn(h, F.xxhash64(F.lit(seed), "place", *[x for c in ("role", "text") for x in (F.isnull(c), F.coalesce(c, F.lit("")))]))
     through = inside.rowsBetween(Window.unboundedPreceding, 0)
     rolled = rows.withColumns({h: F.bit_xor(h).over(through) for h in ("h1", "h2")})
     totals = rows.groupBy("conv_id", "stretch").agg(*[F.bit_xor(h).alias(h) for h in ("h1", "h2")])
@@ -68,7 +68,7 @@ def formatted(turns: DataFrame) -> DataFrame:
 SQL = r"""
 with turns as (
   select conv_id, row_number() over (partition by conv_id order by turn nulls first, role nulls first, text nulls first) as place,
-         coalesce(role, chr(1)) || chr(2) || coalesce(text, chr(1)) || chr(3) as mark,
+         coalesce(length(role)::varchar || ':' || role, 'null') || coalesce(length(text)::varchar || ':' || text, 'null') as mark,
          '<|' || coalesce(role, 'unknown') || '|>' || chr(10) || coalesce(text, '') || chr(10) as said
   from conversations where conv_id is not null),
 rolled as (
