@@ -1,7 +1,7 @@
 """Toxicity scores: boosted trees over dense features, calibrated by isotonic regression.
 
-Trained on a sample of at most SAMPLE labelled rows. A text's checksum decides which part it serves, so that
-copies stay together: the lexicon (words and word beginnings that mark toxic texts), the trees, or the calibration.
+Trained on a sample of at most SAMPLE labelled documents. The distinct texts of each label are dealt out in turn, so that
+copies stay together and each part has both labels: the lexicon (words and word beginnings that mark toxic texts), the trees, or the calibration.
 """
 
 import math
@@ -11,11 +11,12 @@ import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from readsift.llm.storage import stored
 
-SAMPLE = 20_000  # labelled rows that training reads at most; a row is in by the order of a hash of its id
+SAMPLE = 20_000  # labelled documents that training reads at most; one is in by the order of a hash of its id
+TURNS = ["trees", "calibration", "lexicon", "trees", "lexicon", "trees", "lexicon", "calibration", "trees", "lexicon"]  # parts that the distinct texts of a label serve in turn
 LEXICON = 5_000  # entries that the lexicon holds at most, most frequent first
 NEAR = 6  # words between a lexicon word and a word that addresses the reader
 STEMS = (4, 5, 6)
@@ -107,14 +108,22 @@ def held_out(doc_id):
 
 
 def sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """(text, toxic, fold) of at most `most` labelled training rows."""
+    """(text, toxic, part) of at most `most` labelled training documents.
+
+    A document with labels of both kinds is toxic; of several texts with one doc_id the least counts.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
-    known = known.where("doc_id is not null and toxic in (0, 1)").where(~held_out(F.col("doc_id"))).dropDuplicates(["doc_id"])
+    known = known.where("doc_id is not null and toxic in (0, 1)").where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     # bounded by `most` rows of two numbers
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = texts.join(F.broadcast(stored(picked, "labelled")), "doc_id")
-    return stored(rows.select("text", "toxic", (F.crc32("text") % 10).cast("int").alias("fold")).orderBy("fold").limit(2 * most), "sample")
+    rows = stored(rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).drop("doc_id"), "sample-texts")
+    # windows over at most `most` digests
+    digests = rows.groupBy(F.sha2("text", 256).alias("digest")).agg(F.max("toxic").alias("label"))
+    turn = (F.row_number().over(W.partitionBy("label").orderBy("digest")) - 1) % len(TURNS)
+    dealt = digests.select("digest", F.element_at(F.array(*map(F.lit, TURNS)), turn + 1).alias("part"))
+    return stored(rows.withColumn("digest", F.sha2("text", 256)).join(F.broadcast(dealt), "digest").drop("digest"), "sample")
 
 
 def learn_lexicon(rows: DataFrame) -> dict:
@@ -129,7 +138,7 @@ def learn_lexicon(rows: DataFrame) -> dict:
     distinct = rows.dropDuplicates(["text"])
     sizes = dict(distinct.groupBy("toxic").count().collect())
     good, bad = max(sizes.get(0, 0), 1), max(sizes.get(1, 0), 1)
-    least = max(5, bad // 400)
+    least = max(min(5, (bad + 1) // 2), bad // 400)  # of few toxic texts, half
     counted = distinct.select("text", "toxic").mapInArrow(split, "entry string, toxic int").groupBy("entry").agg(
         F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")
     )
@@ -142,18 +151,20 @@ class Model:
     """A lexicon, trees, and their calibration; without both labels a constant."""
 
     def __init__(self, rows: DataFrame):
-        sizes = {(r.part, r.toxic): r["count"] for r in rows.groupBy(F.expr("case when fold < 4 then 0 when fold < 8 then 1 else 2 end").alias("part"), "toxic").count().collect()}
-        both = all(sizes.get((part, toxic)) for part in (1, 2) for toxic in (0, 1))
-        known = sum(sizes.values())
-        self.constant = None if both else sum(n for (_, t), n in sizes.items() if t) / known if known else 0.0
-        self.lexicon = {}
-        if not both:
+        sizes = {(r.part, r.toxic): r["count"] for r in rows.groupBy("part", "toxic").count().collect()}
+        by_label = [sum(n for (_, t), n in sizes.items() if t == label) for label in (0, 1)]
+        self.constant = None if all(by_label) else float(bool(by_label[1]))
+        if self.constant is not None:
             return
-        self.lexicon = learn_lexicon(rows.where("fold < 4"))
-        dense = stored(with_features(rows.where("fold >= 4"), self.lexicon).drop("text"), "features").withColumn("vector", array_to_vector("features"))
+        # a label with a single text can't serve several parts: all rows do
+        apart = all(sizes.get((part, toxic)) for part in ("trees", "calibration") for toxic in (0, 1))
+        of = lambda df, part: df.where(F.col("part") == part) if apart else df
+        self.lexicon = learn_lexicon(of(rows, "lexicon"))
+        rest = rows.where("part <> 'lexicon'") if apart else rows
+        dense = stored(with_features(rest, self.lexicon).drop("text"), "features").withColumn("vector", array_to_vector("features"))
         trees = GBTClassifier(featuresCol="vector", labelCol="toxic", predictionCol="side", maxIter=12, maxDepth=3, stepSize=0.3, seed=7)
-        self.trees = trees.fit(dense.where("fold < 8"))
-        ranked = self.raw(dense.where("fold >= 8")).select("raw", F.col("toxic").cast("double").alias("label"))
+        self.trees = trees.fit(of(dense, "trees"))
+        ranked = self.raw(of(dense, "calibration")).select("raw", F.col("toxic").cast("double").alias("label"))
         self.calibration = IsotonicRegression(featuresCol="raw", labelCol="label").fit(ranked)
 
     def raw(self, dense: DataFrame) -> DataFrame:
@@ -176,8 +187,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFram
     """(doc_id, held_out, score, predicted) per row; held_out rows (crc32 of the id as text mod 5 = 0) are never learned from.
 
     Null text is empty and scored like any other; a null doc_id is not held out and not labelled. Repeated
-    rows get equal scores. Without labels of both kinds every score is the share of toxic labels. Other columns,
-    also of the labels, are ignored.
+    rows get equal scores. Training takes the least text of a repeated doc_id, and a doc_id with both labels as toxic. If the
+    sample lacks a label of one kind, every score is 1 (toxic ones only) or 0. Other columns, also of the labels, are ignored.
     """
     model = train(docs, labels, most)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
