@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from readsift import params
 from readsift.checks.registry import query
 from readsift.checks.read_queries import ADAPTERS, CHAIN, PAIRS, QC_STATS, TAILED, tailed
 from readsift.checks.report_queries import BOTH, COUNTS, EMPTY_NR, MERGED, VIRAL, hits
@@ -53,6 +54,23 @@ def fasta_roundtrip(spark, sf_dir):
     return fasta.read_fasta(spark, path).select("read_id", "description", "seq")
 
 
+FILE_PIECES = params.Pieces(128, 100)  # subjects have several
+
+
+@query("fasta_file_pieces", ["fx_subject"], f"""
+select subject_id, cast(i as int) as piece, cast(length(seq) as int) as subject_len, substring(seq, cast(i * {FILE_PIECES.size} + 1 as int), {FILE_PIECES.size + FILE_PIECES.overlap}) as seq
+from (select subject_id, seq, unnest(range(0, (length(seq) + {FILE_PIECES.size - 1}) // {FILE_PIECES.size})) as i from fx_subject)""")
+def fasta_file_pieces(spark, sf_dir):
+    return file_pieces(spark, sf_dir).select("subject_id", "piece", "subject_len", "seq")
+
+
+def file_pieces(spark, sf_dir):
+    path = scratch_path(spark, "subjects")
+    subjects = view(spark, sf_dir, "fx_subject").select(F.col("subject_id").alias("read_id"), F.lit("").alias("description"), "seq")
+    fasta.write_fasta(subjects, path, width=60)
+    return fasta.read_fasta_pieces(spark, path, FILE_PIECES)
+
+
 @query("report_files_roundtrip", BOTH, f", {MERGED} select * from merged")
 def report_files_roundtrip(spark, sf_dir):
     paths = [scratch_path(spark, side) for side in ("nt", "nr", "report")]

@@ -12,6 +12,7 @@ from readsift.functions.sequence import translate_frame
 from readsift.operators import cluster, host, index, search, taxonomy
 from readsift.plans import pipeline
 from readsift.session import scratch_path
+from readsift.sources import fasta
 from readsift.sources.tables import union_all
 
 GENETIC_CODE = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
@@ -126,6 +127,18 @@ def host_subtract(spark, sf_dir):
     return host.subtract_host(reads(spark, sf_dir), references(spark, sf_dir), ["host", "bacterial"])
 
 
+@query("host_subtract_file", ["fx_subject", "fx_reads"],
+       f"{_host_sql(chr(39) + 'host' + chr(39))} select read_id, seq from fx_reads where read_id not in (select read_id from best)")
+def host_subtract_file(spark, sf_dir):
+    """The reference comes from a FASTA file, in pieces shorter than many reads."""
+    p, layout = params.HostFilter(), params.Pieces(64, 32)
+    path = scratch_path(spark, "reference")
+    chosen = host.choose_references(references(spark, sf_dir), ["host"])
+    fasta.write_fasta(chosen.select(F.col("subject_id").alias("read_id"), F.lit("").alias("description"), "seq"), path, width=60)
+    built = index.index_pieces(fasta.read_fasta_pieces(spark, path, layout), p.words.size, layout)
+    return host.subtract_indexed(reads(spark, sf_dir), built, p)
+
+
 @query("host_subtract_last", ["fx_subject", "fx_reads"],
        f"{_host_sql(chr(39) + 'bacterial' + chr(39))} select read_id, seq from fx_reads where read_id not in (select read_id from best)")
 def host_subtract_last(spark, sf_dir):

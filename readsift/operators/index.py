@@ -151,6 +151,18 @@ def strand_words(df: DataFrame, keys: list, size: int, stride: int = 1, limit: i
 
 def build_index(subjects: DataFrame, word_size: int, layout: Pieces = Pieces()) -> SubjectIndex:
     """Index of (subject_id, seq): every word of every subject, hashed once for both strands."""
+    return index_of(subjects, _strand_cut(word_size, layout), word_size, layout)
+
+
+def index_pieces(pieces: DataFrame, word_size: int, layout: Pieces = Pieces()) -> SubjectIndex:
+    """build_index for subjects that come as pieces (subject_id, piece, subject_len, seq) of this layout."""
+    cut = _strand_cut(word_size, layout)
+    pieces = pieces.select("subject_id", "piece", "subject_len", "seq")
+    total = pieces.where("piece = 0").agg(F.coalesce(F.sum("subject_len"), F.lit(0)).alias("total"))
+    return SubjectIndex(pieces, cut(pieces), total, word_size, layout, cut)
+
+
+def _strand_cut(word_size: int, layout: Pieces) -> Callable[[DataFrame], DataFrame]:
     if layout.overlap < word_size - 1:
         raise ValueError("pieces must overlap by a word")
 
@@ -158,7 +170,7 @@ def build_index(subjects: DataFrame, word_size: int, layout: Pieces = Pieces())
         words = strand_words(pieces, ["subject_id", "piece"], word_size, limit=layout.size - 1)
         return words.select("hash", "subject_id", (F.col("piece") * layout.size + F.col("pos")).alias("pos"), "forward")
 
-    return index_of(subjects, cut, word_size, layout)
+    return cut
 
 
 def index_of(subjects: DataFrame, cut: Callable[[DataFrame], DataFrame], word_size: int, layout: Pieces) -> SubjectIndex:

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from readsift import params
 from readsift.functions.alignment import best_match_segment, best_protein_segment
-from readsift.operators import cluster, host, index, search, taxonomy
+from readsift.functions.sequence import translate_frame
+from readsift.operators import cluster, existence, host, index, search, taxonomy
 from readsift.plans import pipeline
 
 rng = random.Random(11)
@@ -97,9 +98,26 @@ def test_long_query_is_never_cut_short(spark):
     known = spark.createDataFrame([("s", dna(700))], "subject_id string, seq string")
     built = index.build_index(known, 21, params.Pieces(64, 32))
     with pytest.raises(Exception, match="long_queries"):
-        search.search_nucleotide(known.select(F.col("subject_id").alias("read_id"), "seq"), built, 1e-3).collect()
-    whole = search.search_nucleotide(known.select(F.col("subject_id").alias("read_id"), "seq"), built, 1e-3, long_queries=True)
-    assert whole.first().matches == 700
+        search.search_nucleotide(known.select(F.col("subject_id").alias("read_id"), "seq"), built, 1e-3, long_queries=False).collect()
+    for asked in (True, None):
+        whole = search.search_nucleotide(known.select(F.col("subject_id").alias("read_id"), "seq"), built, 1e-3, long_queries=asked)
+        assert whole.first().matches == 700
+
+
+def test_long_queries_are_noticed_by_every_search(spark):
+    """A long contig is found by each search without being announced."""
+    text = dna(900)
+    known = spark.createDataFrame([("s", text)], "subject_id string, seq string")
+    query = reads(spark, [("long", text[50:850]), ("short", text[10:60]), ("none", dna(300))])
+    built = index.build_index(known, 17, params.Pieces(64, 32))
+    assert {(r.read_id, r.pos) for r in host.host_alignments(query, built).collect()} == {("long", 50), ("short", 10)}
+    assert {r.read_id for r in existence.found_host(query, built).collect()} == {"long", "short"}
+    assert "long" in {r.read_id for r in existence.found_nucleotide(query, index.build_index(known, 21, params.Pieces(64, 32)), 1e-10).collect()}
+    protein = known.select("subject_id", translate_frame(F.col("seq"), 0).alias("seq"))
+    mode = params.SEED_MODES["fast"]
+    index_p = search.build_protein_index(protein, mode, params.Pieces(64, 32))
+    assert {r.read_id for r in search.search_translated(query, index_p, mode, 1e-10).collect()} >= {"long"}
+    assert {r.read_id for r in existence.found_translated(query, index_p, mode, 1e-10).collect()} >= {"long"}
 
 
 @pytest.mark.parametrize("rate,least", [(0.0, 1.0), (0.05, 0.95), (0.10, 0.6)])
