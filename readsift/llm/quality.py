@@ -1,14 +1,16 @@
 """Quality rules: base counts per text, then robust multivariate outliers per language and source.
 
-Rows of a source too small for a fit of its own are judged by their language's fit, and those of a small
-language by the fit over all rows.
-
 The minimum covariance determinant is approached by concentration steps, as DataFrame aggregates: from
 medians and absolute deviations, each step takes the HALF of a group's rows that lie closest and refits
-mean and covariance on them; the determinant never grows. Rows beyond the cut in Mahalanobis distance are
-rejected. Everything is DataFrame expressions; what a group contributes to a shuffle is sums.
+mean and covariance on them, until the determinant no longer falls. There is a fit for each source of a
+language, for each language and over all rows; location and scatter of a source's n rows are drawn towards
+its language's, which are drawn towards those of all rows, with weight SHRINK / (n + SHRINK). Rows beyond the
+cut in Mahalanobis distance are rejected. Everything is DataFrame expressions; what a group contributes to a
+shuffle is sums.
 """
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from readsift.functions.binding import let
@@ -16,8 +18,8 @@ from readsift.llm.native import SPACES, grams, words
 from readsift.llm.storage import stored
 
 HALF = 0.75  # share of a group's rows that a concentration step keeps
-STEPS = 3
-LEAST_ROWS = 50  # smaller groups can't support a covariance: their rows are judged by a wider fit
+STAYS = 1e-3  # a logarithm of a determinant that falls by less has stayed
+SHRINK = 25  # rows that the wider fit counts for beside a fit's own
 PRIOR_ROWS = 10  # rows that the typical spreads count for beside a fit's own
 CUT = 35.888  # squared distance that a chi-square with five degrees of freedom passes once in a million: clean texts have heavy tails
 MEDIAN_CHI2 = 4.351  # median of that chi-square (fixed value)
@@ -35,6 +37,9 @@ TOGETHER = {("x4", "x3"): 0.7}
 #: Spreads that texts have anywhere, for fits over few rows.
 TYPICAL = {"x0": 1.0, "x1": 0.1}
 X = list(STATISTICS)
+PAIRS = [(i, k) for i in range(len(X)) for k in range(i + 1)]
+MEANS, COVARIANCES = [f"m_{i}" for i in range(len(X))], [f"c_{i}_{k}" for i, k in PAIRS]
+FACTORS = [f"l_{i}_{k}" for i, k in PAIRS]
 GROUP = ["g_lang", "g_source"]
 
 
@@ -70,48 +75,50 @@ def base_statistics(docs: DataFrame) -> DataFrame:
     return counted.withColumn("base_failed", F.expr("n_words < 20 or 100 * n_repeat_words > 30 * n_words"))
 
 
-def _groups(rows: DataFrame) -> DataFrame:
-    """(GROUP, fit, fits): the fit that judges a group's rows, and all fits that are made from them."""
-    sizes = rows.groupBy(*GROUP).agg(F.count("*").alias("n"))
-    large = F.col("n") >= LEAST_ROWS
-    langs = sizes.groupBy("g_lang").agg(F.sum("n").alias("n_lang"), F.max(~large).alias("by_lang"))
-    by_lang, by_all = F.col("by_lang") & (F.col("n_lang") >= LEAST_ROWS), F.col("by_lang") & (F.col("n_lang") < LEAST_ROWS)
-    langs = langs.select("g_lang", by_lang.alias("by_lang"), by_all.alias("by_all"))
-    langs = langs.crossJoin(F.broadcast(langs.agg(F.coalesce(F.max("by_all"), F.lit(False)).alias("any_by_all"))))
+def _fit_names() -> dict:
+    """The fits that a row belongs to, from the narrowest: source of a language, language, all rows."""
     own = F.concat(F.lit("s"), F.length("g_lang"), F.lit(" "), F.col("g_lang"), F.col("g_source"))
-    lang, every = F.concat(F.lit("l"), F.col("g_lang")), F.lit("")
-    return _ready(sizes.join(langs, "g_lang").select(
-        *GROUP, F.when(large, own).when(F.col("by_lang"), lang).otherwise(every).alias("fit"),
-        F.array_compact(F.array(F.when(large, own), F.when(F.col("by_lang"), lang), F.when(F.col("any_by_all"), every))).alias("fits"),
-    ))
+    return {"s": own, "l": F.concat(F.lit("l"), F.col("g_lang")), "a": F.lit("")}
 
 
-def _with_distance(rows: DataFrame, fits: DataFrame) -> DataFrame:
-    """Adds d2, the squared Mahalanobis distance to the row's fit (null without one), by forward substitution."""
-    out = rows.join(fits, "fit", "left")
+def _with_distance(rows: DataFrame) -> DataFrame:
+    """Adds d2, the squared Mahalanobis distance to the fit whose columns the row has, by forward substitution."""
+    out = rows
     for i, x in enumerate(X):
         rest = F.col(x) - F.col(f"m_{i}")
         for k in range(i):
             rest = rest - F.col(f"l_{i}_{k}") * F.col(f"z_{k}")
         out = out.withColumn(f"z_{i}", rest / F.col(f"l_{i}_{i}"))
     d2 = sum((F.col(f"z_{i}") * F.col(f"z_{i}") for i in range(1, len(X))), F.col("z_0") * F.col("z_0"))
-    return out.withColumn("d2", d2).select(*rows.columns, "d2")
+    return out.withColumn("d2", d2)
 
 
-def _cholesky(fits: DataFrame) -> DataFrame:
-    """Columns l_i_k of the lower factor, from covariance columns c_i_k of n rows; spreads below the floor are raised to it."""
+def _fitted(rows: DataFrame, fits: DataFrame) -> DataFrame:
+    return _with_distance(rows.join(fits, "fit")).select(*rows.columns, "d2")
+
+
+def _regular(fits: DataFrame) -> DataFrame:
+    """Covariance columns c_i_k of n rows, with the floors and the typical spreads added."""
     floors = [f for _, f in STATISTICS.values()]
     prior = F.lit(float(PRIOR_ROWS)) / (F.col("n") + PRIOR_ROWS)
-    for i in range(len(X)):
-        for k in range(i + 1):
-            value = F.col(f"c_{i}_{k}") + floors[i] * floors[k] * TOGETHER.get((X[i], X[k]), 0.0)
-            if i == k:
-                value = value + floors[i] ** 2 + prior * TYPICAL.get(X[i], 0.0) ** 2
-            for j in range(k):
-                value = value - F.col(f"l_{i}_{j}") * F.col(f"l_{k}_{j}")
-            value = F.sqrt(F.greatest(value, F.lit(floors[i] ** 2 / 4))) if i == k else value / F.col(f"l_{k}_{k}")
-            fits = fits.withColumn(f"l_{i}_{k}", value)
-    return fits.select("fit", *[f"m_{i}" for i in range(len(X))], *[f"l_{i}_{k}" for i in range(len(X)) for k in range(i + 1)])
+    out = {}
+    for i, k in PAIRS:
+        out[f"c_{i}_{k}"] = F.col(f"c_{i}_{k}") + floors[i] * floors[k] * TOGETHER.get((X[i], X[k]), 0.0)
+        if i == k:
+            out[f"c_{i}_{k}"] += floors[i] ** 2 + prior * TYPICAL.get(X[i], 0.0) ** 2
+    return fits.withColumns(out)
+
+
+def _cholesky(fits: DataFrame) -> DataFrame:
+    """Adds columns l_i_k of the lower factor and `det`, the logarithm of the determinant; spreads far below the floor are raised."""
+    floors = [f for _, f in STATISTICS.values()]
+    for i, k in PAIRS:
+        value = F.col(f"c_{i}_{k}")
+        for j in range(k):
+            value = value - F.col(f"l_{i}_{j}") * F.col(f"l_{k}_{j}")
+        value = F.sqrt(F.greatest(value, F.lit(floors[i] ** 2 / 4))) if i == k else value / F.col(f"l_{k}_{k}")
+        fits = fits.withColumn(f"l_{i}_{k}", value)
+    return fits.withColumn("det", 2 * sum((F.log(f"l_{i}_{i}") for i in range(1, len(X))), F.log("l_0_0")))
 
 
 def _ready(fits: DataFrame) -> DataFrame:
@@ -121,56 +128,80 @@ def _ready(fits: DataFrame) -> DataFrame:
 
 
 def _start(rows: DataFrame) -> DataFrame:
-    """Medians and absolute deviations per fit, as a diagonal fit."""
+    """Medians and absolute deviations per fit, as a diagonal fit; its determinant is no bound."""
     middles = _ready(rows.groupBy("fit").agg(*[F.percentile_approx(x, 0.5, 1000).alias(f"m_{i}") for i, x in enumerate(X)]))
     apart = rows.join(middles, "fit").groupBy("fit").agg(
         F.count("*").alias("n"),
-        *[F.first(f"m_{i}").alias(f"m_{i}") for i in range(len(X))],
+        *[F.first(m).alias(m) for m in MEANS],
         *[F.percentile_approx(F.abs(F.col(x) - F.col(f"m_{i}")), 0.5, 1000).alias(f"a_{i}") for i, x in enumerate(X)],
     )
-    return _ready(_cholesky(apart.select(
-        "fit", "n", *[f"m_{i}" for i in range(len(X))],
-        *[(F.pow(1.4826 * F.col(f"a_{i}"), 2) if i == k else F.lit(0.0)).alias(f"c_{i}_{k}") for i in range(len(X)) for k in range(i + 1)],
-    )))
+    spread = {f"c_{i}_{k}": F.pow(1.4826 * F.col(f"a_{i}"), 2) if i == k else F.lit(0.0) for i, k in PAIRS}
+    return _ready(_cholesky(_regular(apart.withColumns(spread))).select("fit", *MEANS, *COVARIANCES, *FACTORS, F.lit(float("inf")).alias("det")))
 
 
 def _concentrate(rows: DataFrame, fits: DataFrame) -> DataFrame:
-    """Mean and covariance of the rows closest to the fit, scaled so that the median distance is the chi-square's."""
-    near = _with_distance(rows, fits).where("d2 is not null")
-    bounds = _ready(near.groupBy("fit").agg(F.percentile_approx("d2", HALF, 1000).alias("bound")))
-    inner = near.join(bounds, "fit").where("d2 <= bound")
-    sums = inner.groupBy("fit").agg(
+    """Mean and covariance of the HALF of each fit's rows that are closest to it."""
+    bounds = _ready(_fitted(rows, fits).groupBy("fit").agg(F.percentile_approx("d2", HALF, 1000).alias("bound")))
+    sums = _fitted(rows, fits).join(bounds, "fit").where("d2 <= bound").groupBy("fit").agg(
         F.count("*").alias("n"),
         *[F.avg(x).alias(f"m_{i}") for i, x in enumerate(X)],
-        *[F.covar_pop(X[i], X[k]).alias(f"c_{i}_{k}") for i in range(len(X)) for k in range(i + 1)],
+        *[F.covar_pop(X[i], X[k]).alias(f"c_{i}_{k}") for i, k in PAIRS],
     )
-    fits = _ready(_cholesky(sums))
-    middle = _with_distance(rows, fits).where("d2 is not null").groupBy("fit").agg(F.percentile_approx("d2", 0.5, 1000).alias("mid"))
-    scale = F.greatest(F.sqrt(F.col("mid") / MEDIAN_CHI2), F.lit(1.0))
-    scaled = fits.join(middle, "fit").select(
-        "fit", *[f"m_{i}" for i in range(len(X))], *[(F.col(f"l_{i}_{k}") * scale).alias(f"l_{i}_{k}") for i in range(len(X)) for k in range(i + 1)]
-    )
-    return _ready(scaled)
+    return _cholesky(_regular(sums)).select("fit", *MEANS, *COVARIANCES, *FACTORS, "det")
+
+
+def robust_fits(rows: DataFrame) -> DataFrame:
+    """(fit, rows, m_i, c_i_k) per fit of rows (fit, x0 ...): concentrated until each determinant stays, then scaled.
+
+    A determinant that fell by STAYS or more moves on to another step, the others are done, so the loop ends. The covariance is scaled
+    up where the median squared distance is above the chi-square's.
+    """
+    moving, done = _start(rows), []
+    while True:
+        before = moving.select("fit", *[F.col(c).alias(f"_{c}") for c in (*MEANS, *COVARIANCES, *FACTORS, "det")])
+        fell = F.col("_det") - F.col("det")
+        step = _concentrate(rows, moving).join(before, "fit").withColumn("falls", fell >= STAYS)
+        kept = [F.when(fell >= 0, F.col(c)).otherwise(F.col(f"_{c}")).alias(c) for c in (*MEANS, *COVARIANCES, *FACTORS, "det")]
+        step = stored(step.select("fit", *kept, "falls"), "step")
+        done.append(step.where("not falls").drop("falls"))
+        moving = _ready(step.where("falls").drop("falls"))
+        if moving.isEmpty():
+            break
+    fits = _ready(reduce(DataFrame.unionByName, done))
+    middle = _fitted(rows, fits).groupBy("fit").agg(F.count("*").alias("rows"), F.percentile_approx("d2", 0.5, 1000).alias("mid"))
+    scale = F.greatest(F.col("mid") / MEDIAN_CHI2, F.lit(1.0))
+    return stored(fits.join(middle, "fit").select("fit", "rows", *MEANS, *[(F.col(c) * scale).alias(c) for c in COVARIANCES]), "robust-fits")
+
+
+def shrunk(groups: DataFrame, fits: DataFrame) -> DataFrame:
+    """(GROUP, m_i, l_i_k): the fit that judges a group's rows, its own drawn towards its language's and that towards the one over all rows."""
+    out = groups
+    for level, name in _fit_names().items():
+        side = fits.select(F.col("fit").alias(f"{level}_fit"), *[F.col(c).alias(f"{level}_{c}") for c in ("rows", *MEANS, *COVARIANCES)])
+        out = out.withColumn(f"{level}_fit", name).join(side, f"{level}_fit")
+    mixed = {}
+    for c in (*MEANS, *COVARIANCES):
+        mixed[c] = F.col(f"a_{c}")
+        for level in ("l", "s"):
+            own = F.col(f"{level}_rows") / (F.col(f"{level}_rows") + SHRINK)
+            mixed[c] = own * F.col(f"{level}_{c}") + (1 - own) * mixed[c]
+    return _ready(_cholesky(out.select(*GROUP, *[v.alias(c) for c, v in mixed.items()])).select(*GROUP, *MEANS, *FACTORS))
 
 
 def quality(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, distance, kept) per row.
 
     Rows that fail the base rules are not kept, nor used for a fit (distance null). Others are kept unless their squared
-    robust distance passes CUT: within their language and source, within their language if that group has fewer than
-    LEAST_ROWS rows, or among all rows if the language has fewer too. Null text has no words and fails; null language
-    or source is a group of its own, with the empty string. Repeated rows count as often as they occur; other columns are ignored.
+    robust distance from the fit of their language and source passes CUT; fits of few rows lean on wider ones, by a weight that
+    changes little with one row more. Null text has no words and fails; null language or source is a group of its own, with the
+    empty string. Repeated rows count as often as they occur; other columns are ignored.
     """
     stats = stored(base_statistics(docs), "statistics")
     passed = stats.where("not base_failed")
-    groups = _groups(passed)
     vectors = {x: F.expr(e).cast("double") for x, (e, _) in STATISTICS.items()}
-    rows = stored(passed.join(groups, GROUP).select(F.explode("fits").alias("fit"), *[v.alias(x) for x, v in vectors.items()]), "vectors")
-    fits = _start(rows)
-    for _ in range(STEPS):
-        fits = _concentrate(rows, fits)
-    own = stats.join(groups.drop("fits"), GROUP, "left").withColumns({x: F.when(~F.col("base_failed"), v) for x, v in vectors.items()})
-    judged = _with_distance(own, fits)
+    rows = stored(passed.select(F.explode(F.array(*_fit_names().values())).alias("fit"), *[v.alias(x) for x, v in vectors.items()]), "vectors")
+    fits = shrunk(passed.select(*GROUP).distinct(), robust_fits(rows))
+    judged = _with_distance(stats.join(fits, GROUP, "left").withColumns({x: F.when(~F.col("base_failed"), v) for x, v in vectors.items()}))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.sqrt("d2").alias("distance"),
         (~F.col("base_failed") & F.coalesce(F.col("d2") <= CUT, F.lit(False))).alias("kept"),
