@@ -6,14 +6,17 @@
    meet in one shard. Equal segments are folded into their first occurrence before and after the shuffle.
 3. Each shard sorts its suffixes by external induced sorting (`induced`); neighbours with a common prefix of
    `length` bytes or more are equal windows, of which all but the first are marked. The sort takes some 75 bytes of
-   memory a byte, so in a shard beyond WHOLE bytes (a hot anchor) windows are dealt by content into files, and those
-   of one file that share a hash are compared as bytes.
+   memory a byte, so a shard is read as a stream and sorted in leaves of LEAF bytes: what is more goes to files by the
+   bytes that all windows with the smallest hash in the first (or second) half of its possible places share, and each
+   file is a shard of its own. Equal windows have it at the same place, so they meet in one leaf.
 4. The marks go back to their texts.
 """
 
 import hashlib
 import os
 import tempfile
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +28,10 @@ from readsift.llm.vectors import cover, flat, read_spans, rolling, slices, slide
 LENGTH = 100
 GRAM = 32  # bytes; a power of two keeps the rolling hash cheap
 TILE = 1 << 19  # bytes whose hashes are held at once
-WHOLE = 4 << 20  # bytes of a shard whose suffixes are sorted at once
-DEALT = 1 << 19  # windows in a file of a larger shard, on average
-WINDOW = np.dtype([("hash", "<u8"), ("at", "<i8")])
+PLACE = np.uint64(22)  # lower bits of a hash that give way to its place, so that a minimum tells both
+LEAF = 4 << 20  # bytes of segments that one sort takes
+FILES = 16  # files that each half of a larger shard is dealt to
+MARKS = 1 << 20  # marks that are joined to spans at once
 
 
 def anchored(data: np.ndarray, offsets: np.ndarray, length: int):
@@ -40,7 +44,7 @@ def anchored(data: np.ndarray, offsets: np.ndarray, length: int):
         tile = data[low : low + TILE + length - 1]
         grams = exchange.mix(rolling(tile, GRAM))
         # upper bits of the hash, then the place: the minimum tells the leftmost place, whatever repeats
-        bits = np.uint64(max(22, len(grams).bit_length()))
+        bits = max(PLACE, np.uint64(len(grams).bit_length()))
         least = slide_min(((grams >> bits) << bits) | np.arange(len(grams), dtype=np.uint64), length - GRAM + 1)
         anchor = (least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int32)
         # windows that lie in one text: those whose first byte is at least a window before the text's end
@@ -89,17 +93,33 @@ def candidates(texts: DataFrame, length: int) -> DataFrame:
     return exchange.spans_of(texts.mapInArrow(send, exchange.SCHEMA), False)
 
 
-def fold(runs: np.ndarray, segment) -> tuple[np.ndarray, np.ndarray, list]:
-    """First occurrence of each distinct segment (segment(i): bytes of run i), the runs that start after it, the bytes."""
-    order = np.lexsort((runs["start"], runs["doc"]))
-    first, kept, later = {}, [], []
-    for i in order.tolist():
-        j = first.setdefault(segment(i), i)
-        if j == i:
-            kept.append(i)
-        elif runs["doc"][i] != runs["doc"][j] or runs["start"][i] != runs["start"][j]:
+def fold(runs: np.ndarray, segment) -> tuple[np.ndarray, np.ndarray]:
+    """First occurrence of each distinct segment (segment(i): bytes of run i), and the runs that start after it.
+
+    Texts that share a doc_id may share the first place, too: it is kept once for each of them.
+    """
+    first, last, kept, later = {}, {}, [], []
+    for i in np.lexsort((runs["chk"], runs["start"], runs["doc"])).tolist():
+        j = first.setdefault(raw := segment(i), i)
+        if j != i and (runs["doc"][i] != runs["doc"][j] or runs["start"][i] != runs["start"][j]):
             later.append(i)
-    return np.array(kept, np.int64), np.array(later, np.int64), list(first)
+        elif j == i or runs["chk"][i] != runs["chk"][last.get(raw, j)]:
+            kept.append(i)
+            if j != i:
+                last[raw] = i
+    return np.array(kept, np.int64), np.array(later, np.int64)
+
+
+def packed(runs: np.ndarray, segments: list) -> bytes:
+    return np.int32(len(runs)).tobytes() + runs.tobytes() + b"".join(segments)
+
+
+def opened(payload: bytes, length: int) -> tuple[np.ndarray, list]:
+    """The runs of a payload and the bytes of each."""
+    n = int(np.frombuffer(payload, np.int32, 1)[0])
+    runs = np.frombuffer(payload, exchange.RUN, n, 4)
+    ends = (4 + n * exchange.RUN.itemsize + np.cumsum(runs["count"].astype(np.int64) + length - 1)).tolist()
+    return runs, [payload[a:b] for a, b in zip([4 + n * exchange.RUN.itemsize, *ends[:-1]], ends, strict=True)]
 
 
 def send_segments(length: int, n: int):
@@ -124,51 +144,143 @@ def send_segments(length: int, n: int):
                 runs["count"] = count
                 raw = data.tobytes()
                 stop = start + count + length - 1
-                kept, later, segments = fold(runs, lambda i, raw=raw, a=start.tolist(), b=stop.tolist(): raw[a[i] : b[i]])
+                segment = lambda i, raw=raw, a=start.tolist(), b=stop.tolist(): raw[a[i] : b[i]]
+                kept, later = fold(runs, segment)
                 if len(later):
                     yield exchange.settled(runs[later], n)
-                order = np.argsort(shard[kept], kind="stable")
-                kept = kept[order]
+                kept = kept[np.argsort(shard[kept], kind="stable")]
                 places, at = np.unique(shard[kept], return_index=True)
                 ends = np.append(at[1:], len(kept))
-                payloads = [
-                    np.int32(b - a).tobytes() + runs[kept[a:b]].tobytes() + b"".join([segments[i] for i in order[a:b].tolist()])
-                    for a, b in zip(at, ends, strict=True)
-                ]
+                payloads = [packed(runs[kept[a:b]], [segment(i) for i in kept[a:b].tolist()]) for a, b in zip(at, ends, strict=True)]
                 yield exchange.rows(bucket=places.astype(np.int32), payload=pa.array(payloads, pa.binary()))
 
     return send
 
 
-def shard_marks(table: pa.Table, length: int) -> pa.Table:
-    """One shard: spans of the windows that also start earlier."""
-    runs, segments = [], []
-    for payload in table["payload"].drop_null().to_pylist():
-        n = int(np.frombuffer(payload, np.int32, 1)[0])
-        own = np.frombuffer(payload, exchange.RUN, n, 4)
-        runs.append(own)
-        ends = 4 + n * exchange.RUN.itemsize + np.cumsum(own["count"].astype(np.int64) + length - 1)
-        segments += [payload[a:b] for a, b in zip([4 + n * exchange.RUN.itemsize, *ends[:-1].tolist()], ends.tolist(), strict=True)]
-    marks = []
-    if runs:
-        runs = np.concatenate(runs)
-        kept, later, segments = fold(runs, segments.__getitem__)
-        marks.append(runs[later])
+def joined_spans(marks: list) -> pa.RecordBatch:
+    doc, chk, spans = spans_by_text(*(np.concatenate([m[c] for m in marks]) for c in ("doc", "chk", "start", "count")))
+    return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(chk.astype(np.int64)), spans], names=["doc", "chk", "spans"])
+
+
+def shard_marks(length: int, leaf: int):
+    """One shard, as a stream: spans of the windows that also start earlier, and spans that were settled before."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, marks, n = [], [], 0
+
+        def payloads():
+            for batch in batches:
+                settled = batch.filter(pa.compute.is_valid(batch["spans"])).select(["doc", "chk", "spans"])
+                if settled.num_rows:
+                    before.append(settled)
+                yield from batch["payload"].drop_null().to_pylist()
+
+        for part in settle(payloads(), length, leaf, 0, length - GRAM):
+            yield from before
+            before.clear()
+            if len(part):
+                marks.append(part)
+                n += len(part)
+            if n > MARKS:
+                yield joined_spans(marks)
+                marks, n = [], 0
+        yield from before
+        if marks:
+            yield joined_spans(marks)
+
+    return run
+
+
+def settle(payloads: Iterable[bytes], length: int, leaf: int, low: int, high: int):
+    """Runs of windows that start earlier elsewhere in the payloads; the smallest hash is at low to high in each window."""
+    payloads, held, size = iter(payloads), [], 0
+    for payload in payloads:
+        held.append(payload)
+        size += len(payload)
+        if size > leaf and low < high:
+            break
+    else:  # a leaf; windows of one place have been dealt by all their bytes
+        parts = [opened(p, length) for p in held]
+        if not parts:
+            return
+        runs, segments = np.concatenate([p[0] for p in parts]), list(chain.from_iterable(p[1] for p in parts))
+        parts, held = None, None
+        kept, later = fold(runs, segments.__getitem__)
+        yield runs[later]
         runs = runs[kept]
         sizes = runs["count"].astype(np.int64) + length - 1
-        first = np.cumsum(sizes) - sizes
-        data = np.frombuffer(b"".join(segments), np.uint8)
+        data = np.frombuffer(b"".join([segments[i] for i in kept.tolist()]), np.uint8)
         segments = None
-        find = repeats if len(data) <= WHOLE else dealt_repeats
-        marks.extend(find(data, first, sizes, runs, length))
-    marks = [m for m in marks if len(m)]
-    before = table.filter(pa.compute.is_valid(table["spans"])).select(["doc", "chk", "spans"])
-    schema = pa.schema([("doc", pa.int64()), ("chk", pa.int64()), ("spans", pa.binary())])
-    if not marks:
-        return before.cast(schema)
-    marks = np.concatenate(marks)
-    doc, chk, spans = spans_by_text(*(marks[c] for c in ("doc", "chk", "start", "count")))
-    return pa.concat_tables([pa.table({"doc": doc, "chk": chk.astype(np.int64), "spans": spans}, schema=schema), before.cast(schema)])
+        yield from repeats(data, np.cumsum(sizes) - sizes, sizes, runs, length)
+        return
+    with tempfile.TemporaryDirectory() as folder:
+        middle = (low + high) // 2
+        halves = [(low, middle), (middle + 1, high)]
+        for runs, segments in pieces(chain(held, payloads), length):
+            held = None
+            kept, later = fold(runs, segments.__getitem__)
+            yield runs[later]
+            deal(runs[kept], [segments[i] for i in kept.tolist()], length, halves, folder)
+        for half in halves:
+            for k in range(FILES):
+                path = os.path.join(folder, f"{half[0]}-{k}")
+                if os.path.exists(path):
+                    yield from settle(from_file(path), length, leaf, *half)
+                    os.unlink(path)
+
+
+def pieces(payloads: Iterable[bytes], length: int):
+    """(runs, segments) of the payloads in pieces of about TILE bytes."""
+    runs, segments, size = [], [], 0
+    for payload in payloads:
+        own, texts = opened(payload, length)
+        ends = np.cumsum(own["count"].astype(np.int64) + length - 1)
+        cuts = np.unique(np.append(np.searchsorted(ends, np.arange(0, ends[-1] if len(ends) else 0, TILE)), len(own)))
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            runs.append(own[a:b])
+            segments += texts[a:b]
+            size += int(ends[b - 1] - (ends[a - 1] if a else 0))
+            if size >= TILE:
+                yield np.concatenate(runs), segments
+                runs, segments, size = [], [], 0
+    if runs:
+        yield np.concatenate(runs), segments
+
+
+def deal(runs: np.ndarray, segments: list, length: int, halves: list, folder: str) -> None:
+    """Add to each half's files the windows whose smallest hash is in that half, by the bytes that all such windows share."""
+    raw = b"".join(segments)
+    data = np.frombuffer(raw, np.uint8)
+    sizes = runs["count"].astype(np.int64) + length - 1
+    first = np.cumsum(sizes) - sizes
+    grams = exchange.mix(rolling(data, GRAM))
+    least = np.append(((grams >> PLACE) << PLACE) | np.arange(len(grams), dtype=np.uint64), np.uint64(0xFFFFFFFFFFFFFFFF))
+    # the smallest hash of a segment is that of each of its windows
+    least = np.minimum.reduceat(least, np.stack([first, first + sizes - GRAM + 1]).T.reshape(-1))[::2]
+    place = (least & ((np.uint64(1) << PLACE) - np.uint64(1))).astype(np.int64) - first
+    for low, high in halves:
+        begin, end = np.maximum(place - high, 0), np.minimum(place - low, runs["count"].astype(np.int64) - 1)
+        own = np.flatnonzero(begin <= end)
+        if not len(own):
+            continue
+        begin, end = begin[own], end[own]
+        out = runs[own]
+        out["start"] += begin.astype(np.uint32)
+        out["count"] = end - begin + 1
+        shared = rolling(data, length - high + low)[first[own] + place[own] - low]
+        to = exchange.bucket_of(shared + np.uint64(high - low), FILES)
+        begin, end = (first[own] + begin).tolist(), (first[own] + end + length).tolist()
+        for k in np.unique(to).tolist():
+            pick = np.flatnonzero(to == k)
+            payload = packed(out[pick], [raw[begin[i] : end[i]] for i in pick.tolist()])
+            with open(os.path.join(folder, f"{low}-{k}"), "ab") as file:
+                file.write(np.int64(len(payload)).tobytes() + payload)
+
+
+def from_file(path: str):
+    with open(path, "rb") as file:
+        while head := file.read(8):
+            yield file.read(int(np.frombuffer(head, np.int64)[0]))
 
 
 def repeats(data: np.ndarray, first: np.ndarray, sizes: np.ndarray, runs: np.ndarray, length: int):
@@ -186,38 +298,6 @@ def repeats(data: np.ndarray, first: np.ndarray, sizes: np.ndarray, runs: np.nda
     yield _later(rest_pos, rest_new, of, first, sizes, runs, length)
 
 
-def dealt_repeats(data: np.ndarray, first: np.ndarray, sizes: np.ndarray, runs: np.ndarray, length: int):
-    """What `repeats` finds, in memory that does not follow the shard: its windows go by their hash to files, read one by one."""
-    files = -(-len(data) // DEALT)
-    places = [*range(0, length - GRAM, GRAM), length - GRAM]  # grams that cover a window
-    with tempfile.TemporaryDirectory() as folder:
-        paths = [os.path.join(folder, str(k)) for k in range(files)]
-        for a in range(0, len(data) - length + 1, WHOLE):
-            grams = exchange.mix(rolling(data[a : a + WHOLE + length - 1], GRAM))
-            out = np.zeros(len(grams) - length + GRAM, WINDOW)
-            for p in places:
-                out["hash"] = exchange.mix(out["hash"] + grams[p : p + len(out)])
-            out["at"] = np.arange(a, a + len(out))
-            of = np.searchsorted(first, out["at"], "right") - 1
-            out = out[out["at"] + length <= first[of] + sizes[of]]  # the window ends inside its segment
-            to = ((out["hash"] >> np.uint64(32)) % np.uint64(files)).astype(np.int64)
-            order = np.argsort(to, kind="stable")
-            out, ends = out[order], np.searchsorted(to[order], np.arange(files + 1))
-            for k in np.flatnonzero(np.diff(ends)).tolist():
-                with open(paths[k], "ab") as file:
-                    file.write(out[ends[k] : ends[k + 1]].tobytes())
-        raw = memoryview(data)
-        for path in filter(os.path.exists, paths):
-            found = np.fromfile(path, WINDOW)
-            _, inverse, times = np.unique(found["hash"], return_inverse=True, return_counts=True)
-            at = found["at"][times[inverse] > 1]
-            of = np.searchsorted(first, at, "right") - 1
-            hit = runs[of]
-            hit["start"] += (at - first[of]).astype(np.uint32)
-            hit["count"] = 1
-            yield hit[fold(hit, lambda i, at=at.tolist(): bytes(raw[at[i] : at[i] + length]))[1]]
-
-
 def _later(pos, new, of, first, sizes, runs, length):
     group = np.cumsum(new)
     whole = pos + length <= first[of[pos]] + sizes[of[pos]]  # the window ends inside its segment
@@ -242,14 +322,14 @@ def whole_characters(text: np.ndarray, gone: np.ndarray) -> np.ndarray:
     return np.bincount(of, gone)[of] > 0
 
 
-def dedup_substrings(docs: DataFrame, length: int = LENGTH, carry: tuple = (), characters: bool = False) -> DataFrame:
+def dedup_substrings(docs: DataFrame, length: int = LENGTH, carry: tuple = (), characters: bool = False, leaf: int = LEAF) -> DataFrame:
     """Bytes kept by each text: (doc_id, n_bytes, n_removed, n_spans, kept binary, carried struct of the columns `carry`).
 
     A byte goes if a string of `length` bytes over it also starts earlier in the input: in a text with a
     smaller doc_id, or earlier in the same text. Null text is empty; a null doc_id is smaller than any other and
     stays null. Rows that repeat a doc_id are the same place in that order: at equal starts neither is earlier.
     With `characters`, `kept` has no character in part: what a cut leaves of one goes too, uncounted.
-    Other columns are ignored.
+    Other columns are ignored. `leaf`: bytes of segments that are sorted at once; results do not depend on it.
     """
     if length < GRAM:
         raise ValueError(f"length must be at least {GRAM}")
@@ -258,7 +338,7 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, carry: tuple = (), c
     with_spans = exchange.texts_with(texts, candidates(texts, length), "inner").select("doc", "chk", "text", "parts")
     marks = (
         with_spans.mapInArrow(send_segments(length, n), exchange.SCHEMA)
-        .groupBy("bucket").applyInArrow(lambda table: shard_marks(table, length), exchange.SPANS)
+        .groupBy("bucket").applyInArrow(shard_marks(length, leaf), exchange.SPANS)
         .groupBy("doc", "chk").agg(F.collect_list("spans").alias("parts"))
     )
     whole = exchange.keyed(docs, carry)

@@ -44,34 +44,59 @@ def test_windows(spark):
     assert key(got) == key((i, *x) for (i, _), x in zip(texts, windows.brute_force([t for _, t in texts]), strict=True))
 
 
-def test_suffixes(spark):
+@pytest.mark.parametrize("leaf", [suffixes.LEAF, 3000])
+def test_suffixes(spark, leaf):
     docs = awkward(spark)
-    got = [tuple(r) for r in suffixes.digest(suffixes.dedup_substrings(docs)).collect()]
+    got = [tuple(r) for r in suffixes.digest(suffixes.dedup_substrings(docs, leaf=leaf)).collect()]
     texts = texts_of(docs)
     assert key(got) == key((i, *x) for (i, _), x in zip(texts, suffixes.brute_force(texts), strict=True))
     carried = suffixes.dedup_substrings(docs, carry=("text", "n", "chk")).select("carried.n", "carried.chk")
     assert sorted(r.n for r in carried.collect()) == list(range(len(texts)))
 
 
-def test_hot_shards_are_dealt(monkeypatch):
+def hot_shard(n):
+    """Segments round one passage, as a hot anchor gives them: (runs, bytes of each), places of one text at most once."""
     rng = random.Random(4)
-    passage, ends = bytes(rng.choices(range(97, 123), k=70)), [bytes(rng.choices(range(97, 123), k=80)) for _ in range(40)]
-    segments = [passage + (rng.choice(ends) if i % 2 else bytes(rng.choices(range(97, 123), k=80)))[: rng.randint(40, 80)] for i in range(400)] + [b"ab" * 90]
-    runs = np.zeros(len(segments), suffixes.exchange.RUN)
-    runs["doc"], runs["start"] = [rng.randrange(300) for _ in segments], [200 * i for i in range(len(segments))]
-    sizes = np.array(list(map(len, segments)))
-    runs["count"], first, data = sizes - 99, np.cumsum(sizes) - sizes, np.frombuffer(b"".join(segments), np.uint8)
-    marks = lambda find: sorted(tuple(m) for part in find(data, first, sizes, runs, 100) for m in part.tolist())
-    wanted = marks(suffixes.repeats)
-    for whole, dealt in ((1000, 500), (4096, 1 << 19)):
-        monkeypatch.setattr(suffixes, "WHOLE", whole)
-        monkeypatch.setattr(suffixes, "DEALT", dealt)
-        assert marks(suffixes.dealt_repeats) == wanted and len(wanted) > 1000
-    # beyond WHOLE nothing is sorted at once
-    monkeypatch.setattr(suffixes, "repeats", None)
-    payload = np.int32(len(runs)).tobytes() + runs.tobytes() + data.tobytes()
-    row = suffixes.exchange.rows(bucket=np.array([0], np.int32), payload=suffixes.pa.array([payload], suffixes.pa.binary()))
-    assert suffixes.shard_marks(suffixes.pa.Table.from_batches([row]), 100).num_rows > 100
+    letters = range(97, 123)
+    ends, passage = [bytes(rng.choices(letters, k=80)) for _ in range(40)], bytes(rng.choices(letters, k=70))
+    texts = [b"ab" * 150]
+    for i in range(n):
+        left, right = (rng.choice(ends) if rng.random() < 0.5 else bytes(rng.choices(letters, k=80)) for _ in range(2))
+        texts.append(left + passage + right if i % 7 else texts[rng.randrange(len(texts))])
+    data, offsets = suffixes.flat(suffixes.pa.array(texts, suffixes.pa.binary()))
+    start, count, own, _ = suffixes.anchored(data, offsets, 100)
+    runs = np.zeros(len(start), suffixes.exchange.RUN)
+    runs["doc"], runs["chk"], runs["start"], runs["count"] = own // 2, own, start - offsets[own], count
+    raw = data.tobytes()
+    return runs, [raw[a : a + c + 99] for a, c in zip(start.tolist(), count.tolist(), strict=True)]
+
+
+def test_hot_shards_are_dealt_to_leaves(monkeypatch):
+    runs, segments = hot_shard(300)
+    whole = suffixes.packed(runs, segments)
+    marked = lambda parts: {(m["doc"], m["chk"], m["start"] + k) for part in parts for m in part for k in range(m["count"])}
+    windows_of = [(r["doc"], r["chk"], r["start"] + k, s[k : k + 100]) for r, s in zip(runs, segments, strict=True) for k in range(r["count"])]
+    least = {}
+    for doc, _, start, window in windows_of:
+        least[window] = min(least.get(window, (doc, start)), (doc, start))
+    wanted = {(doc, chk, start) for doc, chk, start, window in windows_of if (doc, start) > least[window]}
+    assert len(wanted) > 5000
+    leaves = []
+    repeats = suffixes.repeats
+    monkeypatch.setattr(suffixes, "repeats", lambda data, *more: leaves.append(len(data)) or repeats(data, *more))
+    for leaf, payloads in ((1 << 22, [whole]), (20000, [whole]), (3000, [suffixes.packed(runs[i : i + 50], segments[i : i + 50]) for i in range(0, len(runs), 50)])):
+        leaves.clear()
+        assert marked(suffixes.settle(payloads, 100, leaf, 0, 100 - suffixes.GRAM)) == wanted
+        assert sum(leaves) > 0 and (len(leaves) == 1) == (leaf == 1 << 22)
+        assert max(leaves) <= leaf
+
+
+def test_texts_that_share_id_and_start(spark):
+    start = "q" + str(7 ** 40) + str(11 ** 110)
+    rows = [(20, start + " first"), (20, start + " second"), (None, start[:70]), (3, "lead " + str(11 ** 110)), (None, start[:140] + "a"), (None, start[:140] + "b")]
+    docs = awkward(spark, rows)
+    got = [tuple(r) for r in suffixes.digest(suffixes.dedup_substrings(docs)).collect()]
+    assert key(got) == key((i, *x) for (i, _), x in zip(rows, suffixes.brute_force(rows), strict=True))
 
 
 @pytest.mark.parametrize("limit", [0, 200, 1 << 28])
