@@ -79,14 +79,17 @@ def leaks(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFram
 
 SQL = r"""
 with items as (
-  select item_id, list_filter(string_split_regex(lower(text), '[ \t-\r]+'), lambda x: x <> '') as w from benchmark where item_id is not null),
+  select item_id, w, least(len(w), 5) as width
+  from (select item_id, list_filter(string_split_regex(lower(text), '[ \t-\r]+'), lambda x: x <> '') as w from benchmark where item_id is not null)
+  where len(w) > 0),
 item_shingles as (
-  select distinct item_id, array_to_string(w[i : i + 4], ' ') as shingle from (select item_id, w, unnest(range(1, len(w) - 3)) as i from items)),
+  select distinct item_id, array_to_string(w[i : i + width - 1], ' ') as shingle from (select *, unnest(range(1, len(w) - width + 2)) as i from items)),
 sized as (select item_id, shingle, count(*) over (partition by item_id) as n from item_shingles),
 docs as (
   select doc_id, list_filter(string_split_regex(lower(text), '[ \t-\r]+'), lambda x: x <> '') as w from documents),
 doc_shingles as (
-  select distinct doc_id, array_to_string(w[i : i + 4], ' ') as shingle from (select doc_id, w, unnest(range(1, len(w) - 3)) as i from docs))
+  select distinct doc_id, array_to_string(w[i : i + width - 1], ' ') as shingle
+  from (select doc_id, w, width, unnest(range(1, len(w) - width + 2)) as i from docs join (select distinct width from items) on len(w) >= width))
 select doc_id, item_id, n as n_shingles, count(*) as n_shared
 from doc_shingles join sized using (shingle)
 group by doc_id, item_id, n having 100 * count(*) >= 75 * n

@@ -348,6 +348,9 @@ def test_decontamination_of_short_items(spark):
         wanted += [(doc, item, 1, 1) for item, t in rows if item is not None and (w := tuple(t.lower().split())) and w in runs]
     got = [tuple(r) for r in decontaminate.leaks(docs, spark.createDataFrame(rows, "item_id long, text string")).collect()]
     assert key(got) == key(wanted) and {i for _, i, _, _ in wanted} == {1, 2, 3, 4, 5}
+    items = spark.createDataFrame(rows, "item_id long, text string")
+    twin, cols = oracle(spark, "op9_decontamination", {"documents": docs.select("doc_id", "text"), "benchmark": items})
+    assert twin == key({tuple(r) for r in decontaminate.leaks(docs, items).select(*cols).collect()})
 
 
 def test_chats(spark):
