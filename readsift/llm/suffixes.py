@@ -30,6 +30,7 @@ GRAM = 32  # bytes; a power of two keeps the rolling hash cheap
 TILE = 1 << 19  # bytes whose hashes are held at once
 PLACE = np.uint64(22)  # lower bits of a hash that give way to its place, so that a minimum tells both
 LEAF = 4 << 20  # bytes of segments that one sort takes
+SHARE = 1 << 19  # bytes of text per shard; their segments are at most some four times as many bytes, unless an anchor is hot
 FILES = 16  # files that each half of a larger shard is dealt to
 MARKS = 1 << 20  # marks that are joined to spans at once
 
@@ -222,13 +223,26 @@ def settle(payloads: Iterable[bytes], length: int, leaf: int, low: int, high: in
             yield runs[later]
             deal(runs[kept], [segments[i] for i in kept.tolist()], length, halves, folder)
         for half in halves:
-            for k in range(FILES):
-                path = os.path.join(folder, f"{half[0]}-{k}")
-                if os.path.exists(path):
-                    yield from settle(from_file(path), length, leaf, *half)
+            for paths in leaves([path for k in range(FILES) if os.path.exists(path := os.path.join(folder, f"{half[0]}-{k}"))], leaf):
+                yield from settle(chain.from_iterable(map(from_file, paths)), length, leaf, *half)
+                for path in paths:
                     os.unlink(path)
 
 
+def leaves(paths: list, leaf: int):
+    """The files in groups of at most `leaf` bytes; a larger file is a group of its own."""
+    group, size = [], 0
+    for path in paths:
+        own = os.path.getsize(path)
+        if group and size + own > leaf:
+            yield group
+            group, size = [], 0
+        group.append(path)
+        size += own
+    if group:
+        yield group
+
+
 def pieces(payloads: Iterable[bytes], length: int):
     """(runs, segments) of the payloads in pieces of about TILE bytes."""
     runs, segments, size = [], [], 0
@@ -316,6 +330,12 @@ def _later(pos, new, of, first, sizes, runs, length):
     return hit[(hit["doc"] != lead["doc"]) | (hit["start"] != lead["start"])]
 
 
+def shards(docs: DataFrame) -> int:
+    """As many shards as the bytes of all texts ask for, so that a shard does not grow with the input."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(exchange.buckets(docs), -(-size // SHARE))
+
+
 def whole_characters(text: np.ndarray, gone: np.ndarray) -> np.ndarray:
     """The bytes that go, with the rest of each UTF-8 character that loses some."""
     of = np.cumsum((text & 0xC0) != 0x80)
@@ -334,7 +354,7 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, carry: tuple = (), c
     if length < GRAM:
         raise ValueError(f"length must be at least {GRAM}")
     texts = exchange.keyed(docs)
-    n = exchange.buckets(docs)
+    n = shards(docs)
     with_spans = exchange.texts_with(texts, candidates(texts, length), "inner").select("doc", "chk", "text", "parts")
     marks = (
         with_spans.mapInArrow(send_segments(length, n), exchange.SCHEMA)
