@@ -59,3 +59,64 @@ def test_pairs_with_null_mates_stay_apart(spark):
 def test_no_letter_of_a_pair_goes_through_an_interpreted_lambda(spark):
     plan = merge.merge_pairs(spark.createDataFrame([], PAIR))._jdf.queryExecution().optimizedPlan().toString()
     assert "zip_with" not in plan and "ArrowEvalPython" in plan
+
+
+def words_of(text, size, stride=1, limit=None):
+    """(pos, word) of the seed words."""
+    for i in range(0, len(text) - size + 1, stride):
+        w = text[i : i + size]
+        if (limit is None or i <= limit) and set(w) <= set("ACGT") and len(set(w)) > 2:
+            yield i, w
+
+
+def odd_texts():
+    rnd = random.Random(9)
+    texts = ["".join(rnd.choices("ACGT" if n % 3 else "acgtACGTNé", k=rnd.randint(0, 150))) for n in range(60)]
+    return [*texts, "ACGTTGCA" * 12, "A" * 90 + "ACGT" * 30, "", "AC" * 50, *texts[:5]]
+
+
+def test_words_equal_plain_ones_in_parts_of_any_size(spark, monkeypatch):
+    import pyarrow as pa
+
+    from readsift.functions import batches
+
+    texts = [*[t.upper() for t in odd_texts()], None]
+    for size, stride, limit, part in ((16, 1, None, 1 << 18), (21, 8, None, 100), (17, 4, 50, 37), (31, 1, None, 64), (32, 1, None, 1000), (70, 3, None, 300), (3, 1, None, 7)):
+        monkeypatch.setattr(batches, "AT_ONCE", part)
+        got, hashes = [], {}
+        for row, pos, letters, at, forth, back in batches.seed_words(pa.array(texts), size, stride, limit):
+            number, forward = batches.either(forth, back)
+            words = batches.spelled(letters, at, size).to_pylist()
+            assert batches.from_numbers(forth, size).to_pylist() == words
+            got += zip(row.tolist(), pos.tolist(), words, forward.tolist())
+            hashes |= dict(zip(words, number.tolist()))
+        assert got == [(r, i, w, w <= turned(w)) for r, t in enumerate(texts) for i, w in words_of(t or "", size, stride, limit)]
+        lesser = {w: min(w, turned(w)) for w in hashes}
+        assert len(set(hashes.values())) == len(set(lesser.values())) and all(hashes.get(x, h) == h for (w, x), h in zip(lesser.items(), hashes.values()))
+
+
+def test_word_counts_of_subjects_in_one_row_and_in_several(spark, monkeypatch):
+    from readsift.operators import index
+
+    monkeypatch.setattr(index, "BUCKET", 500)
+    texts = odd_texts()
+    # some subjects come in several rows, and some have no name
+    rows = [(None if n % 11 == 0 else f"s{n if n % 4 else n % 3}", t) for n, t in enumerate(texts)] + [("s1", texts[1]), ("none", None)]
+    df = spark.createDataFrame(rows, "subject_id string, seq string").repartition(3)
+    for size in (3, 16, 40):
+        want = {}
+        for sid, t in rows:
+            for _, w in words_of((t or "").upper(), size):
+                want.setdefault(w, []).append(sid)
+        got = {r.word: (r.positions, r.subjects) for r in index.word_counts(df, size).collect()}
+        assert got == {w: (len(s), len(set(s))) for w, s in want.items()}
+
+
+def test_words_are_cut_and_counted_in_batches(spark):
+    from readsift.operators import index
+
+    df = spark.createDataFrame([("s", "ACGTTGCATTAG")], "subject_id string, seq string")
+    plan = index.strand_words(df, ["subject_id"], 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "translate" not in plan
+    plan = index.word_counts(df, 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapGroupsInArrow" in plan and "xxhash64" not in plan
