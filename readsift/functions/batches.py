@@ -3,12 +3,27 @@
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession, functions as F
+
+from readsift.session import ship
 
 TOGETHER = 1 << 20  # letters worked on at once; a longer string stands alone
 AT_ONCE = 1 << 18  # places whose words are cut at once; a longer string is cut in several parts
 LIMB = 31  # bases that one number of 62 bits holds
 
 
+def in_batches(run, columns: list, schema: str, once: bool = True):
+    """A function of columns that `run` evaluates in Arrow batches, on workers that can import this package.
+
+    once: no filter is pushed below it, which would evaluate it twice.
+    """
+    ship(SparkSession.active())  # before the function is made, which takes along what is shipped by then
+    # annotated here, as the function travels to workers by value
+    run.__annotations__ = {**dict.fromkeys(columns, pa.Array), "return": pa.Array}
+    made = F.arrow_udf(run, schema)
+    return made.asNondeterministic() if once else made
+
+
 def codes(strings: pa.Array) -> tuple:
     """(data, offsets): the code points of all strings, one behind the other, and where each begins; a null is empty."""
     strings = strings.cast(pa.large_string()).fill_null("")
@@ -147,7 +162,7 @@ def from_numbers(limbs: list, size: int) -> pa.Array:
 
 
 def either(forth: list, back: list) -> tuple:
-    """(hash, forward): one hash for a word and its reverse complement, and whether the word is the lesser, or equal, of the two."""
+    """(number, forward): one number for a word and its reverse complement, and whether the word is the lesser, or equal, of the two."""
     forward, tied = np.zeros(len(forth[0]), bool), np.ones(len(forth[0]), bool)
     for a, b in zip(forth, back):
         forward |= tied & (a < b)

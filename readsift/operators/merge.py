@@ -4,10 +4,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from readsift.functions.batches import codes, spread, stretches, unequal
+from readsift.functions.batches import codes, in_batches, spread, stretches, unequal
 from readsift.functions.sequence import revcomp
 from readsift.params import Merge
-from readsift.session import ship
 
 
 def _grams(data: np.ndarray, size: int) -> np.ndarray:
@@ -58,9 +57,7 @@ def _overlap_start(p: Merge):
         none = (out < 0) | seq1.is_null().to_numpy(zero_copy_only=False) | rc.is_null().to_numpy(zero_copy_only=False)
         return pa.array(out, pa.int32(), mask=none)
 
-    # annotated here, as the function travels to workers by value
-    run.__annotations__ = {"seq1": pa.Array, "rc": pa.Array, "return": pa.Array}
-    return F.arrow_udf(run, "int").asNondeterministic()
+    return in_batches(run, ["seq1", "rc"], "int")
 
 
 def merge_pairs(pairs: DataFrame, p: Merge = Merge()) -> DataFrame:
@@ -88,7 +85,6 @@ def merge_pairs(pairs: DataFrame, p: Merge = Merge()) -> DataFrame:
         F.col("read_id"), F.concat("seq1", tail(F.col("_rc"))), F.concat("qual1", tail(F.reverse("qual2"))), "merged",
     ))
     apart = mates if p.include_unmerged else F.filter(mates, lambda m: F.lit(False))
-    ship(pairs.sparkSession)
     met = pairs.withColumn("_rc", revcomp(F.upper("seq2"))).withColumn("_at", _overlap_start(p)(F.col("seq1"), F.col("_rc")))
     return (
         met.select("rec_no", F.explode(F.when(F.col("_at").isNotNull(), joined).otherwise(apart)).alias("r"))

@@ -1,86 +1,95 @@
-"""Trimming and filtering of reads. Every step works inside a row: no shuffle; adapters are cut in Arrow batches, the rest in the JVM."""
+"""Trimming and filtering of reads. Every step works inside a row: no shuffle; windows and adapters are cut in Arrow batches, the rest in the JVM."""
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from readsift.functions.binding import let, only
-from readsift.functions.sequence import count_below, count_letter, phred, span, transitions
+from readsift.functions.batches import AT_ONCE, codes, in_batches, stretches
+from readsift.functions.binding import only
+from readsift.functions.sequence import count_below, count_letter, transitions
 from readsift.operators.adapters import bases_left, cut_at
 from readsift.params import Quality
 
 
-def _windows(q: Column, size: int, keep) -> Column:
-    """Starts of the quality windows whose sum passes `keep`."""
-    total = lambda i: sum((F.get(q, i + j) for j in range(1, size)), F.get(q, i))
-    return F.filter(span(F.size(q) - (size - 1)), lambda i: keep(total(i)))
-
-
-def _part(read: Column, start: Column, length: Column) -> Column:
-    """The read as struct(seq, qual), cut to `length` bases from `start`."""
-    return F.struct(
-        F.substring(read["seq"], start + 1, length).alias("seq"),
-        F.substring(read["qual"], start + 1, length).alias("qual"),
-    )
-
-
-def _front(read: Column, p: Quality) -> Column:
-    w, least, n = p.cut_window_size, p.cut_mean_quality * p.cut_window_size, F.length(read["qual"])
-    good = let(phred(read["qual"]), lambda q: F.array_min(_windows(q, w, lambda s: s >= least)))
-    return let(F.when(n < w, 0).otherwise(F.coalesce(good, n)), lambda start: _part(read, start, n))
-
-
-def _tail(read: Column, p: Quality) -> Column:
-    w, least, n = p.cut_window_size, p.cut_mean_quality * p.cut_window_size, F.length(read["qual"])
-    good = let(phred(read["qual"]), lambda q: F.array_max(_windows(q, w, lambda s: s >= least)))
-    return let(F.when(n < w, n).otherwise(F.coalesce(good + w, F.lit(0))), lambda m: _part(read, F.lit(0), m))
-
-
-def _right(read: Column, p: Quality) -> Column:
-    w, least, n = p.cut_window_size, p.cut_mean_quality * p.cut_window_size, F.length(read["qual"])
-    bad = let(phred(read["qual"]), lambda q: F.array_min(_windows(q, w, lambda s: s < least)))
-    return let(F.coalesce(bad, n), lambda m: _part(read, F.lit(0), m))
-
-
-def _chain(steps: list) -> Column:
-    """The columns seq and qual passed through the steps, each result computed once."""
-
-    def run(read, rest):
-        return let(rest[0](read), lambda r: run(r, rest[1:])) if rest else read
-
-    return run(F.struct(F.col("seq"), F.col("qual")), steps)
+def _bounds(p: Quality, steps: list):
+    """A function of the qualities: struct(start, length) of the part of a read that the steps leave, in their order.
+
+    Windows are summed over whole batches. A window step leaves reads shorter than a window as they are.
+    """
+    w, least = p.cut_window_size, p.cut_mean_quality * p.cut_window_size
+
+    def part(data, offsets):
+        begin, n = offsets[:-1], np.diff(offsets)
+        sums = np.concatenate([[0], np.cumsum(data.astype(np.int64) - 33)])
+        good = np.concatenate([sums[w:] - sums[:-w] >= least, np.zeros(min(w - 1, len(data)), bool)]) if len(data) >= w else np.zeros(len(data), bool)
+        start, length, left = np.zeros(len(n), np.int64), n.copy(), n.copy()
+
+        def between(marks, low, high):
+            """The first and the last marked place of low to high (excluded) of all letters, -1 if there is none."""
+            at = np.append(np.flatnonzero(marks), -1)
+            first, end = np.searchsorted(at[:-1], low), np.searchsorted(at[:-1], high)
+            return np.where(first < end, at[first], -1), np.where(first < end, at[end - 1], -1)
+
+        for step in steps:
+            wide = left >= w
+            low = begin + start
+            high = np.maximum(low + left - w + 1, low)
+            if step == "front":
+                first, _ = between(good, low, high)
+                start = np.where(wide, np.where(first >= 0, first - begin, n), 0)
+                length, left = n, n - start
+            elif step == "tail":
+                _, last = between(good, low, high)
+                left = np.where(wide, np.where(last >= 0, last + w - low, 0), left)
+                length = left
+            else:
+                first, _ = between(~good, low, high)
+                left = np.where(first >= 0, first - low, left)
+                length = left
+        return start, length
+
+    def run(qual: pa.Array) -> pa.Array:
+        data, offsets = codes(qual)
+        out = np.zeros((2, len(qual)), np.int32)
+        for low, high in stretches(np.diff(offsets), AT_ONCE):
+            out[:, low:high] = part(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
+        # without qualities a tail cut leaves nothing, the others do not know
+        none = qual.is_null().to_numpy(zero_copy_only=False) & (steps != ["tail"])
+        return pa.StructArray.from_arrays([pa.array(c, mask=none) for c in out], names=["start", "length"])
+
+    return in_batches(run, ["qual"], "start int, length int")
 
 
 def _trim_steps(p: Quality) -> list:
-    steps = [lambda r: _front(r, p)] if p.cut_front else []
+    steps = ["front"] if p.cut_front else []
     if p.cut_right:
-        steps.append(lambda r: _right(r, p))
+        steps.append("right")
     elif p.cut_tail:
-        steps.append(lambda r: _tail(r, p))
+        steps.append("tail")
     return steps
 
 
-def _apply(reads: DataFrame, steps: list) -> DataFrame:
+def _apply(reads: DataFrame, p: Quality, steps: list) -> DataFrame:
     if not steps:
         return reads
     order = reads.columns
-    return (
-        reads.withColumn("_r", _chain(steps)).withColumns({"seq": F.col("_r.seq"), "qual": F.col("_r.qual")})
-        .select(order)
-    )
+    kept = lambda c: F.substring(c, F.col("_r.start") + 1, F.col("_r.length"))
+    return reads.withColumn("_r", _bounds(p, steps)(F.col("qual"))).withColumns({c: kept(c) for c in ("seq", "qual")}).select(order)
 
 
 def cut_front(reads: DataFrame, p: Quality = Quality()) -> DataFrame:
     """Drop the bases before the first window of good mean quality."""
-    return _apply(reads, [lambda r: _front(r, p)])
+    return _apply(reads, p, ["front"])
 
 
 def cut_tail(reads: DataFrame, p: Quality = Quality()) -> DataFrame:
     """Drop the bases behind the last window of good mean quality."""
-    return _apply(reads, [lambda r: _tail(r, p)])
+    return _apply(reads, p, ["tail"])
 
 
 def cut_right(reads: DataFrame, p: Quality = Quality()) -> DataFrame:
     """Drop the first window of bad mean quality and all bases right of it."""
-    return _apply(reads, [lambda r: _right(r, p)])
+    return _apply(reads, p, ["right"])
 
 
 def trim_adapters(reads: DataFrame, adapters: list, p: Quality = Quality()) -> DataFrame:
@@ -93,9 +102,18 @@ def trim_adapters(reads: DataFrame, adapters: list, p: Quality = Quality()) -> D
     return cut.select(reads.columns)
 
 
+def _phred_sum():
+    """A function of the qualities: their sum, 0 without qualities."""
+
+    def run(qual: pa.Array) -> pa.Array:
+        data, offsets = codes(qual)
+        return pa.array(np.diff(np.concatenate([[0], np.cumsum(data.astype(np.int64) - 33)])[offsets]))
+
+    return in_batches(run, ["qual"], "long", once=False)
+
+
 def mean_quality_ok(qual: Column, threshold: int) -> Column:
-    total = F.aggregate(phred(qual), F.lit(0), lambda a, x: a + x)
-    return total >= F.length(qual) * threshold
+    return _phred_sum()(qual) >= F.length(qual) * threshold
 
 
 def long_enough(seq: Column, min_len: int) -> Column:
@@ -129,7 +147,7 @@ def filter_unqualified(reads: DataFrame, p: Quality = Quality()) -> DataFrame:
 
 def trim(reads: DataFrame, p: Quality = Quality(), adapters: list = ()) -> DataFrame:
     """The cuts that are switched on, then the adapters. A right cut stands in for a tail cut."""
-    return trim_adapters(_apply(reads, _trim_steps(p)), list(adapters), p)
+    return trim_adapters(_apply(reads, p, _trim_steps(p)), list(adapters), p)
 
 
 def fail_reason(seq: Column, qual: Column, p: Quality = Quality()) -> Column:
@@ -143,12 +161,6 @@ def fail_reason(seq: Column, qual: Column, p: Quality = Quality()) -> Column:
 
 def quality_control(reads: DataFrame, p: Quality = Quality(), adapters: list = ()) -> DataFrame:
     """Trimmed reads that pass every filter."""
-    if not adapters and _trim_steps(p):
-        passed = only(_chain(_trim_steps(p)), lambda r: fail_reason(r["seq"], r["qual"], p).isNull())
-        return (
-            reads.withColumn("_r", passed).withColumns({"seq": F.col("_r.seq"), "qual": F.col("_r.qual")})
-            .select(reads.columns)
-        )
     return trim(reads, p, adapters).where(fail_reason(F.col("seq"), F.col("qual"), p).isNull())
 
 
