@@ -15,7 +15,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from readsift.functions.alignment import equal_positions
-from readsift.functions.binding import only
 from readsift.functions.sequence import is_seed_word
 from readsift.operators.index import word_places
 from readsift.operators.skew import Load, load, salted_join
@@ -82,12 +81,8 @@ def edges(pairs: DataFrame, sequences: DataFrame, leaders: DataFrame, p: Cluster
         pairs.join(lead, "lead").join(member, "ord")
         .withColumn("overlap", F.least(na - sa, nb - sb))
         .where(F.col("overlap") * 100 >= F.least(na, nb) * p.min_overlap_pct)
-        .withColumn("equal", only(
-            equal_positions(
-                F.substring("_a", sa + 1, F.col("overlap")), F.substring("_b", sb + 1, F.col("overlap")),
-            ),
-            lambda e: e * 1000 >= F.col("overlap") * per_mille,
-        ))
+        .withColumn("equal", equal_positions(F.substring("_a", sa + 1, F.col("overlap")), F.substring("_b", sb + 1, F.col("overlap"))))
+        .where(F.col("equal") * 1000 >= F.col("overlap") * per_mille)
         .select("ord", "lead", "diag", "overlap", "equal")
     )
 

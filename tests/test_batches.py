@@ -120,3 +120,101 @@ def test_words_are_cut_and_counted_in_batches(spark):
     assert "MapInArrow" in plan and "translate" not in plan
     plan = index.word_counts(df, 5)._jdf.queryExecution().optimizedPlan().toString()
     assert "FlatMapGroupsInArrow" in plan and "xxhash64" not in plan
+
+
+def best_of(a, b, match, mismatch):
+    """The highest score; the earliest end of it, then the latest start."""
+    same = [i < min(len(a), len(b)) and a[i] == b[i] for i in range(max(len(a), len(b)))]
+    found = (0, 0, 0, 0)
+    for end in range(1, len(same) + 1):
+        for start in range(end):
+            n = sum(same[start:end])
+            score = n * match - (end - start - n) * mismatch
+            if score > found[0] or (score == found[0] > 0 and found[1] + found[2] == end and start > found[1]):
+                found = (score, start, end - start, n)
+    return found
+
+
+def test_segments_and_equal_positions_equal_plain_ones(spark):
+    from pyspark.sql import functions as F
+
+    from readsift.functions.alignment import best_match_segment, equal_positions, top_match_score
+
+    rnd = random.Random(3)
+    rows = [("", ""), (None, "ACGT"), ("ACGT", None), (None, None), ("ACGT", "ACGTA"), ("AAAA", "CCCC"), ("é€A𝄞", "é€C𝄞")]
+    for n in range(200):
+        a = "".join(rnd.choices("ACGT", k=rnd.randint(1, 40)))
+        b = "".join(x if rnd.random() < 0.75 else rnd.choice("ACGT") for x in a)
+        rows.append((a, b if n % 9 else b[: n % 7]))
+    df = spark.createDataFrame([(n, a, b) for n, (a, b) in enumerate(rows)], "n int, a string, b string")
+    made = df.select("n", equal_positions(F.col("a"), F.col("b")).alias("e"), best_match_segment(F.col("a"), F.col("b"), 1, 2).alias("s"), top_match_score(F.col("a"), F.col("b"), 1, 2).alias("t"))
+    for r in made.collect():
+        a, b = (x or "" for x in rows[r.n])
+        assert (r.e, r.t, tuple(r.s)) == (sum(x == y for x, y in zip(a, b)), r.s.score, best_of(a, b, 1, 2)), (a, b)
+
+
+def test_laid_sequences_go_through_no_interpreted_lambda(spark):
+    from pyspark.sql import functions as F
+
+    from readsift.operators import host, index, search
+
+    reads = spark.createDataFrame([("r", "ACGTTGCATTAGCCATGACCATTGACGATCAGG")], "read_id string, seq string")
+    built = index.build_index(reads.select(F.col("read_id").alias("subject_id"), "seq"), 17)
+    for found in (host.host_alignments(reads, built, long_queries=False), search.search_nucleotide(reads, built, 1e-3, 10, long_queries=False)):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "zip_with" not in plan and "ArrowEvalPython" in plan
+
+
+def plain_cuts(seq, qual, w, least, steps):
+    for step in steps:
+        if qual is None:
+            seq = "" if step == "tail" and seq is not None else None
+            continue
+        n = len(qual)
+        good = [sum(map(ord, qual[i : i + w])) - 33 * w >= least for i in range(n - w + 1)]
+        if step == "front":
+            start = 0 if n < w else good.index(True) if True in good else n
+            seq, qual = seq[start : start + n], qual[start:]
+            continue
+        m = n
+        if step == "tail" and n >= w:
+            m = n - good[::-1].index(True) if True in good else 0
+        if step == "right" and False in good:
+            m = good.index(False)
+        seq, qual = seq[:m], qual[:m]
+    return seq, qual
+
+
+def test_quality_cuts_equal_plain_ones(spark):
+    from readsift.operators import quality
+    from readsift.params import Quality
+
+    rnd = random.Random(4)
+    rows = [("ACGT", None), ("", ""), ("ACGTACGT", "IIII"), ("ACG", "!!!"), ("ACGTA", "IIé!!")]
+    for n in range(200):
+        k = rnd.randint(0, 40)
+        qual = "".join(rnd.choices("!'+5:?I" if n % 4 else "!I", k=k))
+        rows.append(("".join(rnd.choices("ACGT", k=k + n % 3 // 2 * 5)), qual))
+    df = spark.createDataFrame([(n, str(n), s, q) for n, (s, q) in enumerate(rows)], "n int, read_id string, seq string, qual string")
+    for w in (1, 4, 7):
+        p = lambda **k: Quality(cut_window_size=w, **k)
+        cases = [
+            (quality.cut_front(df, p()), ["front"]), (quality.cut_tail(df, p()), ["tail"]), (quality.cut_right(df, p()), ["right"]),
+            (quality.trim(df, p(cut_front=True, cut_tail=True)), ["front", "tail"]), (quality.trim(df, p(cut_front=True, cut_right=True)), ["front", "right"]),
+        ]
+        for cut, steps in cases:
+            for r in cut.collect():
+                assert (r.seq, r.qual) == plain_cuts(*rows[r.n], w, p().cut_mean_quality * w, steps), (rows[r.n], w, steps)
+    kept = {r.n for r in quality.filter_mean_quality(df).collect()}
+    assert kept == {n for n, (_, q) in enumerate(rows) if q is not None and sum(map(ord, q)) - 33 * len(q) >= 20 * len(q)}
+
+
+def test_qualities_go_through_no_interpreted_lambda(spark):
+    from readsift.operators import quality
+    from readsift.params import Quality
+
+    df = spark.createDataFrame([("r", "ACGT", "IIII")], "read_id string, seq string, qual string")
+    p = Quality(cut_front=True, cut_tail=True)
+    for made in (quality.quality_control(df, p, ["ACGTACGT"]), quality.quality_control(df, p), quality.quality_stats(df, p)):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert "transform(" not in plan and "aggregate(" not in plan.replace("Aggregate", "") and "ArrowEvalPython" in plan
