@@ -1,7 +1,10 @@
-"""Column functions on nucleotide and protein strings. All run in the JVM."""
+"""Column functions on nucleotide and protein strings. Counts over letters run in Arrow batches, the rest in the JVM."""
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
+from readsift.functions.batches import codes, in_batches
 from readsift.functions.binding import let
 
 # Letters and their complements.
@@ -32,8 +35,15 @@ def span(n: Column) -> Column:
 
 
 def transitions(seq: Column) -> Column:
-    """Number of positions whose next letter differs: runs minus one, without a per-base loop."""
-    return F.greatest(F.length(F.regexp_replace(seq, r"(.)\1+", "$1")) - 1, F.lit(0))
+    """Number of positions whose next letter differs: runs minus one."""
+
+    def run(seq: pa.Array) -> pa.Array:
+        data, offsets = codes(seq)
+        seen = np.concatenate([[0], np.cumsum(data[1:] != data[:-1]), [0]])  # pairs of neighbours up to each letter
+        first = np.minimum(offsets[:-1], max(len(data) - 1, 0))
+        return pa.array(np.where(np.diff(offsets) > 0, seen[np.maximum(offsets[1:] - 1, 0)] - seen[first], 0).astype(np.int32))
+
+    return in_batches(run, ["seq"], "int", once=False)(seq)
 
 
 def count_letter(seq: Column, letter: str) -> Column:
@@ -42,7 +52,13 @@ def count_letter(seq: Column, letter: str) -> Column:
 
 def count_below(qual: Column, threshold: int) -> Column:
     """Number of qualities below a Phred threshold (at least 1)."""
-    return F.length(F.regexp_replace(qual, f"[^\\x21-\\x{32 + threshold:02x}]", ""))
+
+    def run(qual: pa.Array) -> pa.Array:
+        data, offsets = codes(qual)
+        seen = np.concatenate([[0], np.cumsum((data >= 33) & (data <= 32 + threshold))])
+        return pa.array(np.diff(seen[offsets]).astype(np.int32), mask=qual.is_null().to_numpy(zero_copy_only=False))
+
+    return in_batches(run, ["qual"], "int", once=False)(qual)
 
 
 def is_seed_word(word: Column) -> Column:

@@ -218,3 +218,19 @@ def test_qualities_go_through_no_interpreted_lambda(spark):
     for made in (quality.quality_control(df, p, ["ACGTACGT"]), quality.quality_control(df, p), quality.quality_stats(df, p)):
         plan = made._jdf.queryExecution().optimizedPlan().toString()
         assert "transform(" not in plan and "aggregate(" not in plan.replace("Aggregate", "") and "ArrowEvalPython" in plan
+
+
+def test_counts_over_letters_equal_plain_ones(spark):
+    from pyspark.sql import functions as F
+
+    from readsift.functions.sequence import count_below, transitions
+
+    rnd = random.Random(6)
+    rows = ["", None, "A", "AA", "é€€", ""] + ["".join(rnd.choices("!'+5:?Ié ", k=rnd.randint(0, 9))) for _ in range(200)] + ["", None]
+    df = spark.createDataFrame(list(enumerate(rows)), "n int, s string")
+    counts = df.select("n", transitions(F.col("s")).alias("t"), count_below(F.col("s"), 15).alias("q15"), count_below(F.col("s"), 30).alias("q30"))
+    assert "regexp_replace" not in counts._jdf.queryExecution().optimizedPlan().toString()
+    for r in counts.collect():
+        s = rows[r.n] or ""
+        below = [None if rows[r.n] is None else sum(33 <= ord(c) < 33 + k for c in s) for k in (15, 30)]
+        assert (r.t, r.q15, r.q30) == (sum(x != y for x, y in zip(s, s[1:])), *below), s
