@@ -30,7 +30,7 @@ GRAM = 32  # bytes; a power of two keeps the rolling hash cheap
 TILE = 1 << 19  # bytes whose hashes are held at once
 PLACE = np.uint64(22)  # lower bits of a hash that give way to its place, so that a minimum tells both
 LEAF = 4 << 20  # bytes of segments that one sort takes
-SHARE = 1 << 19  # bytes of text per shard; their segments are at most some four times as many bytes, unless an anchor is hot
+SHARE = 3 << 19  # bytes of text per shard, whose segments are some 1.2 times as many; a sort has fixed costs that smaller shards pay more often
 FILES = 16  # files that each half of a larger shard is dealt to
 MARKS = 1 << 20  # marks that are joined to spans at once
 
