@@ -26,9 +26,9 @@ from readsift.llm.vectors import release, slices
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 NBEST = 4
-KNOWN = 400_000  # words remembered, in two generations
+KNOWN = 150_000  # words remembered, in two generations of half as many each
 BYTE_SCORE = -40_000.0  # below every piece of the vocabulary, so that bytes are a last resort
-TOGETHER = 3 << 20  # bytes of text whose new words are searched at once
+TOGETHER = 3 << 18  # bytes of text whose new words are searched at once
 LETTERS = 160
 LONG = 40  # letters of words that are searched together
 NONE = float("-inf")
@@ -139,7 +139,7 @@ class Model:
         self.letter = {c: i for i, c in enumerate(letters)}
         states = sorted(p for p in self.trie if all(c in self.letter for c in p))
         number = {p: i + 1 for i, p in enumerate(states)}  # 0: the empty beginning
-        self.next = np.zeros((len(states) + 1, LETTERS), np.int32)
+        self.next = np.zeros((len(states) + 1, LETTERS), np.min_scalar_type(len(states)))
         self.score = np.full(len(states) + 1, NONE)
         self.piece = np.zeros(len(states) + 1, np.uint32)
         for p, i in number.items():
@@ -159,9 +159,9 @@ class Model:
 
         Words asked for again outlive the generation they were found in; the others are forgotten with it.
         """
-        if len(self.known) > KNOWN // 2:
-            self.before, self.known = self.known, Words(self.viterbi)
         missing = words - self.known.keys()
+        if self.known and len(self.known) + len(missing) > KNOWN // 2:
+            self.before, self.known, missing = self.known, Words(self.viterbi), words
         again = missing & self.before.keys()
         self.known.update((w, self.before[w]) for w in again)
         new = missing - again

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from readsift.llm import exchange, induced
-from readsift.llm.vectors import cover, flat, read_spans, rolling, slices, slide_min, spans_by_text
+from readsift.llm.vectors import cover, flat, read_spans, releasing, rolling, slices, slide_min, spans_by_text
 
 LENGTH = 100
 GRAM = 32  # bytes; a power of two keeps the rolling hash cheap
@@ -91,7 +91,7 @@ def candidates(texts: DataFrame, length: int) -> DataFrame:
                 runs["count"] = count
                 yield from exchange.sent(runs, exchange.bucket_of(smallest, n), smallest, False, n)
 
-    return exchange.spans_of(texts.mapInArrow(send, exchange.SCHEMA), False)
+    return exchange.spans_of(texts.mapInArrow(releasing(send), exchange.SCHEMA), False)
 
 
 def fold(runs: np.ndarray, segment) -> tuple[np.ndarray, np.ndarray]:
@@ -357,7 +357,7 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, carry: tuple = (), c
     n = shards(docs)
     with_spans = exchange.texts_with(texts, candidates(texts, length), "inner").select("doc", "chk", "text", "parts")
     marks = (
-        with_spans.mapInArrow(send_segments(length, n), exchange.SCHEMA)
+        with_spans.mapInArrow(releasing(send_segments(length, n)), exchange.SCHEMA)
         .groupBy("bucket").applyInArrow(shard_marks(length, leaf), exchange.SPANS)
         .groupBy("doc", "chk").agg(F.collect_list("spans").alias("parts"))
     )
@@ -382,7 +382,7 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, carry: tuple = (), c
             )
 
     carried = joined.schema["carried"].dataType.simpleString()
-    kept = joined.mapInArrow(cut, f"doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, carried {carried}")
+    kept = joined.mapInArrow(releasing(cut), f"doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, carried {carried}")
     return kept.withColumn("doc_id", F.nullif("doc_id", F.lit(exchange.NO_ID)))
 
 

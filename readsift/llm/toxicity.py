@@ -14,6 +14,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from readsift.llm.storage import stored
+from readsift.llm.vectors import releasing
 
 SAMPLE = 20_000  # labelled documents that training reads at most; one is in by the order of a hash of its id
 TURNS = ["trees", "calibration", "lexicon", "trees", "lexicon", "trees", "lexicon", "calibration", "trees", "lexicon"]  # parts that the distinct texts of a label serve in turn
@@ -100,7 +101,7 @@ def with_features(texts: DataFrame, lexicon: dict) -> DataFrame:
             rows = [features(t or "", words) for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), pa.array(rows, pa.list_(pa.float64()))], names=[*keep, "features"])
 
-    return texts.mapInArrow(run, schema)
+    return texts.mapInArrow(releasing(run), schema)
 
 
 def held_out(doc_id):
