@@ -151,6 +151,18 @@ class Merges:
         return word[symbols >= 0], symbols[symbols >= 0]
 
 
+class Numbers(dict):
+    """Words numbered in the order in which they are first asked for; `new`: those numbered since it was emptied."""
+
+    def __init__(self):
+        self.new = []
+
+    def __missing__(self, word) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
 class Remembered:
     """Ids of words in one growing array; words seen for the first time are encoded together, by encode(words) -> (ids, sizes)."""
 
@@ -159,25 +171,24 @@ class Remembered:
         self.forget()
 
     def forget(self) -> None:
-        self.slot, self.used = {}, 0
+        self.slot, self.used = Numbers(), 0
         self.ids, self.start, self.size = np.zeros(1 << 16, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def gather(self, lists: list) -> tuple:
         """Ids of lists of words, one list after the other, and how many ids each list has."""
         if len(self.slot) > self.most:
             self.forget()
-        new = [*set().union(*lists).difference(self.slot)]
-        if new:
-            ids, sizes = self.encode(new)
+        counts = np.array(list(map(len, lists)), np.int64)
+        slots = np.fromiter(map(self.slot.__getitem__, chain.from_iterable(lists)), np.int64, int(counts.sum()))
+        if self.slot.new:
+            ids, sizes = self.encode(self.slot.new)
+            self.slot.new = []
             while self.used + len(ids) > len(self.ids):
                 self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
             self.ids[self.used : self.used + len(ids)] = ids
             self.start = np.concatenate((self.start, self.used + np.cumsum(sizes) - sizes))
             self.size = np.concatenate((self.size, sizes))
-            self.slot.update(zip(new, range(len(self.slot), len(self.slot) + len(new)), strict=True))
             self.used += len(ids)
-        counts = np.array(list(map(len, lists)), np.int64)
-        slots = np.fromiter(map(self.slot.__getitem__, chain.from_iterable(lists)), np.int64, int(counts.sum()))
         sizes = self.size[slots]
         ends = np.concatenate(([0], np.cumsum(sizes)))[np.concatenate(([0], np.cumsum(counts)))]
         return self.ids[np.repeat(self.start[slots], sizes) + ramps(sizes)], np.diff(ends)

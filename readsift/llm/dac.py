@@ -12,14 +12,19 @@ Token i is read from chunks[0][i]; while its bit is set, its place in the next l
 directory entry and one popcount of at most 64 bytes. No block is decoded for it.
 """
 
-import struct
+import os
+import re
 import zlib
+from itertools import chain
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from tokenizers import Tokenizer
 
-from readsift.llm.pretokens import Pretokens
+from readsift.llm.bytepairs import Codec, Remembered
+from readsift.llm.vectors import releasing
 from readsift.session import scratch_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -27,6 +32,10 @@ END = 0
 RANK_BITS = 512
 BLOCK_TOKENS = 1 << 20
 BLOCKS = "part int, block int, n_tokens long, nulls long, docs binary, ends binary, chunks array<binary>, bitmaps array<binary>, ranks array<binary>"
+KNOWN = 900_000  # units, and pre-tokens, that one worker remembers before it starts again
+LETTERS = 16 << 20  # and their letters
+RUN = re.compile(r" \s|\s ")  # a run of white space with a space in it
+BREAK = re.compile(r"(?<=\S) (?=\S)")  # no pre-token and no special string crosses from before such a space into it
 _made = {}
 
 
@@ -73,17 +82,69 @@ def decode(chunks: list, bitmaps: list) -> np.ndarray:
 
 def packed(ids: list) -> bytes:
     """Little-endian 32-bit ids."""
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return np.array(ids, "<u4").tobytes()
 
 
 class Encoder:
+    """Ids by the library, through a memory of the units between spaces and one of their pre-tokens."""
+
     def __init__(self, vocabulary: str):
-        self.tokens = Pretokens(vocabulary, packed, b"".join)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.library = Tokenizer.from_file(public_tokenizers.path(vocabulary))
+        self.codec = Codec(vocabulary)  # for the splitting; refuses vocabularies whose units are not apart
+        self.units, self.words = Remembered(self.unit_ids, KNOWN), Remembered(self.word_ids, KNOWN)
+        self.letters = 0
+
+    def word_ids(self, words: list) -> tuple:
+        """Ids of strings by the library, one after the other, and how many each has."""
+        own = []
+        for i in range(0, len(words), 20_000):
+            own += [e.ids for e in self.library.encode_batch_fast(words[i : i + 20_000], add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(own), np.int32), np.fromiter(map(len, own), np.int64, len(own))
+
+    def unit_ids(self, units: list) -> tuple:
+        """The same for units: (beginning of a text,), or what follows a space.
+
+        Units between white space are cut into pre-tokens together, as one text; the others go through the library whole.
+        """
+        plain = [i for i, unit in enumerate(units) if unit and not isinstance(unit, tuple) and unit.strip() == unit]
+        joined = " ".join(["", *map(units.__getitem__, plain)])
+        if self.codec.cut and self.codec.cut.search(joined):
+            plain = [i for i in plain if not self.codec.cut.search(units[i])]
+            joined = " ".join(["", *map(units.__getitem__, plain)])
+        pieces = self.codec.split(joined)
+        ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+        stops = np.cumsum(np.fromiter(map(len, map(units.__getitem__, plain)), np.int64, len(plain)) + 1)
+        last = np.searchsorted(ends, stops)
+        if (ends[last] != stops).any():
+            raise ValueError("a pre-token crosses from one unit into the next")
+        lists, begin = [None] * len(units), 0
+        for i, end in zip(plain, (last + 1).tolist(), strict=True):
+            lists[i], begin = pieces[begin:end], end
+        self.letters += len(joined)
+        for i, own in enumerate(lists):
+            if own is None:
+                lists[i] = units[i] if isinstance(units[i], tuple) else (f" {units[i]}",)
+                self.letters += len(lists[i][0])
+        return self.words.gather(lists)
 
     def ids(self, texts: list) -> list:
         """The ids of each text and the end id, packed."""
-        end = packed([END])
-        return [code + end for code in self.tokens.encode(texts)]
+        ids, sizes = self.encode(texts)
+        return [packed(own) for own in np.split(ids, np.cumsum(sizes)[:-1])] if texts else []
+
+    def encode(self, texts: list) -> tuple:
+        """The ids of all texts one after the other, each text with the end id, and how many each has."""
+        if self.letters > LETTERS:
+            self.units.forget()
+            self.words.forget()
+            self.letters = 0
+        lists = []
+        for text in texts:
+            first, *rest = BREAK.split(text) if RUN.search(text) else text.split(" ")
+            lists.append([(first,), *rest])
+        ids, sizes = self.units.gather(lists)
+        return np.insert(ids, np.cumsum(sizes), END), sizes + 1
 
 
 def encoder(vocabulary: str) -> Encoder:
@@ -105,28 +166,29 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str = VOCABULARY) -> No
         from pyspark import TaskContext
 
         part, number = TaskContext.get().partitionId(), 0
-        encode = encoder(vocabulary)
+        own = encoder(vocabulary)
         ids, held, size = [], [], 0
         for batch in batches:
-            texts, own = batch["text"].to_pylist(), batch["doc_id"].to_pylist()
+            texts, keys = batch["text"].to_pylist(), batch["doc_id"].to_pylist()
             for i in range(0, len(texts), 500):
-                for doc, code in zip(own[i : i + 500], encode.ids(texts[i : i + 500]), strict=True):
+                tokens, sizes = own.encode(texts[i : i + 500])
+                for doc, code in zip(keys[i : i + 500], np.split(tokens, np.cumsum(sizes)[:-1]), strict=True):
                     ids.append(doc)
                     held.append(code)
-                    size += len(code) // 4
+                    size += len(code)
                     if size >= BLOCK_TOKENS:
                         yield block(part, number, ids, held)
                         number, ids, held, size = number + 1, [], [], 0
         if ids:
             yield block(part, number, ids, held)
 
-    ordered.mapInArrow(run, BLOCKS).write.option("compression", "zstd").parquet(path)
+    ordered.mapInArrow(releasing(run), BLOCKS).write.option("compression", "zstd").parquet(path)
 
 
 def block(part: int, number: int, ids: list, held: list) -> pa.RecordBatch:
-    tokens = np.frombuffer(b"".join(held), "<u4")
+    tokens = np.concatenate(held)
     levels = encode_levels(tokens)
-    ends = np.cumsum([len(h) // 4 for h in held], dtype=np.int64)
+    ends = np.cumsum([len(h) for h in held], dtype=np.int64)
     nulls = sum(i is None for i in ids)
     values = [part, number, len(tokens), nulls, np.array([i or 0 for i in ids], np.int64).tobytes(), ends.tobytes(), *levels]
     types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), *[pa.list_(pa.binary())] * 3]
@@ -143,7 +205,8 @@ def blocks(spark: SparkSession, path: str) -> DataFrame:
     # one row per written partition, not per document
     parts = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))
     starts = sizes.withColumn("inside", before).join(parts, "part").select("part", "block", (F.col("base") + F.col("inside")).alias("start"))
-    return stored.join(starts, ["part", "block"])
+    # three numbers per block of a million tokens, so that the blocks need no shuffle
+    return stored.join(F.broadcast(starts), ["part", "block"])
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
