@@ -174,12 +174,11 @@ class Remembered:
         self.slot, self.used = Numbers(), 0
         self.ids, self.start, self.size = np.zeros(1 << 16, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def gather(self, lists: list) -> tuple:
-        """Ids of lists of words, one list after the other, and how many ids each list has."""
+    def slots(self, words, n: int) -> np.ndarray:
+        """The places of n words in `start` and `size`."""
         if len(self.slot) > self.most:
             self.forget()
-        counts = np.array(list(map(len, lists)), np.int64)
-        slots = np.fromiter(map(self.slot.__getitem__, chain.from_iterable(lists)), np.int64, int(counts.sum()))
+        slots = np.fromiter(map(self.slot.__getitem__, words), np.int64, n)
         if self.slot.new:
             ids, sizes = self.encode(self.slot.new)
             self.slot.new = []
@@ -189,10 +188,19 @@ class Remembered:
             self.start = np.concatenate((self.start, self.used + np.cumsum(sizes) - sizes))
             self.size = np.concatenate((self.size, sizes))
             self.used += len(ids)
+        return slots
+
+    def at(self, slots: np.ndarray, counts: np.ndarray) -> tuple:
+        """Ids of the words at these places, and how many each run of `counts` words has."""
         sizes = self.size[slots]
         ends = np.concatenate(([0], np.cumsum(sizes)))[np.concatenate(([0], np.cumsum(counts)))]
         return self.ids[np.repeat(self.start[slots], sizes) + ramps(sizes)], np.diff(ends)
 
+    def gather(self, lists: list) -> tuple:
+        """Ids of lists of words, one list after the other, and how many ids each list has."""
+        counts = np.array(list(map(len, lists)), np.int64)
+        return self.at(self.slots(chain.from_iterable(lists), int(counts.sum())), counts)
+
 
 class Classes(dict):
     """For a character beyond ASCII, one of ASCII that the library's splitting treats alike; it is asked once per character."""

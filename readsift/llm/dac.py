@@ -20,11 +20,12 @@ from itertools import chain
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
 from readsift.llm.bytepairs import Codec, Remembered
-from readsift.llm.vectors import releasing
+from readsift.llm.vectors import flat, ramps, releasing, slices
 from readsift.session import scratch_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -32,10 +33,13 @@ END = 0
 RANK_BITS = 512
 BLOCK_TOKENS = 1 << 20
 BLOCKS = "part int, block int, n_tokens long, nulls long, docs binary, ends binary, chunks array<binary>, bitmaps array<binary>, ranks array<binary>"
-KNOWN = 900_000  # units, and pre-tokens, that one worker remembers before it starts again
+KNOWN = 1_300_000  # units that one worker remembers before it starts again
 LETTERS = 16 << 20  # and their letters
-RUN = re.compile(r" \s|\s ")  # a run of white space with a space in it
+SPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+RUN = f" [{SPACE}]|[{SPACE}] "  # a run of white space with a space in it
 BREAK = re.compile(r"(?<=\S) (?=\S)")  # no pre-token and no special string crosses from before such a space into it
+SLICE = 2 << 20  # bytes of text worked on together
+TOGETHER = 8_000  # units that go through the library at once
 _made = {}
 
 
@@ -86,64 +90,78 @@ def packed(ids: list) -> bytes:
 
 
 class Encoder:
-    """Ids by the library, through a memory of the units between spaces and one of their pre-tokens."""
+    """Ids by the library, through a memory of the units between spaces."""
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-        self.codec = Codec(vocabulary)  # for the splitting; refuses vocabularies whose units are not apart
-        self.units, self.words = Remembered(self.unit_ids, KNOWN), Remembered(self.word_ids, KNOWN)
+        codec = Codec(vocabulary)  # for the special strings and the bytes of each id; refuses vocabularies whose units are not apart
+        self.cut, self.width = codec.cut, np.array(list(map(len, codec.raw)), np.int64)
+        self.units = Remembered(self.unit_ids, KNOWN)
         self.letters = 0
 
-    def word_ids(self, words: list) -> tuple:
-        """Ids of strings by the library, one after the other, and how many each has."""
-        own = []
-        for i in range(0, len(words), 20_000):
-            own += [e.ids for e in self.library.encode_batch_fast(words[i : i + 20_000], add_special_tokens=False)]
-        return np.fromiter(chain.from_iterable(own), np.int32), np.fromiter(map(len, own), np.int64, len(own))
-
     def unit_ids(self, units: list) -> tuple:
-        """The same for units: (beginning of a text,), or what follows a space.
+        """Ids of units, (beginning of a text,) or what follows a space, by the library, one after the other, and how many each has.
 
-        Units between white space are cut into pre-tokens together, as one text; the others go through the library whole.
+        Units between white space are put together as one text, as the library costs less by text than by word; the bytes of the
+        ids tell which unit they belong to. The others go through the library one by one.
         """
         plain = [i for i, unit in enumerate(units) if unit and not isinstance(unit, tuple) and unit.strip() == unit]
-        joined = " ".join(["", *map(units.__getitem__, plain)])
-        if self.codec.cut and self.codec.cut.search(joined):
-            plain = [i for i in plain if not self.codec.cut.search(units[i])]
-            joined = " ".join(["", *map(units.__getitem__, plain)])
-        pieces = self.codec.split(joined)
-        ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
-        stops = np.cumsum(np.fromiter(map(len, map(units.__getitem__, plain)), np.int64, len(plain)) + 1)
-        last = np.searchsorted(ends, stops)
-        if (ends[last] != stops).any():
-            raise ValueError("a pre-token crosses from one unit into the next")
-        lists, begin = [None] * len(units), 0
-        for i, end in zip(plain, (last + 1).tolist(), strict=True):
-            lists[i], begin = pieces[begin:end], end
-        self.letters += len(joined)
-        for i, own in enumerate(lists):
-            if own is None:
-                lists[i] = units[i] if isinstance(units[i], tuple) else (f" {units[i]}",)
-                self.letters += len(lists[i][0])
-        return self.words.gather(lists)
+        if self.cut and self.cut.search(" ".join(map(units.__getitem__, plain))):
+            plain = [i for i in plain if not self.cut.search(units[i])]
+        alone = np.ones(len(units), bool)
+        alone[plain] = False
+        alone = np.flatnonzero(alone).tolist()
+        parts, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for i in range(0, len(plain), TOGETHER):
+            own = list(map(units.__getitem__, plain[i : i + TOGETHER]))
+            self.letters += sum(map(len, own))
+            ids = np.array(self.library.encode_batch_fast([" ".join(["", *own])], add_special_tokens=False)[0].ids, np.int32)
+            ends, stops = np.cumsum(self.width[ids]), np.cumsum(np.diff(flat(pa.array(own, pa.large_string()))[1]) + 1)
+            last = np.searchsorted(ends, stops)
+            if not len(ends) or ends[-1] != stops[-1] or (ends[last] != stops).any():
+                raise ValueError("a token crosses from one unit into the next")
+            parts.append(ids)
+            counts.append(np.diff(last, prepend=-1))
+        for i in range(0, len(alone), TOGETHER):
+            own = [unit[0] if isinstance(unit, tuple) else f" {unit}" for unit in map(units.__getitem__, alone[i : i + TOGETHER])]
+            self.letters += sum(map(len, own))
+            lists = [e.ids for e in self.library.encode_batch_fast(own, add_special_tokens=False)]
+            parts.append(np.fromiter(chain.from_iterable(lists), np.int32))
+            counts.append(np.fromiter(map(len, lists), np.int64, len(lists)))
+        ids, counts = np.concatenate(parts), np.concatenate(counts)
+        order = np.argsort(plain + alone)
+        sizes = counts[order]
+        return ids[np.repeat((np.cumsum(counts) - counts)[order], sizes) + ramps(sizes)], sizes
 
     def ids(self, texts: list) -> list:
         """The ids of each text and the end id, packed."""
         ids, sizes = self.encode(texts)
         return [packed(own) for own in np.split(ids, np.cumsum(sizes)[:-1])] if texts else []
 
-    def encode(self, texts: list) -> tuple:
-        """The ids of all texts one after the other, each text with the end id, and how many each has."""
+    def encode(self, texts) -> tuple:
+        """The ids of all texts (a list or an Arrow column) one after the other, each text with the end id, and how many each has.
+
+        Each distinct unit of the texts is looked up once.
+        """
         if self.letters > LETTERS:
             self.units.forget()
-            self.words.forget()
             self.letters = 0
-        lists = []
-        for text in texts:
-            first, *rest = BREAK.split(text) if RUN.search(text) else text.split(" ")
-            lists.append([(first,), *rest])
-        ids, sizes = self.units.gather(lists)
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        run = pc.match_substring_regex(texts, RUN)
+        lists = pc.split_pattern(texts.filter(pc.invert(run)), " ")
+        if pc.any(run).as_py():
+            kept = np.flatnonzero(run.to_numpy(zero_copy_only=False))
+            lists = pa.concat_arrays([lists, pa.array([BREAK.split(t) for t in texts.take(kept).to_pylist()], lists.type)])
+            lists = lists.take(np.argsort(np.append(np.delete(np.arange(len(texts)), kept), kept)))
+        units, counts = lists.flatten(), lists.value_lengths().to_numpy().astype(np.int64)
+        first = np.zeros(len(units), bool)
+        first[np.cumsum(counts) - counts] = True
+        later = units.filter(pa.array(~first)).dictionary_encode()
+        known = self.units.slots(chain(zip(units.filter(pa.array(first)).to_pylist()), later.dictionary.to_numpy(zero_copy_only=False).tolist()), len(texts) + len(later.dictionary))  # noqa: B905
+        slots = np.empty(len(units), np.int64)
+        slots[first], slots[~first] = known[: len(texts)], known[len(texts) :][later.indices.to_numpy()]
+        ids, sizes = self.units.at(slots, counts)
         return np.insert(ids, np.cumsum(sizes), END), sizes + 1
 
 
@@ -169,10 +187,9 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str = VOCABULARY) -> No
         own = encoder(vocabulary)
         ids, held, size = [], [], 0
         for batch in batches:
-            texts, keys = batch["text"].to_pylist(), batch["doc_id"].to_pylist()
-            for i in range(0, len(texts), 500):
-                tokens, sizes = own.encode(texts[i : i + 500])
-                for doc, code in zip(keys[i : i + 500], np.split(tokens, np.cumsum(sizes)[:-1]), strict=True):
+            for rows in slices(batch, "text", SLICE):
+                tokens, sizes = own.encode(rows["text"])
+                for doc, code in zip(rows["doc_id"].to_pylist(), np.split(tokens, np.cumsum(sizes)[:-1]), strict=True):
                     ids.append(doc)
                     held.append(code)
                     size += len(code)
