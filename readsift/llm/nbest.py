@@ -16,21 +16,24 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
-import regex
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
-from readsift.llm.vectors import release, slices
+from readsift.llm.vectors import flat, release, slices
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 NBEST = 4
-KNOWN = 150_000  # words remembered, in two generations of half as many each
+KNOWN = 150_000  # words remembered, in two generations
 BYTE_SCORE = -40_000.0  # below every piece of the vocabulary, so that bytes are a last resort
-TOGETHER = 3 << 18  # bytes of text whose new words are searched at once
-LETTERS = 160
+TOGETHER = 1 << 20  # bytes of text whose distinct words are looked up at once
+LETTERS = 320  # that the prefix table has columns for
+TOP = 0x250  # letters below are in the prefix table even where no piece has them
 LONG = 40  # letters of words that are searched together
+ROWS = 1 << 15  # words that are searched at once
+FEW = 64  # fewer words than these go one by one: arrays have a price of their own
 NONE = float("-inf")
 CUT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 _made = {}
@@ -43,9 +46,9 @@ class Words(dict):
         self.find = find
 
     def __missing__(self, word: str) -> tuple:
-        if len(self) >= KNOWN:
-            self.clear()
-        got = self[word] = self.find(word)
+        got = self.find(word)
+        if len(self) < KNOWN:  # those learned for this slice are still to be asked for
+            self[word] = got
         return got
 
 
@@ -67,6 +70,7 @@ class Model:
                 ids[piece] = (max(self.library.get_score(i), BYTE_SCORE), np.array([i], "<u4").tobytes())
         # beginnings of pieces -> (score, id as bytes, if it is a piece; whether a longer piece begins so)
         longer = {p[:k] for p in ids for k in range(1, len(p))}
+        self.raws = pa.array(self.raw, pa.large_binary())
         self.trie = {p: (*ids.get(p, (0.0, None)), p in longer) for p in longer | set(ids)}
         for c in {p for p in longer if len(p) == 1 and p not in ids}:
             self.trie[c] = (*self.unknown(c)[:2], True)
@@ -132,30 +136,42 @@ class Model:
         release()
 
     def tables(self) -> None:
-        """The prefix table for whole arrays of words: states by letter, for the LETTERS letters that pieces use most."""
-        use = Counter(c for p in self.trie for c in p)
-        use.update({"\n": 1 << 30, "\t": 1 << 30})  # bytes that stand between words
+        """The prefix table for whole arrays of words: states by letter, for the LETTERS letters that longer pieces use most.
+
+        Letters that no longer piece has lead nowhere, and nothing leads to them.
+        """
+        use = Counter(c for p in self.trie if len(p) > 1 for c in p)
         letters = [c for c, _ in sorted(use.items(), key=lambda x: (-x[1], x[0]))[:LETTERS]]
         self.letter = {c: i for i, c in enumerate(letters)}
-        states = sorted(p for p in self.trie if all(c in self.letter for c in p))
-        number = {p: i + 1 for i, p in enumerate(states)}  # 0: the empty beginning
-        self.next = np.zeros((len(states) + 1, LETTERS), np.min_scalar_type(len(states)))
-        self.score = np.full(len(states) + 1, NONE)
-        self.piece = np.zeros(len(states) + 1, np.uint32)
+        lone = [c for c in map(chr, range(TOP)) if c not in use] + [p for p in self.trie if len(p) == 1 and p not in use and ord(p) >= TOP]
+        states = [p for p in self.trie if len(p) > 1 and all(c in self.letter for c in p)] + letters + lone
+        # states that lead on come first and have a row each; a last row is for all others
+        states.sort(key=lambda p: (not self.trie.get(p, (0, 0, False))[2], p))
+        number = {p: i + 1 for i, p in enumerate(states)}  # 0: no piece begins so
+        self.ahead = 1 + sum(self.trie.get(p, (0, 0, False))[2] for p in states)
+        self.next = np.zeros((self.ahead + 1, len(letters) + 1), np.min_scalar_type(len(number)))
+        self.score, self.size = np.full(len(number) + 1, NONE), np.zeros(len(number) + 1, np.int64)
+        pieces = [b""] * (len(number) + 1)
         for p, i in number.items():
-            self.next[number.get(p[:-1], 0), self.letter[p[-1]]] = i
-            score, ids, _ = self.trie[p]
-            if ids is not None and len(ids) == 4:
-                self.score[i], self.piece[i] = score, int.from_bytes(ids, "little")
-        self.codes = {ord(c): i for c, i in self.letter.items()}
-        # a letter that is no piece itself needs its bytes: its words go one by one
-        self.codes = {c: i for c, i in self.codes.items() if self.score[self.next[0, i]] > NONE}
-        self.simple = regex.compile("[" + "".join(regex.escape(chr(c)) for c in self.codes) + f"]{{1,{LONG}}}")
-        self.code_of = np.zeros(max(self.codes) + 1, np.int64)
-        self.code_of[list(self.codes)] = list(self.codes.values())
+            if len(p) > 1:
+                self.next[number[p[:-1]], self.letter[p[-1]]] = i
+            score, ids, _ = self.trie.get(p) or self.unknown(p)
+            self.size[i] = len(p)
+            if ids is not None:
+                self.score[i], pieces[i] = score, ids
+        self.pieces = pa.array(pieces, pa.large_binary())
+        codes = {ord(c): i for c, i in self.letter.items()} | {ord(c): len(letters) + i for i, c in enumerate(lone)}
+        self.first = np.array([number[chr(c)] for c in codes], np.int64)
+        self.code_of = np.full(max(codes) + 2, -1, np.int64)  # the last one is for all letters beyond
+        self.code_of[list(codes)] = list(codes.values())
+
+    def coded(self, words: list) -> np.ndarray:
+        """The letters of words, one word after the other; -1 for those beyond the prefix table."""
+        letters = np.frombuffer("".join(words).encode("utf-32-le"), "<u4")
+        return self.code_of[np.minimum(letters, len(self.code_of) - 1)]
 
     def learn(self, words: set) -> None:
-        """Find the best segmentations of words that are new, those of one length at once.
+        """Find the best segmentations of words that are new, many at once.
 
         Words asked for again outlive the generation they were found in; the others are forgotten with it.
         """
@@ -164,53 +180,68 @@ class Model:
             self.before, self.known, missing = self.known, Words(self.viterbi), words
         again = missing & self.before.keys()
         self.known.update((w, self.before[w]) for w in again)
-        new = missing - again
-        by_length = {}
-        for w in new:
-            if self.simple.fullmatch(w):
-                by_length.setdefault(len(w), []).append(w)
-        for n, group in by_length.items():
-            if len(group) < n * 4:  # the others pay for their arrays
-                continue
-            self.known.update(zip(group, self.viterbi_all(group, n), strict=True))
+        new = sorted(missing - again, key=len, reverse=True)
+        if len(self.known) + len(self.before) + len(new) > KNOWN:
+            self.before = {}
+        if len(new) < FEW:
+            return
+        sizes = np.fromiter(map(len, new), np.int64, len(new))
+        simple = (np.minimum.reduceat(self.coded(new), np.cumsum(sizes) - sizes) >= 0) & (sizes <= LONG)
+        new = [new[i] for i in np.flatnonzero(simple).tolist()]
+        for at in range(0, len(new), ROWS):
+            group = new[at : at + ROWS]
+            if len(group) >= FEW:
+                self.known.update(zip(group, self.viterbi_all(group, len(group[0])), strict=True))
 
     def viterbi_all(self, words: list, n: int) -> list:
-        """`viterbi` of many words of n letters: the same steps on arrays, a column per place."""
-        chars = self.code_of[np.array(list(map(ord, "".join(words)))).reshape(-1, n)]
-        rows = len(words)
-        best, second = np.full((n + 1, rows), NONE), np.full((n + 1, rows), NONE)
-        back, piece = np.zeros((n + 1, rows), np.int64), np.zeros((n + 1, rows), np.uint32)
-        best[0] = 0.0
+        """`viterbi` of many words of at most n letters: the same steps on arrays, one per place."""
+        sizes, rows = np.fromiter(map(len, words), np.int64, len(words)), len(words)
+        order = np.argsort(-sizes, kind="stable")  # longest first: those that reach a place are the first so many
+        letters, begin, sizes = self.coded(words), (np.cumsum(sizes) - sizes)[order], sizes[order]
+        reach = np.searchsorted(-sizes, -np.arange(n + 1), "right").tolist()
+        chars = [letters[begin[:k] + place] for place, k in enumerate(reach[1:])]
+        columns = [np.minimum(c, len(self.letter)) for c in chars]
+        best, second, via = ([np.full(k, x, t) for k in reach] for x, t in ((NONE, float), (NONE, float), (0, self.next.dtype)))
+        best[0][:] = 0.0
+        step, width = self.next.ravel(), len(self.letter) + 1
         for start in range(n):
-            live, state = np.arange(rows), np.zeros(rows, np.int32)
+            here, after = best[start], second[start]
+            live, state = slice(reach[start + 1]), self.first[chars[start]]
             for end in range(start + 1, n + 1):
-                state = self.next[state, chars[live, end - 1]]
-                on = state > 0
-                live, state = live[on], state[on]
-                if not len(live):
-                    break
-                score = self.score[state]
-                at = live[score > NONE]
-                if not len(at):
-                    continue
-                own, score = state[score > NONE], score[score > NONE]
-                got, after = best[start, at] + score, second[start, at] + score
-                was = best[end, at]
+                if end > start + 1:
+                    k = np.searchsorted(live, reach[end]) if end > start + 2 else reach[end]
+                    live = live[:k] if end > start + 2 else np.arange(k)
+                    state = step[np.minimum(state[:k], self.ahead) * width + columns[end - 1][live]]
+                    on = np.flatnonzero(state)
+                    if not len(on):
+                        break
+                    live, state = live[on], state[on].astype(np.int64)
+                at, own, score = live, state, self.score[state]
+                if end > start + 1:
+                    on = np.flatnonzero(score > NONE)
+                    at, own, score = at[on], own[on], score[on]
+                got, was = here[at] + score, best[end][at]
+                second[end][at] = np.maximum(np.maximum(second[end][at], after[at] + score), np.minimum(got, was))
                 better = got > was
-                second[end, at] = np.where(better, np.maximum(was, after), np.maximum(second[end, at], np.maximum(got, after)))
-                win = at[better]
-                best[end, win], back[end, win], piece[end, win] = got[better], start, self.piece[own[better]]
-        out = np.zeros((rows, n), np.uint32)
+                best[end][at] = np.maximum(got, was)
+                via[end][at] = np.where(better, own, via[end][at])
+        base = np.cumsum([0, *reach[:-1]])
+        via, last = np.concatenate(via), base[sizes] + np.arange(rows)
+        out = np.zeros((rows, n), via.dtype)
         used = np.zeros(rows, np.int64)
-        live, place = np.arange(rows), np.full(rows, n)
+        live, place = np.arange(rows), sizes
         while len(live):
             used[live] += 1
-            out[live, n - used[live]] = piece[place, live]
-            place = back[place, live]
+            own = via[base[place] + live]
+            out[live, n - used[live]] = own
+            place = place - self.size[own]
             live, place = live[place > 0], place[place > 0]
-        raw, gap = out.tobytes(), best[n] - second[n]
-        begin = (np.arange(1, rows + 1) * n - used) * 4
-        return [(b, raw[a:z], g) for b, a, z, g in zip(best[n].tolist(), begin.tolist(), range(4 * n, 4 * n * rows + 1, 4 * n), gap.tolist(), strict=True)]
+        raw, ends = flat(self.pieces.take(pa.array(out[out > 0])))
+        raw, ends = raw.tobytes(), ends[np.cumsum(np.append(0, used))]
+        best, second = np.concatenate(best)[last], np.concatenate(second)[last]
+        back = np.empty(rows, np.int64)
+        back[order] = np.arange(rows)
+        return [(b, raw[a:z], g) for b, a, z, g in zip(best[back].tolist(), ends[:-1][back].tolist(), ends[1:][back].tolist(), (best - second)[back].tolist(), strict=True)]
 
     def search(self, word: str) -> list:
         """The n best segmentations of a word: (score, ids as bytes), best first, by backward A*."""
@@ -236,48 +267,89 @@ class Model:
         """The marked text cut before each run of marks; no piece crosses these cuts."""
         return CUT.findall(MARK + text.replace(" ", MARK)) if text else []
 
-    def encode(self, text: str, words: list | None = None) -> list:
+    def cut(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+        """`words` of each text: all words, the number of each text's first (one more entry than texts), the marked texts' bytes and their offsets."""
+        texts = texts.cast(pa.large_string())
+        mark, none = (pa.scalar(x, pa.large_string()) for x in (MARK, ""))
+        marked = pc.binary_join_element_wise(mark, pc.replace_substring(texts, " ", MARK), none)
+        data, offsets = flat(pc.if_else(pc.equal(pc.binary_length(texts), 0), texts, marked))
+        mark = np.zeros(len(data) + 3, bool)
+        mark[3:-2] = (data[:-2] == 0xE2) & (data[1:-1] == 0x96) & (data[2:] == 0x81)
+        begin = mark[3:] & ~mark[:-3]  # a mark after a mark goes on with its run
+        begin[offsets[:-1][offsets[1:] > offsets[:-1]]] = True
+        begin = np.flatnonzero(begin)
+        words = pa.LargeStringArray.from_buffers(len(begin), pa.py_buffer(np.append(begin, len(data))), pa.py_buffer(data))
+        return words, np.searchsorted(begin, offsets), data, offsets
+
+    def encode(self, text: str) -> list:
         """The n best segmentations of a text, best first: (score, {word number: ids as bytes} that differ from the best).
 
-        The first entry is (score, ids of the whole text as bytes). A segmentation among the n best differs from the best one only in words whose second
-        best loses least: n such words are enough, and only they are searched.
+        The first entry is (score, ids of the whole text as bytes).
         """
-        words = self.words(text) if words is None else words
+        words = self.words(text)
         firsts = list(map(self.known.__getitem__, words))
         total = sum([f[0] for f in firsts])
+        return [(total, b"".join([f[1] for f in firsts])), *self.after(total, np.array([f[2] for f in firsts]), words.__getitem__)]
+
+    def after(self, total: float, gaps: np.ndarray, word) -> list:
+        """The second to the n-th best segmentation: (score, {word number: ids as bytes} that differ from the best, which scores total).
+
+        A segmentation among the n best differs from the best one only in words whose second best loses least (gaps: what each
+        word's loses): n such words are enough, and only they are searched. word: the word of a number.
+        """
         best = [(total, {})]
-        gaps = np.array([f[2] for f in firsts])
         least = np.flatnonzero(gaps <= np.partition(gaps, self.n - 1)[self.n - 1]) if len(gaps) > self.n else np.arange(len(gaps))
         for i in least[np.argsort(gaps[least], kind="stable")][: self.n].tolist():
             if gaps[i] == -NONE:
                 break
-            own = self.searched.get(words[i])
+            own = self.searched.get(word(i))
             if own is None:
                 if len(self.searched) >= KNOWN // 10:
                     self.searched.clear()
-                own = self.searched[words[i]] = self.search(words[i])
+                own = self.searched[word(i)] = self.search(word(i))
             grown = [(score + s - own[0][0], {**changes, i: ids} if k else changes) for score, changes in best for k, (s, ids) in enumerate(own)]
             best = sorted(grown, key=lambda x: -x[0])[: self.n]
-        return [(total, b"".join([f[1] for f in firsts])), *best[1:]]
+        return best[1:]
 
-    def others(self, words: list, best: list, right: bool) -> list:
+    def others(self, best: list, ends: np.ndarray, first, right: bool) -> list:
         """(score, [(first piece, pieces, ids as bytes that stand for them)], decoded) of the segmentations after the best one.
 
-        right: whether the best one decodes to the text. One whose changed words spell the same bytes decodes to what it does.
+        ends: pieces of the best one before each word; first: its ids in the word of a number, as bytes; right: whether it decodes
+        to the text. One whose changed words spell the same bytes decodes to what it does.
         """
-        if len(best) == 1:
-            return []
-        changed = sorted(set().union(*[changes for _, changes in best[1:]]))
-        ends, at, last = {}, 0, 0
-        for i in changed:  # the ids before a changed word
-            at += sum([len(self.known[w][1]) for w in words[last:i]])
-            ends[i], last = at // 4, i
-        firsts, out = {i: self.known[words[i]][1] for i in changed}, []
-        for score, changes in best[1:]:
-            parts = [(ends[i], len(firsts[i]) // 4, ids) for i, ids in sorted(changes.items())]
-            out.append((score, parts, right and all(self.spelled(ids) == self.spelled(firsts[i]) for i, ids in changes.items())))
+        out = []
+        for score, changes in best:
+            parts = [(int(ends[i]), len(first(i)) // 4, ids) for i, ids in sorted(changes.items())]
+            out.append((score, parts, right and all(self.spelled(ids) == self.spelled(first(i)) for i, ids in changes.items())))
         return out
 
+    def segmented(self, texts: pa.Array) -> tuple[pa.Array, list, list, list]:
+        """Of texts without nulls: ids of the best segmentation, scores of the n best, whether ids decode to the text, `others`.
+
+        The words of all texts are looked up once each; their ids and the bytes these spell are gathered per text.
+        """
+        words, begin, data, offsets = self.cut(texts)
+        words = words.dictionary_encode()
+        index, distinct = words.indices.to_numpy(), words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self.learn(set(distinct))
+        found = list(map(self.known.__getitem__, distinct))
+        scores, gaps = (np.array([f[k] for f in found], float)[index] for k in (0, 2))
+        ids, ends = flat(pa.array([f[1] for f in found], pa.large_binary()).take(words.indices))
+        ids, place = ids.view("<u4"), ends // 4
+        letters, spelled = flat(self.raws.take(pa.array(ids)))
+        letters, spelled, data, offsets = letters.tobytes(), spelled[place[begin]].tolist(), data.tobytes(), offsets.tolist()
+        number = begin.tolist()
+        totals, right, more = [], [], []
+        for k, (a, z) in enumerate(zip(number[:-1], number[1:], strict=True)):
+            same = letters[spelled[k] : spelled[k + 1]] == data[offsets[k] : offsets[k + 1]]
+            right.append(same or self.decode(ids[place[a] : place[z]].tobytes()) == texts[k].as_py().replace(MARK, " "))
+            total = float(scores[a:z].sum())
+            best = self.after(total, gaps[a:z], lambda i, a=a: distinct[index[a + i]])
+            totals.append([total, *[s for s, _ in best]])
+            more.append(self.others(best, place[a:z] - place[a], lambda i, a=a: found[index[a + i]][1], right[-1]))
+        sent = pa.Array.from_buffers(pa.large_binary(), len(begin) - 1, [None, pa.py_buffer(ends[begin]), pa.py_buffer(ids)]).cast(pa.binary())
+        return sent, totals, right, more
+
     def spelled(self, ids: bytes) -> bytes:
         """The bytes of pieces, marks included."""
         return b"".join(map(self.raw.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -308,24 +380,16 @@ def segmented(docs: DataFrame, name: str = MODEL, n: int = NBEST) -> DataFrame:
         own = model(name, n)
         for batch in batches:
             for part in slices(batch, size=TOGETHER):
-                texts, out, more, ends = part["text"].to_pylist(), [], [], [0]
-                cut = [own.words(t) for t in texts]
-                own.learn(set().union(*cut))
-                for text, words in zip(texts, cut, strict=True):
-                    best = own.encode(text, words)
-                    ids = best[0][1]
-                    out.append((len(ids) // 4, ids, [s for s, _ in best], own.decode(ids) == text.replace(MARK, " ")))
-                    more += own.others(words, best, out[-1][3])
-                    ends.append(len(more))
-                changes = [c for x in more for c in x[1]]
+                ids, scores, decoded, more = own.segmented(part["text"])
+                rest = [x for xs in more for x in xs]
+                changes = [c for x in rest for c in x[1]]
                 changes = pa.StructArray.from_arrays([pa.array([c[i] for c in changes], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary()))], names=["at", "n", "ids"])
-                changes = pa.ListArray.from_arrays(pa.array([0, *accumulate(len(x[1]) for x in more)], pa.int32()), changes)
-                others = pa.StructArray.from_arrays([pa.array([x[0] for x in more], pa.float64()), changes, pa.array([x[2] for x in more], pa.bool_())], names=["score", "changes", "decoded"])
+                changes = pa.ListArray.from_arrays(pa.array([0, *accumulate(len(x[1]) for x in rest)], pa.int32()), changes)
+                others = pa.StructArray.from_arrays([pa.array([x[0] for x in rest], pa.float64()), changes, pa.array([x[2] for x in rest], pa.bool_())], names=["score", "changes", "decoded"])
+                others = pa.ListArray.from_arrays(pa.array([0, *accumulate(map(len, more))], pa.int32()), others)
+                n_pieces = pc.divide(pc.binary_length(ids), 4).cast(pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part["doc_id"], *(pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.list_(pa.float64()), pa.bool_()))),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), others),
-                    ],
+                    [part["doc_id"], n_pieces, ids, pa.array(scores, pa.list_(pa.float64())), pa.array(decoded, pa.bool_()), others],
                     names=["doc_id", "n_pieces", "ids", "scores", "decoded", "others"],
                 )
         own.forget()
