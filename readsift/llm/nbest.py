@@ -26,9 +26,9 @@ from readsift.llm.vectors import flat, release, slices
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 NBEST = 4
-KNOWN = 150_000  # words remembered, in two generations
+KNOWN = 80_000  # words remembered, in two generations
 BYTE_SCORE = -40_000.0  # below every piece of the vocabulary, so that bytes are a last resort
-TOGETHER = 1 << 20  # bytes of text whose distinct words are looked up at once
+TOGETHER = 3 << 18  # bytes of text whose distinct words are looked up at once
 LETTERS = 320  # that the prefix table has columns for
 TOP = 0x250  # letters below are in the prefix table even where no piece has them
 LONG = 40  # letters of words that are searched together
@@ -304,7 +304,7 @@ class Model:
                 break
             own = self.searched.get(word(i))
             if own is None:
-                if len(self.searched) >= KNOWN // 10:
+                if len(self.searched) >= KNOWN // 5:
                     self.searched.clear()
                 own = self.searched[word(i)] = self.search(word(i))
             grown = [(score + s - own[0][0], {**changes, i: ids} if k else changes) for score, changes in best for k, (s, ids) in enumerate(own)]
