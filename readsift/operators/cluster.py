@@ -15,9 +15,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from readsift.functions.alignment import equal_positions
-from readsift.functions.sequence import is_seed_word
-from readsift.operators.index import word_places
-from readsift.operators.skew import Load, load, salted_join
+from readsift.operators.packed import numbered_words, shared_runs
+from readsift.operators.skew import Load, load
 from readsift.params import Cluster
 from readsift.session import cut_lineage
 
@@ -49,25 +48,16 @@ def greedy_order(unique: DataFrame) -> DataFrame:
     return ranked.join(F.broadcast(offsets), "_part").select(rank.alias("ord"), "read_id", "seq")
 
 
-def _words(sequences: DataFrame, size: int) -> DataFrame:
-    """(hash, ord, pos) of the seed words."""
-    at = word_places(sequences.select("ord", F.col("seq").alias("_s")), ["ord"], size)
-    word = F.substring("_s", F.col("_p") + 1, F.lit(size))
-    return at.where(is_seed_word(word)).select(F.xxhash64(word).alias("hash"), "ord", "pos")
-
-
 def word_load(sequences: DataFrame, earlier: DataFrame, p: Cluster = Cluster()) -> Load:
     """How many pairs share words, and which words are frequent, from a share of the sequences."""
-    words = lambda df: _words(df.sample(p.sample, seed=1) if p.sample < 1 else df, p.word_size)
-    return load(words(sequences), words(earlier), "hash", p.sample)
+    words = lambda df: numbered_words(df.sample(p.sample, seed=1) if p.sample < 1 else df, p.word_size).select("hash")
+    return load(words(sequences), None if earlier is sequences else words(earlier), "hash", p.sample)
 
 
 def shared_diagonals(sequences: DataFrame, earlier: DataFrame, p: Cluster = Cluster(), known: Load = None) -> DataFrame:
-    """(ord, lead, diag): each sequence against all earlier ones of `earlier` that share a word, on the diagonals of these words."""
+    """(ord, lead, diag): each sequence against all earlier ones of `earlier` that share a word, on the diagonals of these words where enough of both overlaps."""
     known = known or word_load(sequences, earlier, p)
-    lead = _words(earlier, p.word_size).select("hash", F.col("ord").alias("lead"), F.col("pos").alias("_first"))
-    pairs = salted_join(_words(sequences, p.word_size), lead, "hash", known.frequent)
-    return pairs.where("lead < ord").select("ord", "lead", (F.col("_first") - F.col("pos")).alias("diag")).distinct()
+    return shared_runs(sequences, None if earlier is sequences else earlier, p.word_size, p.min_overlap_pct, known.frequent).distinct()
 
 
 def edges(pairs: DataFrame, sequences: DataFrame, leaders: DataFrame, p: Cluster = Cluster()) -> DataFrame:
@@ -94,7 +84,7 @@ def similar(sequences: DataFrame, earlier: DataFrame, p: Cluster = Cluster(), kn
 
 def _led(batch: DataFrame, p: Cluster) -> DataFrame:
     """ord of sequences similar to one that is the first holder of each of its words (and so surely a centroid)."""
-    words = _words(batch, p.word_size)
+    words = numbered_words(batch, p.word_size)
     first = words.groupBy("hash").agg(F.min("ord").alias("lead"), F.min_by("pos", "ord").alias("_first"), F.count("*").alias("_n")).where("_n > 1")
     led = words.join(first.drop("_n").hint("merge"), "hash").where("lead < ord")
     pairs = cut_lineage(led.select("ord", "lead", (F.col("_first") - F.col("pos")).alias("diag")).distinct())

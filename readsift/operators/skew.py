@@ -22,10 +22,10 @@ class Load:
     frequent: DataFrame | None
 
 
-def load(left: DataFrame, right: DataFrame, key: str, share: float = 1.0, least: int = LEAST, right_share: float = None) -> Load:
+def load(left: DataFrame, right: DataFrame | None, key: str, share: float = 1.0, least: int = LEAST, right_share: float = None) -> Load:
     """Counted on the keys of both sides, or on those of a share of the rows of both: only relative counts matter.
 
-    The right side may be counts instead of rows: (key, _nr).
+    The right side may be counts instead of rows: (key, _nr); or None, where the left side meets itself.
 
     A cell is the pairs of all keys over CELLS per shuffle partition. Keys with more than a cell of pairs are split; so there are
     fewer of them than cells, whatever the data, and their table is small enough to broadcast.
@@ -35,7 +35,11 @@ def load(left: DataFrame, right: DataFrame, key: str, share: float = 1.0, least:
     count = lambda df, name: df.groupBy(key).agg(F.count("*").alias(name))
     nl, nr = F.col("_nl").cast("double"), F.col("_nr").cast("double")
     right_share = share if right_share is None else right_share
-    counts = count(left, "_nl").join(right if "_nr" in right.columns else count(right, "_nr"), key).where("_nl > 1 or _nr > 1").withColumn("_pairs", nl * nr).persist()
+    if right is None:
+        both = count(left, "_nl").withColumn("_nr", F.col("_nl"))
+    else:
+        both = count(left, "_nl").join(right if "_nr" in right.columns else count(right, "_nr"), key)
+    counts = both.where("_nl > 1 or _nr > 1").withColumn("_pairs", nl * nr).persist()
     try:
         # a sampled row that meets itself says nothing of its neighbours
         met, pairs, rows = counts.agg(F.sum(F.col("_pairs") - F.least(nl, nr)), F.sum("_pairs"), F.sum(nl)).first()
